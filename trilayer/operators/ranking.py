@@ -51,7 +51,9 @@ def _with_base(sliced: DataFrame, bases: DataFrame) -> DataFrame:
     return sliced.join(F.broadcast(bases), _SLICE, "left")
 
 
-def _indexed(sliced: DataFrame, name: str) -> DataFrame:
+def global_row_index(df: DataFrame, order: Sequence[Order], tiebreak: str, name: str = "row_index") -> DataFrame:
+    """0-based position of every row in the whole order; ``tiebreak`` must be unique."""
+    sliced = _sliced(df, [*order, tiebreak])
     before = Window.orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
     bases = sliced.groupBy(_SLICE).agg(F.count("*").alias("_rows")).select(
         _SLICE, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias(_BASE)
@@ -59,11 +61,6 @@ def _indexed(sliced: DataFrame, name: str) -> DataFrame:
     return _with_base(sliced, bases).withColumn(name, F.col(_BASE) + F.col(_AT)).drop(_SLICE, _AT, _BASE)
 
 
-def global_row_index(df: DataFrame, order: Sequence[Order], tiebreak: str, name: str = "row_index") -> DataFrame:
-    """0-based position of every row in the whole order; ``tiebreak`` must be unique."""
-    return _indexed(_sliced(df, [*order, tiebreak]), name)
-
-
 def global_ntile(
     df: DataFrame, k: int, order: Sequence[Order], tiebreak: str, name: str = "tile"
 ) -> DataFrame:
@@ -74,18 +71,32 @@ def global_ntile(
     """
     order = [*order, tiebreak]
     columns = list(dict.fromkeys(c for c, _ in _parts(order)))
-    ranked = _indexed(_sliced(df.select(*columns), order), "_index")
-    total = ranked.count()
-    small, extra = divmod(total, k)
-    opens = [t * small + min(t, extra) for t in range(1, k)]
-    # At most k-1 rows come to the driver.
-    firsts = ranked.where(F.col("_index").isin([i for i in opens if i < total])).collect() if total else []
+    sliced = _sliced(df.select(*columns), order)
+    # One row per slice, then at most k-1 rows, come to the driver.
+    sizes = sliced.groupBy(_SLICE).count().orderBy(_SLICE).collect()
+    openings = _tile_openings([(r[_SLICE], r["count"]) for r in sizes], k)
     tile = F.lit(1)
-    for first in firsts:
-        tile = tile + F.when(_at_or_after(order, first), 1).otherwise(0)
+    if openings:
+        is_opening = F.lit(False)
+        for slice_id, at in openings:
+            is_opening = is_opening | ((F.col(_SLICE) == slice_id) & (F.col(_AT) == at))
+        for row in sliced.where(is_opening).collect():
+            tile = tile + F.when(_at_or_after(order, row), 1).otherwise(0)
     return df.withColumn(name, tile)
 
 
+def _tile_openings(sizes: Sequence[tuple[int, int]], k: int) -> list[tuple[int, int]]:
+    """Slice and position of the rows that open tiles 2..k; the first tiles take the remainder."""
+    total = sum(n for _, n in sizes)
+    small, extra = divmod(total, k)
+    wanted = [i for i in (t * small + min(t, extra) for t in range(1, k)) if i < total]
+    found, start = [], 0
+    for slice_id, n in sizes:
+        found += [(slice_id, i - start) for i in wanted if start <= i < start + n]
+        start += n
+    return found
+
+
 def _at_or_after(order: Sequence[Order], row) -> Column:
     reached = F.lit(True)
     for c, down in reversed(_parts(order)):

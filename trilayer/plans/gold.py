@@ -34,6 +34,14 @@ CUSTOMER_COLUMNS = (
     "c_customer_sk c_full_name c_email_address c_birth_year c_birth_country "
     "c_preferred_cust_flag c_current_addr_sk c_salutation"
 ).split()
+# What the two models on top of the fact read of it.
+VALUE_COLUMNS = (
+    "channel customer_sk gross_sales_amt net_sales_amt return_amt net_profit d_date is_returned"
+).split()
+PRODUCT_INPUTS = (
+    "channel item_sk customer_sk d_date quantity unit_price discount_pct gross_sales_amt net_sales_amt "
+    "net_profit return_amt return_qty"
+).split()
 ADDRESS_COLUMNS = "ca_address_sk ca_city ca_state ca_zip ca_country".split()
 
 # Segment and tier floors.
@@ -121,6 +129,17 @@ def _sum_by_channel(suffix: str) -> list[Column]:
     ]
 
 
+def _distinct_per(rows: DataFrame, key: str, c: str, name: str) -> DataFrame:
+    """Distinct non-NULL values of ``c`` per key.
+
+    Kept apart from the sums: sums shrink to one row per key before the shuffle, while
+    a distinct count in the same aggregate would drag all of them through a
+    shuffle of (key, value) pairs, and a second one would copy every row.
+    """
+    pairs = rows.where(F.col(c).isNotNull()).select(key, c).distinct()
+    return pairs.groupBy(key).agg(F.count("*").alias(name))
+
+
 def leading_channel(suffix: str, null_as_zero: bool = False) -> Column:
     """The channel with the largest sum; ties go to STORE, then CATALOG.
 
@@ -144,8 +163,12 @@ def leading_channel(suffix: str, null_as_zero: bool = False) -> Column:
 
 
 def customer_value(fact: DataFrame, analysis_date: date) -> DataFrame:
-    """Lifetime sums, dates and counts per known customer."""
-    per_customer = fact.where(F.col("customer_sk").isNotNull()).groupBy("customer_sk").agg(
+    """Lifetime sums, dates and counts per known customer.
+
+    ``fact`` is read twice, so pass a stored table.
+    """
+    bought = fact.where(F.col("customer_sk").isNotNull())
+    totals = bought.groupBy("customer_sk").agg(
         F.count("*").alias("total_transactions"),
         F.sum("gross_sales_amt").alias("lifetime_gross_sales"),
         F.sum("net_sales_amt").alias("lifetime_net_sales"),
@@ -154,13 +177,14 @@ def customer_value(fact: DataFrame, analysis_date: date) -> DataFrame:
         F.avg("gross_sales_amt").alias("avg_transaction_value"),
         F.max("d_date").alias("last_purchase_date"),
         F.min("d_date").alias("first_purchase_date"),
-        F.count_distinct("d_date").alias("unique_purchase_days"),
         *_sum_by_channel("sales_amt"),
         F.sum(F.when(F.col("is_returned"), 1).otherwise(0)).alias("total_returned_txns"),
     )
-    return per_customer.withColumn(
-        "days_since_last_purchase", F.datediff(F.lit(analysis_date), "last_purchase_date")
-    )
+    days = _distinct_per(bought, "customer_sk", "d_date", "unique_purchase_days")
+    return totals.join(days, "customer_sk", "left").withColumns({
+        "unique_purchase_days": F.coalesce("unique_purchase_days", F.lit(0)),
+        "days_since_last_purchase": F.datediff(F.lit(analysis_date), "last_purchase_date"),
+    })
 
 
 def rfm_scores(value: DataFrame, best_is_high: bool = False) -> DataFrame:
@@ -208,9 +232,8 @@ def product_value(fact: DataFrame, item: DataFrame) -> DataFrame:
     """Sums and distinct counts per known item, with the item's attributes.
 
     Items are aggregated on their key alone and described afterwards, so
-    the scan of the fact reads no item text. Each distinct count is a small
-    two-step aggregate of its own; counting both in one aggregate would copy every
-    fact row three times.
+    the scan of the fact reads no item text. ``fact`` is read three times, so
+    pass a stored table.
     """
     sold = fact.where(F.col("item_sk").isNotNull())
     totals = sold.groupBy("item_sk").agg(
@@ -227,8 +250,8 @@ def product_value(fact: DataFrame, item: DataFrame) -> DataFrame:
         .alias("avg_discount_pct"),
         *_sum_by_channel("revenue"),
     )
-    buyers = _distinct_per_item(sold, "customer_sk", "unique_customers")
-    days = _distinct_per_item(sold, "d_date", "active_selling_days")
+    buyers = _distinct_per(sold, "item_sk", "customer_sk", "unique_customers")
+    days = _distinct_per(sold, "item_sk", "d_date", "active_selling_days")
     described = item.select(F.col("i_item_sk").alias("item_sk"), *PRODUCT_COLUMNS)
     out = totals.join(buyers, "item_sk", "left").join(days, "item_sk", "left").join(described, "item_sk", "left")
     return out.select(
@@ -241,11 +264,6 @@ def product_value(fact: DataFrame, item: DataFrame) -> DataFrame:
     )
 
 
-def _distinct_per_item(sold: DataFrame, c: str, name: str) -> DataFrame:
-    pairs = sold.where(F.col(c).isNotNull()).select("item_sk", c).distinct()
-    return pairs.groupBy("item_sk").agg(F.count("*").alias(name))
-
-
 def margin_tier(c: Column | str = "i_margin_pct") -> Column:
     """An unknown margin counts as the lowest tier."""
     return bucket(c, MARGIN_TIERS, "Loss Leader")
@@ -257,10 +275,7 @@ def sales_velocity(units: Column, days: Column) -> Column:
 
 
 def product_performance(fact: DataFrame, item: DataFrame, null_as_zero: bool = False) -> DataFrame:
-    """Margin tier, velocity, return rate, top channel, revenue rank and share per item.
-
-    ``fact`` is read three times, so pass a stored table.
-    """
+    """Margin tier, velocity, return rate, top channel, revenue rank and share per item."""
     products = product_value(fact, item).withColumns({
         "return_rate_pct": guarded_pct(F.col("total_return_units"), F.col("total_units_sold")),
         "daily_sales_velocity": sales_velocity(F.col("total_units_sold"), F.col("active_selling_days")),

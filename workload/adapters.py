@@ -8,9 +8,12 @@ cleansing rules look for: NULL keys, zero prices, bad flags and states.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import cache
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from trilayer.channels import CATALOG, CHANNELS, STORE, WEB, Channel
+from trilayer.channels import CHANNELS, Channel
 
 # Per channel: the rebate on a line, the customer residues it does not know, and
 # the flag of the lines that come back.
@@ -19,6 +22,7 @@ _UNKNOWN = {"STORE": (1, 2), "CATALOG": (2, 3), "WEB": (1, 3)}
 _RETURN_FLAG = {"STORE": "R", "CATALOG": "A", "WEB": "N"}
 
 
+@cache
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -153,14 +157,13 @@ def customer_address(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select(*[c.alias(name) for name, c in columns.items()])
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    raw = {
-        "date_dim": date_dim(spark, sf_dir),
-        "item": item(spark, sf_dir),
-        "customer": customer(spark, sf_dir),
-        "customer_address": customer_address(spark, sf_dir),
-    }
+def raw_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     for channel in CHANNELS:
-        raw[channel.sales_table] = sales(spark, sf_dir, channel)
-        raw[channel.returns_table] = returns(spark, sf_dir, channel)
-    return raw
+        if name == channel.sales_table:
+            return sales(spark, sf_dir, channel)
+        if name == channel.returns_table:
+            return returns(spark, sf_dir, channel)
+    dimensions: dict[str, Callable] = {
+        "date_dim": date_dim, "item": item, "customer": customer, "customer_address": customer_address,
+    }
+    return dimensions[name](spark, sf_dir)

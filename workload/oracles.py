@@ -254,12 +254,6 @@ PERFORMANCE = f"""performance AS (SELECT *,
       CAST({_SHARE} AS DOUBLE) / 10000 AS revenue_pct_of_total FROM product)"""
 
 
-def plain(relation: str, columns: dict[str, str]) -> str:
-    """Money as doubles and dates as text, as the registered queries return them."""
-    picked = ", ".join(f"{expression} AS {name}" for name, expression in columns.items())
-    return f"SELECT {picked} FROM {relation}" if columns else f"SELECT * FROM {relation}"
-
-
 def query(ctes: list[str], relation: str, doubles: str = "", dates: str = "", where: str = "") -> str:
     """SELECT * with the named decimal columns as DOUBLE and the named dates as text."""
     casts = [f"CAST({c} AS DOUBLE) AS {c}" for c in doubles.split()]
@@ -308,7 +302,7 @@ def oracle_sql() -> dict[str, str]:
         "gold_product_performance": query(FACT_CTES + [PRODUCT, PERFORMANCE], "performance", PRODUCT_DOUBLES),
         "channel_report": f"""WITH {', '.join(FACT_CTES)} SELECT channel, format('{{:,}}', count(*)) AS transactions,
             concat('$', format('{{:,.2f}}', CAST(sum(gross_sales_amt) AS DOUBLE) / 1e6), 'M') AS gross_sales,
-            round(CAST(sum({dec('return_rate_pct', 18)}) AS DOUBLE) / count(return_rate_pct), 2) AS avg_return_pct
+            CAST({rounded_ratio(cents('sum(' + dec('return_rate_pct', 18) + ')'), 'count(return_rate_pct)')} AS DOUBLE) / 100 AS avg_return_pct
             FROM fact GROUP BY channel""",
         "segment_report": f"""WITH {', '.join(C360_CTES)} SELECT rfm_segment, format('{{:,}}', count(*)) AS customers,
             CAST({rounded_ratio(cents('sum(lifetime_net_sales)'), 'count(lifetime_net_sales)')} AS DOUBLE) / 100 AS avg_ltv

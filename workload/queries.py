@@ -15,7 +15,7 @@ from trilayer.operators import settle
 from trilayer.plans import gold, reports
 from trilayer.plans.silver import CLEANSED
 from trilayer.sources.storage import add_audit
-from workload import adapters
+from workload import adapters, operators
 
 ANALYSIS_DATE = date(2001, 12, 31)
 
@@ -33,8 +33,7 @@ def plain(df: DataFrame) -> DataFrame:
 
 
 def silver_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    raw = adapters.raw_tables(spark, sf_dir)
-    return {name: CLEANSED[name](df) for name, df in raw.items()}
+    return {name: clean(adapters.raw_table(spark, sf_dir, name)) for name, clean in CLEANSED.items()}
 
 
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,7 +41,7 @@ def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _silver(name: str) -> Query:
-    return lambda spark, sf_dir: plain(CLEANSED[name](adapters.raw_tables(spark, sf_dir)[name]))
+    return lambda spark, sf_dir: plain(CLEANSED[name](adapters.raw_table(spark, sf_dir, name)))
 
 
 def _passthrough_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,19 +67,20 @@ def _channel_rows(channel) -> Query:
 
 
 def _customer_value(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.customer_value(fact(spark, sf_dir), ANALYSIS_DATE)
+    stored = settle(fact(spark, sf_dir).select(*gold.VALUE_COLUMNS))
+    return gold.customer_value(stored, ANALYSIS_DATE)
 
 
 def _customer_360(spark: SparkSession, sf_dir: str) -> DataFrame:
     silver = silver_tables(spark, sf_dir)
-    return gold.customer_360(
-        gold.sales_fact(silver), silver["customer"], silver["customer_address"], ANALYSIS_DATE
-    )
+    stored = settle(gold.sales_fact(silver).select(*gold.VALUE_COLUMNS))
+    return gold.customer_360(stored, silver["customer"], silver["customer_address"], ANALYSIS_DATE)
 
 
 def _product_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
     silver = silver_tables(spark, sf_dir)
-    return gold.product_performance(settle(gold.sales_fact(silver)), silver["item"])
+    stored = settle(gold.sales_fact(silver).select(*gold.PRODUCT_INPUTS))
+    return gold.product_performance(stored, silver["item"])
 
 
 def queries() -> dict[str, Query]:
@@ -96,4 +96,4 @@ def queries() -> dict[str, Query]:
     out["gold_product_performance"] = lambda s, d: plain(_product_performance(s, d))
     out["channel_report"] = lambda s, d: reports.channel_report(fact(s, d))
     out["segment_report"] = lambda s, d: plain(reports.segment_report(_customer_360(s, d)))
-    return out
+    return out | operators.QUERIES
