@@ -36,6 +36,8 @@ class LayerConfig:
     three RFM orders round so that the best customers score highest;
     ``null_as_zero`` lets a channel without sales count as 0 when channels are
     compared. Both are off by default, which keeps the established results.
+    ``shuffle_partitions`` is set while a layer is rebuilt; without it the session's
+    own setting stands.
     """
 
     root: str
@@ -44,6 +46,7 @@ class LayerConfig:
     analysis_date: date = date(2003, 12, 31)
     best_is_high: bool = False
     null_as_zero: bool = False
+    shuffle_partitions: int | None = None
     bases: dict[str, str] = field(
         default_factory=lambda: {RAW: "raw", SILVER: "silver", GOLD: "gold"}
     )

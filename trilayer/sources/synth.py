@@ -94,14 +94,20 @@ def synth_table(spark: SparkSession, rules: Mapping[str, Rule], rows: int, seed:
     return made.select(*[rule(F.col(ROW), _draws(seed, c)).alias(c) for c, rule in rules.items()])
 
 
-def sample_keys(parent: DataFrame, key: str, identity: str, size: int, seed: int = 42) -> DataFrame:
+def sample_keys(
+    parent: DataFrame, key: str, identity: str, size: int, parent_rows: int, seed: int = 42
+) -> DataFrame:
     """``size`` rows' keys drawn without replacement, numbered from 0 in ``_slot``.
 
-    ``identity`` is unique per row of ``parent``. Each task keeps its own ``size`` best,
-    so no more than that per task is merged.
+    ``identity`` is unique per row of ``parent``, which has ``parent_rows`` rows. The smallest
+    hashes win. Only hashes in the lowest part of their range can, so about
+    twice ``size`` rows are sorted, however large ``parent`` is.
     """
     drawn = F.xxhash64(F.lit(seed).cast("bigint"), F.col(identity).cast("bigint"))
     best = parent.select(F.col(key).alias("_key"), F.col(identity).alias("_id"), drawn.alias("_draw"))
+    candidates = 2 * size + 1000
+    if candidates < parent_rows:
+        best = best.where(F.col("_draw") < candidates * 2**64 // parent_rows - 2**63)
     best = best.orderBy("_draw", "_id").limit(size)
     return best.select("_key", (F.row_number().over(Window.orderBy("_draw", "_id")) - 1).cast("bigint").alias("_slot"))
 

@@ -27,6 +27,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@cache
+def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``lineitem``, spread over the cores when the file has fewer splits than there are cores.
+
+    A large table has many more splits than cores and is read as it is.
+    """
+    read = table(spark, sf_dir, "lineitem")
+    cores = spark.sparkContext.defaultParallelism
+    return read.repartition(cores) if read.rdd.getNumPartitions() < cores else read
+
+
 def _dec(c: Column | str, p: int = 12, s: int = 2) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast(f"decimal({p},{s})")
 
@@ -45,7 +56,6 @@ def _known(condition: Column, value: Column | str) -> Column:
 
 
 def sales(spark: SparkSession, sf_dir: str, channel: Channel) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     order, price = F.col("l_orderkey"), _dec("l_extendedprice")
     column = _REBATE[channel.name]
@@ -69,7 +79,7 @@ def sales(spark: SparkSession, sf_dir: str, channel: Channel) -> DataFrame:
         channel.s("coupon_amt"): F.col("l_linenumber").cast("double"),
         channel.s("net_profit"): _amount(price * (_dec(F.lit(0.05), 4) - _dec("l_discount", 4))),
     }
-    joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    joined = lines(spark, sf_dir).join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     return joined.select(*[c.alias(name) for name, c in columns.items()])
 
 
@@ -84,8 +94,8 @@ def returns(spark: SparkSession, sf_dir: str, channel: Channel) -> DataFrame:
         channel.return_amount: _amount(price * _dec(F.lit(0.5), 2, 1)),
         channel.r("net_loss"): _amount(price * _dec(F.lit(0.1), 2, 1)),
     }
-    lines = table(spark, sf_dir, "lineitem").where(F.col("l_returnflag") == _RETURN_FLAG[channel.name])
-    return lines.select(*[c.alias(name) for name, c in columns.items()])
+    returned = lines(spark, sf_dir).where(F.col("l_returnflag") == _RETURN_FLAG[channel.name])
+    return returned.select(*[c.alias(name) for name, c in columns.items()])
 
 
 def date_dim(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -89,7 +89,7 @@ def membership_and_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered("""SELECT o_orderkey, CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS DOUBLE) AS total,
     CAST(TRY_CAST(o_totalprice AS DECIMAL(7,2)) AS DOUBLE) AS fits_seven_digits,
-    datediff('day', CAST(o_orderdate AS DATE), DATE '2003-12-31') AS age_days, 'ORDER' AS kind,
+    datediff('day', CAST(o_orderdate AS DATE), DATE '2003-12-31')::INT AS age_days, 'ORDER' AS kind,
     coalesce(TRY_CAST(TRY_CAST(o_totalprice AS DECIMAL(7,2)) AS DOUBLE), 0) AS total_or_zero FROM orders""")
 def casts_and_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
     total = F.col("o_totalprice")
@@ -106,7 +106,7 @@ def casts_and_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered(f"""SELECT c_custkey, {oracles.initcap("trim(lower(c_mktsegment))")} AS segment,
     lower(trim(concat(' ', c_name, ' '))) AS lower_name, upper(c_mktsegment) AS upper_segment,
     concat_ws(' ', CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE c_name END, c_mktsegment) AS joined,
-    concat('$', format('{{:,.2f}}', c_acctbal)) AS shown, length(c_name) AS name_length FROM customer""")
+    concat('$', format('{{:,.2f}}', c_acctbal)) AS shown, length(c_name)::INT AS name_length FROM customer""")
 def text_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     maybe_name = F.when(F.col("c_custkey") % 3 != 0, F.col("c_name"))
     return table(spark, sf_dir, "customer").select(
@@ -136,10 +136,11 @@ def key_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.agg(pick("all_lines"), pick("with_item"), pick("with_item_and_customer"))
 
 
-@registered("""SELECT * FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+@registered("""SELECT * REPLACE (strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate) FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
     ORDER BY l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) = 1""")
 def dedupe_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedupe(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+    kept = dedupe(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+    return kept.withColumn("l_shipdate", F.date_format("l_shipdate", "yyyy-MM-dd"))
 
 
 # --- joins -------------------------------------------------------------------------
@@ -256,8 +257,8 @@ def sorted_by_hidden_aggregate(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- whole-table ranks -----------------------------------------------------------------
 
 
-@registered("""SELECT o_orderkey, ntile(7) OVER (ORDER BY o_totalprice DESC NULLS LAST, o_orderkey) AS by_price,
-    ntile(5) OVER (ORDER BY o_orderdate ASC NULLS FIRST, o_orderkey) AS by_date FROM orders""")
+@registered("""SELECT o_orderkey, ntile(7) OVER (ORDER BY o_totalprice DESC NULLS LAST, o_orderkey)::INT AS by_price,
+    ntile(5) OVER (ORDER BY o_orderdate ASC NULLS FIRST, o_orderkey)::INT AS by_date FROM orders""")
 def global_ntiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderdate")
     tiled = global_ntile(orders, 7, [("o_totalprice", "desc")], "o_orderkey", "by_price")
@@ -497,7 +498,7 @@ def synthetic_returns_of_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         "flag": synth.pick("Y", "N", weights=(0.05, 0.95)),
         "returned": synth.text(synth.day("1998-01-01", "2003-12-31")),
     }, rows)
-    sample = synth.sample_keys(orders, "o_orderkey", "o_orderkey", size)
+    sample = synth.sample_keys(orders, "o_orderkey", "o_orderkey", size, rows)
     return synth.with_parent_key(made, sample, size, "sr_ticket_number", "sr_id")
 
 

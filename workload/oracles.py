@@ -30,7 +30,7 @@ def dec(x: str, p: int = 12, s: int = 2) -> str:
 
 
 def date_sk(x: str) -> str:
-    return f"(year({x}) * 10000 + month({x}) * 100 + day({x}))"
+    return f"CAST(year({x}) * 10000 + month({x}) * 100 + day({x}) AS INTEGER)"
 
 
 # --- the raw tables -----------------------------------------------------------------
@@ -76,8 +76,8 @@ def src_returns(ch: str) -> str:
       FROM lineitem WHERE l_returnflag = '{flag}')"""
 
 
-SRC_DATE = f"""src_date AS (SELECT {date_sk('d')} AS d_date_sk, d AS d_date, year(d) AS d_year, month(d) AS d_moy,
-      day(d) AS d_dom, quarter(d) AS d_qoy, concat(year(d), 'Q', quarter(d)) AS d_quarter_name, dayname(d) AS d_day_name,
+SRC_DATE = f"""src_date AS (SELECT {date_sk('d')} AS d_date_sk, d AS d_date, year(d)::INT AS d_year, month(d)::INT AS d_moy,
+      day(d)::INT AS d_dom, quarter(d)::INT AS d_qoy, concat(year(d), 'Q', quarter(d)) AS d_quarter_name, dayname(d) AS d_day_name,
       CASE WHEN isodow(d) >= 6 THEN 'Y' ELSE 'N' END AS d_weekend,
       CASE WHEN (month(d) = 12 AND day(d) = 25) OR (month(d) = 1 AND day(d) = 1) THEN 'Y' ELSE 'N' END AS d_holiday
       FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders))"""
@@ -207,13 +207,13 @@ CUSTOMER_VALUE = f"""customer_value AS (SELECT customer_sk, count(*) AS total_tr
       max(d_date) AS last_purchase_date, min(d_date) AS first_purchase_date,
       count(DISTINCT d_date) AS unique_purchase_days, {by_channel('sales_amt')},
       CAST(sum(CASE WHEN is_returned THEN 1 ELSE 0 END) AS BIGINT) AS total_returned_txns,
-      DATE '2001-12-31' - max(d_date) AS days_since_last_purchase
+      CAST(DATE '2001-12-31' - max(d_date) AS INTEGER) AS days_since_last_purchase
       FROM fact WHERE customer_sk IS NOT NULL GROUP BY customer_sk)"""
 
 RFM = """tiles AS (SELECT *,
-      ntile(5) OVER (ORDER BY days_since_last_purchase ASC NULLS FIRST, customer_sk) AS recency_score,
-      ntile(5) OVER (ORDER BY total_transactions DESC NULLS LAST, customer_sk) AS frequency_score,
-      ntile(5) OVER (ORDER BY lifetime_net_sales DESC NULLS LAST, customer_sk) AS monetary_score FROM customer_value),
+      CAST(ntile(5) OVER (ORDER BY days_since_last_purchase ASC NULLS FIRST, customer_sk) AS INTEGER) AS recency_score,
+      CAST(ntile(5) OVER (ORDER BY total_transactions DESC NULLS LAST, customer_sk) AS INTEGER) AS frequency_score,
+      CAST(ntile(5) OVER (ORDER BY lifetime_net_sales DESC NULLS LAST, customer_sk) AS INTEGER) AS monetary_score FROM customer_value),
     rfm AS (SELECT *, recency_score + frequency_score + monetary_score AS rfm_score,
       CASE WHEN recency_score + frequency_score + monetary_score >= 13 THEN 'Champions'
         WHEN recency_score + frequency_score + monetary_score >= 10 THEN 'Loyal Customers'
