@@ -36,8 +36,10 @@ class LayerConfig:
     three RFM orders round so that the best customers score highest;
     ``null_as_zero`` lets a channel without sales count as 0 when channels are
     compared. Both are off by default, which keeps the established results.
-    ``shuffle_partitions`` is set while a layer is rebuilt; without it the session's
-    own setting stands.
+    While a layer is rebuilt, ``shuffle_partitions`` is set (without it the session's own
+    setting stands), and stored tables up to ``broadcast_limit`` are broadcast: a
+    larger one is joined by sort-merge, but shuffling a whole fact for a
+    dimension of a few MB would cost far more.
     """
 
     root: str
@@ -47,6 +49,7 @@ class LayerConfig:
     best_is_high: bool = False
     null_as_zero: bool = False
     shuffle_partitions: int | None = None
+    broadcast_limit: str = "64MB"
     bases: dict[str, str] = field(
         default_factory=lambda: {RAW: "raw", SILVER: "silver", GOLD: "gold"}
     )
