@@ -169,3 +169,40 @@ def test_status_rollup(spark):
     )
     got = {r.layer: tuple(r)[1:] for r in reports.run_status_rollup(ledger).collect()}
     assert got == {"raw": (1, 1, 2, ["b"]), "gold": (1, 0, 0, [])}
+
+
+def test_models_match_the_plain_formulation_on_skewed_data(spark, many_slices):
+    """A third of the lines belong to one customer, one item and one day; money is heavily tied."""
+    i = F.col("id")
+    hot = i % 3 == 0
+    mixed = lambda n: F.pmod(F.xxhash64("id", F.lit(n)), F.lit(n))
+    gross = (mixed(5) * 10).cast("decimal(14,2)")
+    fact = spark.range(6000).select(
+        F.element_at(F.array(*[F.lit(c) for c in ("STORE", "CATALOG", "WEB")]), (mixed(3) + 1).cast("int")).alias("channel"),
+        F.when(hot, 1).when(i % 7 != 0, mixed(97)).cast("bigint").alias("customer_sk"),
+        F.when(hot, 2).when(i % 11 != 0, mixed(53)).cast("bigint").alias("item_sk"),
+        gross.alias("gross_sales_amt"), gross.cast("decimal(23,2)").alias("net_sales_amt"),
+        F.lit(0).cast("decimal(22,2)").alias("return_amt"), (mixed(2)).alias("return_qty"),
+        F.lit(1).cast("decimal(12,2)").alias("net_profit"), mixed(9).alias("quantity"),
+        F.lit(1).cast("decimal(12,2)").alias("unit_price"), F.lit(1.5).alias("discount_pct"),
+        F.when(hot, F.lit(date(2000, 1, 1))).when(i % 5 != 0, F.date_add(F.lit(date(2000, 1, 1)), mixed(40).cast("int"))).alias("d_date"),
+        (mixed(2) > 0).alias("is_returned"),
+    )
+    fact.createOrReplaceTempView("skewed_fact")
+    value = """SELECT customer_sk, count(*) AS n, sum(net_sales_amt) AS net, count(DISTINCT d_date) AS days,
+        datediff(DATE '2001-01-01', max(d_date)) AS age FROM skewed_fact WHERE customer_sk IS NOT NULL GROUP BY customer_sk"""
+    want = spark.sql(f"""SELECT customer_sk, n, net, days, age, ntile(5) OVER (ORDER BY age, customer_sk) AS r,
+        ntile(5) OVER (ORDER BY n DESC, customer_sk) AS f, ntile(5) OVER (ORDER BY net DESC, customer_sk) AS m FROM ({value})""")
+    got = gold.rfm_scores(gold.customer_value(fact, date(2001, 1, 1))).select(
+        "customer_sk", "total_transactions", "lifetime_net_sales", "unique_purchase_days", "days_since_last_purchase",
+        "recency_score", "frequency_score", "monetary_score",
+    )
+    assert rows(got) == rows(want)
+
+    want = spark.sql("""SELECT *, dense_rank() OVER (ORDER BY net DESC) AS rank, round(net / sum(net) OVER () * 100, 4) AS share FROM (
+        SELECT item_sk, sum(net_sales_amt) AS net, count(DISTINCT customer_sk) AS buyers, count(DISTINCT d_date) AS days
+        FROM skewed_fact WHERE item_sk IS NOT NULL GROUP BY item_sk)""")
+    got = gold.product_performance(fact, spark.createDataFrame([], ITEM)).select(
+        "item_sk", "total_net_sales", "unique_customers", "active_selling_days", "revenue_rank", "revenue_pct_of_total"
+    )
+    assert rows(got) == rows(want)

@@ -49,7 +49,7 @@ class LayerConfig:
     best_is_high: bool = False
     null_as_zero: bool = False
     shuffle_partitions: int | None = None
-    broadcast_limit: str = "64MB"
+    broadcast_limit: str = "32MB"
     bases: dict[str, str] = field(
         default_factory=lambda: {RAW: "raw", SILVER: "silver", GOLD: "gold"}
     )

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from datetime import date
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -34,6 +36,21 @@ CUSTOMER_COLUMNS = (
     "c_customer_sk c_full_name c_email_address c_birth_year c_birth_country "
     "c_preferred_cust_flag c_current_addr_sk c_salutation"
 ).split()
+# Sums per customer and per item, and what they add up.
+CUSTOMER_SUMS = {
+    "lifetime_gross_sales": "gross_sales_amt",
+    "lifetime_net_sales": "net_sales_amt",
+    "lifetime_returns": "return_amt",
+    "lifetime_net_profit": "net_profit",
+}
+PRODUCT_SUMS = {
+    "total_gross_sales": "gross_sales_amt",
+    "total_net_sales": "net_sales_amt",
+    "total_net_profit": "net_profit",
+    "total_units_sold": "quantity",
+    "total_returns": "return_amt",
+    "total_return_units": "return_qty",
+}
 # What the two models on top of the fact read of it.
 VALUE_COLUMNS = (
     "channel customer_sk gross_sales_amt net_sales_amt return_amt net_profit d_date is_returned"
@@ -121,6 +138,10 @@ def sales_fact(silver: Mapping[str, DataFrame]) -> DataFrame:
 # --- shared by the two models on top of the fact -------------------------------
 
 
+def _sums(sums: Mapping[str, str]) -> list[Column]:
+    return [F.sum(source).alias(name) for name, source in sums.items()]
+
+
 def _sum_by_channel(suffix: str) -> list[Column]:
     """Gross sales per channel; NULL where a channel sold nothing."""
     return [
@@ -147,16 +168,14 @@ def leading_channel(suffix: str, null_as_zero: bool = False) -> Column:
     customer of the store alone is reported under WEB. ``null_as_zero``
     compares such a channel as 0 instead.
     """
-    store, catalog, web = [
-        F.coalesce(F.col(f"{c.name.lower()}_{suffix}"), F.lit(0)) if null_as_zero
-        else F.col(f"{c.name.lower()}_{suffix}")
-        for c in CHANNELS
-    ]
-    return (
-        F.when((store >= catalog) & (store >= web), F.lit("STORE"))
-        .when(catalog >= web, F.lit("CATALOG"))
-        .otherwise(F.lit("WEB"))
-    )
+    sums = [F.col(f"{c.name.lower()}_{suffix}") for c in CHANNELS]
+    if null_as_zero:
+        sums = [F.coalesce(c, F.lit(0)) for c in sums]
+    leader = F
+    for i, channel in enumerate(CHANNELS[:-1]):
+        beats_the_rest = reduce(and_, [sums[i] >= other for other in sums[i + 1:]])
+        leader = leader.when(beats_the_rest, F.lit(channel.name))
+    return leader.otherwise(F.lit(CHANNELS[-1].name))
 
 
 # --- customer 360 --------------------------------------------------------------
@@ -170,15 +189,12 @@ def customer_value(fact: DataFrame, analysis_date: date) -> DataFrame:
     bought = fact.where(F.col("customer_sk").isNotNull())
     totals = bought.groupBy("customer_sk").agg(
         F.count("*").alias("total_transactions"),
-        F.sum("gross_sales_amt").alias("lifetime_gross_sales"),
-        F.sum("net_sales_amt").alias("lifetime_net_sales"),
-        F.sum("return_amt").alias("lifetime_returns"),
-        F.sum("net_profit").alias("lifetime_net_profit"),
+        *_sums(CUSTOMER_SUMS),
         F.avg("gross_sales_amt").alias("avg_transaction_value"),
         F.max("d_date").alias("last_purchase_date"),
         F.min("d_date").alias("first_purchase_date"),
         *_sum_by_channel("sales_amt"),
-        F.sum(F.when(F.col("is_returned"), 1).otherwise(0)).alias("total_returned_txns"),
+        F.count_if("is_returned").alias("total_returned_txns"),
     )
     days = _distinct_per(bought, "customer_sk", "d_date", "unique_purchase_days")
     return totals.join(days, "customer_sk", "left").withColumns({
@@ -237,13 +253,8 @@ def product_value(fact: DataFrame, item: DataFrame) -> DataFrame:
     """
     sold = fact.where(F.col("item_sk").isNotNull())
     totals = sold.groupBy("item_sk").agg(
-        F.sum("gross_sales_amt").alias("total_gross_sales"),
-        F.sum("net_sales_amt").alias("total_net_sales"),
-        F.sum("net_profit").alias("total_net_profit"),
-        F.sum("quantity").alias("total_units_sold"),
         F.count("*").alias("num_transactions"),
-        F.sum("return_amt").alias("total_returns"),
-        F.sum("return_qty").alias("total_return_units"),
+        *_sums(PRODUCT_SUMS),
         F.avg("unit_price").alias("avg_selling_price"),
         # Summed as decimals: the order of the rows cannot change the result.
         (F.sum(F.col("discount_pct").try_cast("decimal(18,2)")).cast("double") / F.count("discount_pct"))
@@ -256,8 +267,7 @@ def product_value(fact: DataFrame, item: DataFrame) -> DataFrame:
     out = totals.join(buyers, "item_sk", "left").join(days, "item_sk", "left").join(described, "item_sk", "left")
     return out.select(
         "item_sk", *PRODUCT_COLUMNS,
-        "total_gross_sales", "total_net_sales", "total_net_profit", "total_units_sold",
-        "num_transactions", "total_returns", "total_return_units", "avg_selling_price", "avg_discount_pct",
+        *PRODUCT_SUMS, "num_transactions", "avg_selling_price", "avg_discount_pct",
         F.coalesce("unique_customers", F.lit(0)).alias("unique_customers"),
         "store_revenue", "catalog_revenue", "web_revenue",
         F.coalesce("active_selling_days", F.lit(0)).alias("active_selling_days"),
