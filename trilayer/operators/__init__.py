@@ -3,12 +3,13 @@ from trilayer.operators.joins import keyed_left_join
 from trilayer.operators.ranking import (
     global_dense_rank,
     global_ntile,
+    global_ntiles,
     global_row_index,
     share_of_total,
 )
 from trilayer.operators.settle import settle
 
 __all__ = [
-    "dedupe", "global_dense_rank", "global_ntile", "global_row_index",
+    "dedupe", "global_dense_rank", "global_ntile", "global_ntiles", "global_row_index",
     "keyed_left_join", "settle", "share_of_total",
 ]

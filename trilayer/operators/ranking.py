@@ -7,8 +7,10 @@ its rows and only one small row per slice is ever brought together.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from trilayer.operators.settle import settle
@@ -69,7 +71,20 @@ def global_ntile(
     Only the ordering columns are sorted. The k-1 rows that open tiles 2..k are
     then compared with every row in place, so ``df`` itself is not shuffled.
     """
-    order = [*order, tiebreak]
+    return global_ntiles(df, k, {name: order}, tiebreak)
+
+
+def global_ntiles(
+    df: DataFrame, k: int, orders: Mapping[str, Sequence[Order]], tiebreak: str
+) -> DataFrame:
+    """Several ``global_ntile`` columns of one table; their sorts run side by side."""
+    column = lambda order: _tile(df, k, [*order, tiebreak])
+    with ThreadPoolExecutor(max_workers=len(orders)) as pool:
+        tiles = list(pool.map(inheritable_thread_target(df.sparkSession)(column), orders.values()))
+    return df.withColumns(dict(zip(orders, tiles)))
+
+
+def _tile(df: DataFrame, k: int, order: Sequence[Order]) -> Column:
     columns = list(dict.fromkeys(c for c, _ in _parts(order)))
     sliced = _sliced(df.select(*columns), order)
     # One row per slice, then at most k-1 rows, come to the driver.
@@ -82,7 +97,7 @@ def global_ntile(
             is_opening = is_opening | ((F.col(_SLICE) == slice_id) & (F.col(_AT) == at))
         for row in sliced.where(is_opening).collect():
             tile = tile + F.when(_at_or_after(order, row), 1).otherwise(0)
-    return df.withColumn(name, tile)
+    return tile
 
 
 def _tile_openings(sizes: Sequence[tuple[int, int]], k: int) -> list[tuple[int, int]]:

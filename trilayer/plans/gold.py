@@ -13,7 +13,7 @@ from trilayer.channels import CHANNELS, Channel
 from trilayer.functions import bucket, guarded_pct
 from trilayer.operators import (
     global_dense_rank,
-    global_ntile,
+    global_ntiles,
     keyed_left_join,
     settle,
     share_of_total,
@@ -215,11 +215,10 @@ def rfm_scores(value: DataFrame, best_is_high: bool = False) -> DataFrame:
         "frequency_score": ("total_transactions", not best_is_high),
         "monetary_score": ("lifetime_net_sales", not best_is_high),
     }
-    for score, (measure, descending) in orders.items():
-        order = (measure, "desc") if descending else measure
-        value = global_ntile(value, 5, [order], tiebreak="customer_sk", name=score)
+    orders = {score: [(c, "desc") if down else c] for score, (c, down) in orders.items()}
+    tiled = global_ntiles(value, 5, orders, tiebreak="customer_sk")
     total = F.col("recency_score") + F.col("frequency_score") + F.col("monetary_score")
-    return value.withColumn("rfm_score", total).withColumn(
+    return tiled.withColumn("rfm_score", total).withColumn(
         "rfm_segment", bucket("rfm_score", RFM_SEGMENTS, "Churned")
     )
 

@@ -24,6 +24,7 @@ from trilayer.operators import (
     dedupe,
     global_dense_rank,
     global_ntile,
+    global_ntiles as ntiles,
     global_row_index,
     keyed_left_join,
     share_of_total,
@@ -262,7 +263,7 @@ def sorted_by_hidden_aggregate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def global_ntiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderdate")
     tiled = global_ntile(orders, 7, [("o_totalprice", "desc")], "o_orderkey", "by_price")
-    return global_ntile(tiled, 5, ["o_orderdate"], "o_orderkey", "by_date").select("o_orderkey", "by_price", "by_date")
+    return ntiles(tiled, 5, {"by_date": ["o_orderdate"]}, "o_orderkey").select("o_orderkey", "by_price", "by_date")
 
 
 @registered("""SELECT o_orderkey, CAST(dense_rank() OVER (ORDER BY o_orderdate DESC NULLS LAST) AS INTEGER) AS date_rank FROM orders""")
