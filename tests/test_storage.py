@@ -59,12 +59,14 @@ def test_write_replaces_counts_and_stamps(spark, tmp_path):
 def test_register(spark, tmp_path):
     cfg = lakehouse(tmp_path, "register_db")
     spark.range(3).write.parquet(cfg.path(GOLD, "a"))
+    spark.range(1).createOrReplaceTempView("gold_a")  # a session's view is not a registered table
     assert storage.list_registered(spark, cfg) == {}
     assert statuses(storage.register(spark, cfg, GOLD, ["a", "missing"])) == {"a": "created", "missing": "error"}
     assert statuses(storage.register(spark, cfg, GOLD, ["a"])) == {"a": "skipped"}
     assert statuses(storage.register(spark, cfg, GOLD, ["a"], refresh=True)) == {"a": "refreshed"}
     assert storage.list_registered(spark, cfg) == {"gold_a": "register_db.gold_a"}
     assert storage.read_table(spark, cfg, GOLD, "a").count() == 3
+    spark.catalog.dropTempView("gold_a")
 
 
 def test_preflight_names_every_unreadable_input(spark, tmp_path):
@@ -119,3 +121,11 @@ def test_passthrough_reports_a_missing_table_and_goes_on(spark, tmp_path):
     got = statuses(refresh.passthrough(spark, cfg, ("store", "reason")))
     assert got == {"store": "error", "reason": "ok"}
     assert "time_dim" in PASSTHROUGH_TABLES
+
+
+def test_the_table_format_is_a_setting(spark, tmp_path):
+    cfg = LayerConfig(root=str(tmp_path), database="orc_db", table_format="orc")
+    storage.create_database(spark, cfg)
+    assert storage.write_layer(spark.range(4), cfg, GOLD, "t") == 4
+    assert storage.read_layer(spark, cfg, GOLD, "t").count() == 4
+    assert list((tmp_path / "gold" / "gold_t").glob("*.orc"))

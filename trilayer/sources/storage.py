@@ -116,7 +116,8 @@ def first_line(e: Exception) -> str:
 def list_registered(spark: SparkSession, cfg: LayerConfig) -> dict[str, str]:
     """Registered name to qualified name; empty when the catalog cannot be listed."""
     try:
-        return {t.name: f"{cfg.database}.{t.name}" for t in spark.catalog.listTables(cfg.database)}
+        tables = [t for t in spark.catalog.listTables(cfg.database) if not t.isTemporary]
+        return {t.name: f"{cfg.database}.{t.name}" for t in tables}
     except Exception:
         return {}
 
