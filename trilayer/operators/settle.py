@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,18 +10,18 @@ from pyspark.sql import DataFrame, SparkSession
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local session without the setting gets a folder of its own; a cluster
-    without it is refused, because executors could not read a local folder.
+    Where the setting is missing, a folder inside the warehouse is used: the warehouse is
+    shared by driver and executors in every session, local or not.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="trilayer-"))
-    return context.getCheckpointDir().rstrip("/")
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_settled"
+
+
+def scratch_path(spark: SparkSession, purpose: str) -> str:
+    """A new path in the shared folder."""
+    return f"{checkpoint_root(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
 def settle(df: DataFrame) -> DataFrame:
@@ -31,6 +30,6 @@ def settle(df: DataFrame) -> DataFrame:
     Later steps then re-read files instead of re-running the plan, which keeps
     results stable when an executor is lost, and the scan still prunes columns.
     """
-    path = f"{checkpoint_root(df.sparkSession)}/settled-{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession, "settled")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
