@@ -16,6 +16,7 @@ import hashlib
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,19 +34,43 @@ HEAD = struct.Struct("<4sBI32s")
 # Unicode white space, as the tokenizer's own patterns see it.
 _WS = "\t-\r \x85\xa0  -     　"
 _CHUNK = re.compile(f" ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]")
-_ODD = re.compile("[\t\x0b-\r\x85\xa0  -     　]|[ \n]{2}|^[ \n]|[ \n]$")
+_OTHER_SPACE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+_RUNS = ("  ", "\n\n", " \n", "\n ", "\t", "\r", "\x0b", "\x0c")
+
+
+def _plainly_spaced(text: str) -> bool:
+    """Whether all white space is single spaces and line ends between words."""
+    return not (
+        text[0] in " \n" or text[-1] in " \n" or any(r in text for r in _RUNS)
+        or not text.isascii() and _OTHER_SPACE.search(text)
+    )
+
+
+def byte_letters() -> dict[int, str]:
+    """How byte-level vocabularies spell bytes: printable Latin-1 as itself, the others from U+0100 on."""
+    printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = iter(range(0x100, 0x200))
+    return {b: chr(b if b in printable else next(others)) for b in range(256)}
 
 
 class _Pieces(dict):
-    """Ids of text pieces as bytes. Cleared when it holds ``most`` pieces, so memory is bounded."""
+    """Ids of text pieces as bytes, for the last ``most`` to twice as many distinct pieces.
 
-    def __init__(self, encode, before: str, most: int = 300_000):
-        self.encode, self.before, self.most = encode, before, most
+    When full, what was used lately stays as the older generation, so memory is bounded and
+    frequent pieces are not encoded again.
+    """
+
+    def __init__(self, encode, most: int = 200_000):
+        self.encode, self.most, self.older = encode, most, {}
 
     def __missing__(self, piece: str) -> bytes:
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = self.encode(piece)
         if len(self) >= self.most:
+            self.older = dict(self)
             self.clear()
-        ids = self[piece] = self.encode(self.before + piece)
+        self[piece] = ids
         return ids
 
 
@@ -64,15 +89,24 @@ class Encoder:
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.kind = "<u2" if self.width == 2 else "<u4"
-        self.spaced, self.bare = _Pieces(self._piece, " "), _Pieces(self._piece, "")
-        self.words = _Pieces(self._word, "")
+        self.spaced, self.bare = _Pieces(self._spaced), _Pieces(self._bare)
         self.model, self.split = self.tokenizer.model, self.tokenizer.pre_tokenizer.pre_tokenize_str
+        self.letters, self.code = byte_letters(), "H" if self.width == 2 else "I"
+
+    def _word(self, spelled: str) -> bytes:
+        return array(self.code, [t.id for t in self.model.tokenize(spelled)]).tobytes()
 
-    def _word(self, mapped: str) -> bytes:
-        return np.array([t.id for t in self.model.tokenize(mapped)], self.kind).tobytes()
+    def _bare(self, piece: str) -> bytes:
+        return b"".join([self._word(w) for w, _ in self.split(piece)])
 
-    def _piece(self, piece: str) -> bytes:
-        return b"".join([self.words[w] for w, _ in self.split(piece)])
+    def _spaced(self, piece: str) -> bytes:
+        """Ids of a space and ``piece``. A space and letters are one unit, as is one mark after them."""
+        if piece.isalpha():
+            spelled = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
+            return self._word(self.letters[32] + spelled)
+        if piece[-1:] in {".", ","} and piece[:-1].isalpha():
+            return self.spaced[piece[:-1]] + self.bare[piece[-1]]
+        return self._bare(" " + piece)
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
@@ -83,7 +117,7 @@ class Encoder:
         if any(s in text for s in self.special):
             return self.whole(text)
         bare, spaced = self.bare, self.spaced
-        if _ODD.search(text):
+        if not _plainly_spaced(text):
             return b"".join([bare[c] for c in _CHUNK.findall(text)])
         out, end = [], bare["\n"]
         for line in text.split("\n"):
@@ -104,11 +138,15 @@ def encoder(tokenizer_file: str, _kept: dict = {}) -> Encoder:
 def train_dictionary(docs: DataFrame, tokenizer_file: str, end_id: int, samples: int = 1000, size: int = 32 << 10, longest: int = 4000) -> bytes:
     """A zstandard dictionary from id arrays of up to ``samples`` texts of at most ``longest`` characters.
 
-    The sample is the texts with the smallest hashes of the whole table; it bounds what
+    The sample goes by the hashes of all texts; it bounds what
     reaches the driver and is the only sampled thing here. Too little text gives an
     empty dictionary, which compresses plainly.
     """
+    # About four times as many come through the threshold, so that the sort handles few.
+    chance, steps = 4 * samples / max(1, docs.count()), 1 << 30
     texts = docs.where(F.length("text").between(1, longest)).select("text")
+    if chance < 1:
+        texts = texts.where(F.pmod(F.xxhash64("text"), F.lit(steps)) < int(chance * steps))
     texts = texts.orderBy(F.xxhash64("text"), "text").limit(samples).collect()
     encode = encoder(tokenizer_file)
     end = np.array([end_id], encode.kind).tobytes()
