@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from trilayer.llm.common import WORD, read
-from trilayer.operators import settle
+from trilayer.operators import keyed_left_join, settle
 
 def words(c: str) -> Column:
     """Number of words; null texts have none."""
@@ -64,10 +64,15 @@ def _running(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield rows.assign(slice=part, before=upto - rows["size"])
 
 
+def _key(seed: str) -> Column:
+    own = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    return F.md5(F.concat_ws(":", F.lit(seed), own, F.md5(F.coalesce("text", F.lit("")))))
+
+
 def mix_plan(
     docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share_pct: int = 150, most: int = 2, seed: str = "mix"
 ) -> DataFrame:
-    """How many words of each document the mix takes: ``doc_id, source, size, source_size, target, taken``.
+    """How many words of each document the mix takes: ``doc_id, source, key, size, source_size, target, taken``.
 
     Keys are the MD5 of seed, ``doc_id`` and the text's MD5, so every run gives the same mix; rows that agree in all of
     these are told apart by nothing and share one place in the order in any arrangement.
@@ -76,11 +81,10 @@ def mix_plan(
     its own, the last. A null ``doc_id`` counts as an empty one in the key. An empty table
     gives no rows. Other columns are ignored.
     """
-    key = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5(F.coalesce("text", F.lit("")))))
-    keyed = docs.select(F.col("doc_id").cast("bigint"), "source", words("text").alias("size"), key.alias("key"))
+    keyed = docs.select(F.col("doc_id").cast("bigint"), "source", words("text").alias("size"), _key(seed).alias("key"))
     by = [F.col("source").isNull(), "source", "key"]
     sorted_ = keyed.repartitionByRange(*by).sortWithinPartitions(*by)
-    placed = settle(sorted_.drop("key").mapInPandas(_running, "doc_id bigint, source string, size bigint, slice int, before bigint"))
+    placed = settle(sorted_.mapInPandas(_running, "doc_id bigint, source string, size bigint, key string, slice int, before bigint"))
     # One row per slice and source from here on.
     part = placed.groupBy("source", "slice").agg(F.sum("size").alias("words"))
     ahead = Window.partitionBy("source").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -96,25 +100,28 @@ def mix_plan(
     rest = budget - whole * F.col("source_size")
     from_rest = F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("ahead") - F.col("before")))
     return placed.join(part, here, "left").select(
-        "doc_id", "source", "size", "source_size", "target",
+        "doc_id", "source", "key", "size", "source_size", "target",
         (whole * F.col("size") + from_rest).cast("bigint").alias("taken"),
     )
 
 
-def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+def mixed_documents(docs: DataFrame, seed: str = "mix", **options) -> DataFrame:
     """The rows of ``docs`` in the mix: a document appears once for each epoch that reaches it.
 
-    Documents are kept whole: one that is cut by the budget still appears with its whole text.
+    Documents are kept whole: one that is cut by the budget still appears with its whole text. Rows
+    that agree in id, source and text share their turns evenly, rounded up. All columns stay.
     """
-    plan = mix_plan(docs, **options)
+    none = F.lit("\0")
     times = F.when(F.col("size") > 0, F.ceil(F.col("taken") / F.col("size"))).otherwise(F.lit(0))
-    plan = plan.select(F.col("doc_id").alias("_id"), times.cast("int").alias("_times")).where("_times > 0")
-    joined = docs.join(plan, docs["doc_id"].eqNullSafe(F.col("_id")))
-    return joined.withColumn("_epoch", F.explode(F.sequence(F.lit(1), F.col("_times")))).drop("_id", "_times", "_epoch")
+    plan = mix_plan(docs, seed=seed, **options).groupBy("key", F.coalesce("source", none).alias("src"))
+    plan = plan.agg(F.ceil(F.sum(times) / F.count("*")).cast("int").alias("_times")).where("_times > 0")
+    keyed = docs.withColumns({"_own": _key(seed), "_src": F.coalesce("source", none)})
+    joined = keyed_left_join(keyed, plan, [("_own", "key"), ("_src", "src")]).where("_times is not null")
+    return joined.withColumn("_epoch", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix_plan(read(spark, sf_dir, "documents")).drop("source")
+    return mix_plan(read(spark, sf_dir, "documents")).drop("source", "key")
 
 
 SQL = r"""

@@ -2,7 +2,18 @@
 
 from __future__ import annotations
 
-from trilayer.llm import line_dedup, mixing, ngram_join, pieces, pii, quality_rules, token_files, toxicity, vectors
+from trilayer.llm import (
+    line_dedup,
+    mixing,
+    ngram_join,
+    pieces,
+    pii,
+    quality_rules,
+    suffix_dedup,
+    token_files,
+    toxicity,
+    vectors,
+)
 
 QUERIES = {
     "op1_ngram_join": ngram_join.op1_ngram_join,
@@ -10,6 +21,7 @@ QUERIES = {
     "op3_line_dedup": line_dedup.op3_line_dedup,
     "op4_quality_rules": quality_rules.op4_quality_rules,
     "op5_pieces": pieces.op5_pieces,
+    "op6_suffix_dedup": suffix_dedup.op6_suffix_dedup,
     "op7_toxicity": toxicity.op7_toxicity,
     "op8_mixing": mixing.op8_mixing,
     "op9_token_files": token_files.op9_token_files,
