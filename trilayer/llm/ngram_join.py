@@ -209,7 +209,7 @@ def _linked(docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int, part:
     return settle(rows.select("a", "b", "x", "y").mapInArrow(verified, "a bigint, b bigint"))
 
 
-def link_documents(docs: DataFrame, k: int = 4, part: int = 85, most_common: int = 1 << 17) -> DataFrame:
+def link_documents(docs: DataFrame, k: int = 4, part: int = 85, most_common: int = 1 << 20) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs``.
 
     Two rows link when their shingle sets share ``part`` percent of their union. Equal sets are one class. Null, empty and blank texts have
@@ -241,12 +241,22 @@ def link_documents(docs: DataFrame, k: int = 4, part: int = 85, most_common: int
     labels = components(links)
     owned = keyed_left_join(classes.select("c", "g"), labels, [("c", "node")]).select("c", "g", F.coalesce("component", "c").alias("comp"))
     owned = settle(owned)
+    # A group of one set carries its parity bits too, folded to half, so that few pairs leave the join.
+    folded = classes.groupBy("g").agg(F.count("*").alias("sets"), *[
+        F.first(F.col(b).bitwiseXOR(F.col(BITS[i + 4]))).alias(f"p{i}") for i, b in enumerate(BITS[:4])
+    ])
+    alone = [F.when(F.col("sets") == 1, F.col(f"p{i}")).alias(f"p{i}") for i in range(4)]
     whole = owned.groupBy("g").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
     whole = whole.select(F.col("g").alias("w"), F.when(F.col("low") == F.col("high"), F.col("low")).alias("comp"))
-    placed = settle(keyed_left_join(lists, whole, [("g", "w")]).drop("w"))
-    others = placed.select(F.col("token").alias("t"), *[F.col(c).alias(f"e_{c}") for c in ("g", "n", "place", "comp")])
+    bits = keyed_left_join(whole, folded.select(F.col("g").alias("f"), *alone), [("w", "f")]).drop("f")
+    placed = settle(keyed_left_join(lists, bits, [("g", "w")]).drop("w"))
+    others = placed.select(F.col("token").alias("t"), *[F.col(c).alias(f"e_{c}") for c in ("g", "n", "place", "comp", "p0", "p1", "p2", "p3")])
     apart = F.col("comp").isNull() | F.col("e_comp").isNull() | (F.col("comp") != F.col("e_comp"))
-    met = placed.join(others, (F.col("token") == F.col("t")) & (F.col("e_g") < F.col("g")) & apart & _may_link(part)).select("g", "e_g").distinct()
+    differ = sum((F.bit_count(F.col(f"p{i}").bitwiseXOR(F.col(f"e_p{i}"))) for i in range(4)), F.lit(0))
+    size = F.col("n") + F.col("e_n")
+    alike = F.coalesce((100 + part) * (size - differ) >= 2 * part * size, F.lit(True))
+    here = (F.col("token") == F.col("t")) & (F.col("e_g") < F.col("g"))
+    met = placed.join(others, here & apart & _may_link(part) & alike).select("g", "e_g").distinct()
     mixed_groups = whole.where("comp is null").select(F.col("w").alias("g"), F.col("w").alias("e_g"))
     met = settle(met.unionAll(mixed_groups))
     members = owned.select(F.col("g").alias("of"), "c", "comp")
