@@ -1,6 +1,6 @@
 """Line dedup by an exact set-similarity join. DataFrame functions only.
 
-A line is the set of its words. Words are ordered by rarity over the whole corpus; a pair of lines that is similar
+A line is the set of its words, which blanks separate. Words are ordered by rarity over the whole corpus; a pair of lines that is similar
 enough must share one of the first few words of each. Candidates pass a length filter, a positional filter and
 a parity filter (64 bits whose difference bounds the number of words in one line only), then the Jaccard similarity
 is verified on the whole sets. A line goes if an earlier one matches it.
@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from trilayer.llm.common import SPACES, read
+from trilayer.llm.common import read
 from trilayer.operators import keyed_left_join, settle
 
 #: Jaccard similarity from which lines match: 9/10.
@@ -33,12 +33,12 @@ def lines(docs: DataFrame) -> DataFrame:
 
 
 def _words(line: str = "line") -> Column:
-    return F.filter(F.split(line, f"[{SPACES}]+"), lambda w: w != "")
+    return F.filter(F.split(line, " "), lambda w: w != "")
 
 
 def word_ranks(docs: DataFrame) -> list[int]:
     """For each group of words a number that grows with its count in all documents; ``GROUPS`` numbers reach the driver."""
-    group = F.pmod(F.xxhash64("word"), F.lit(GROUPS)).cast("int")
+    group = F.pmod(F.hash("word"), F.lit(GROUPS))
     counts = lines(docs).select(F.explode(_words()).alias("word")).groupBy(group.alias("g")).count().collect()
     ranks = [0] * GROUPS
     for r in counts:
@@ -50,8 +50,9 @@ def word_ranks(docs: DataFrame) -> list[int]:
 def tokens(ranks: list[int]) -> Column:
     """The line's distinct words as numbers, rarest first: 11 bits of rank, 52 of hash."""
     table = F.split(F.lit(",".join(map(str, ranks))), ",").cast("array<bigint>")
-    number = lambda h: F.shiftleft(F.element_at(table, (F.pmod(h, F.lit(GROUPS)) + 1).cast("int")), 52).bitwiseOR(F.shiftrightunsigned(h, 12))
-    return F.sort_array(F.array_distinct(F.transform(F.transform(_words(), lambda w: F.xxhash64(w)), number)))
+    group = lambda w: F.element_at(table, (F.pmod(F.hash(w), F.lit(GROUPS)) + 1))
+    number = lambda w: F.shiftleft(group(w), 52).bitwiseOR(F.shiftrightunsigned(F.xxhash64(w), 12))
+    return F.sort_array(F.array_distinct(F.transform(_words(), number)))
 
 
 def line_sets(docs: DataFrame, ranks: list[int], min_words: int) -> DataFrame:
@@ -112,12 +113,13 @@ def matched_classes(docs: DataFrame, min_words: int) -> tuple[DataFrame, DataFra
     posted = _posted(found)
     heads = posted.groupBy("token").agg(F.min(F.struct("first", "n", "bits", "place")).alias("e"), F.count("*").alias("m")).where("m > 1")
     heads = heads.select(F.col("token").alias("e_token"), "e.*").select("e_token", *earlier)
-    near_heads = keyed_left_join(posted, heads, [("token", "e_token")]).where(_may_match()).select("first", "e_first").distinct()
-    gone = settle(_verified(docs, ranks, settle(near_heads)))
-    left = keyed_left_join(found, gone.select(F.col("first").alias("g")), [("first", "g")]).where("g is null").drop("g")
-    others = posted.select(F.col("token").alias("e_token"), *earlier)
-    key = (F.col("token") == F.col("e_token")) & _may_match()
-    pairs = settle(_posted(left).join(others, key).select("first", "e_first").distinct())
+    # Most words of a prefix stand in one line only; what follows sees the other lists.
+    lists = settle(keyed_left_join(posted, heads, [("token", "e_token")]).where("e_token is not null").drop("e_token"))
+    gone = settle(_verified(docs, ranks, settle(lists.where(_may_match()).select("first", "e_first").distinct())))
+    lists = lists.drop("e_first", "e_n", "e_bits", "e_place")
+    left = keyed_left_join(lists, gone.select(F.col("first").alias("g")), [("first", "g")]).where("g is null").drop("g")
+    others = lists.select(F.col("token").alias("e_token"), *earlier)
+    pairs = settle(left.join(others, (F.col("token") == F.col("e_token")) & _may_match()).select("first", "e_first").distinct())
     return rows.select("at", "first"), settle(gone.unionAll(_verified(docs, ranks, pairs)))
 
 
