@@ -91,3 +91,12 @@ def test_rank_inputs_are_never_moved_into_one_task(spark, many_slices):
     assert "SinglePartition" not in tiled._jdf.queryExecution().executedPlan().toString()
     plan = global_dense_rank(df, ["v"], "k")._jdf.queryExecution().executedPlan().toString()
     assert "dense_rank" in plan and "hashpartitioning(_slice" in plan
+
+
+def test_tiles_of_timestamps_in_the_repeated_hour(spark, settings):
+    settings(**{"spark__sql__session__timeZone": "America/New_York"})
+    # 01:00 to 02:00 comes twice on this day.
+    df = spark.range(40).select("id", F.timestamp_seconds(1_698_553_800 + F.col("id") * 180).alias("at"))
+    tiled = global_ntile(df, 7, ["at"], "id")
+    want = df.select("id", "at", F.ntile(7).over(Window.orderBy("at", "id")).alias("tile"))
+    assert rows(tiled.select("id", "tile")) == rows(want.select("id", "tile"))

@@ -2,21 +2,9 @@ import xxhash
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
-from trilayer.config import RAW_TABLES
-from trilayer.sources import retail_tables, synth
+from trilayer.sources import synth
 from trilayer.sources.calendar import build_date_dim, build_income_bands, build_time_dim
 
-# Columns per table.
-WIDTHS = dict(zip(RAW_TABLES, (28, 10, 18, 13, 9, 5, 3, 22, 29, 31, 9, 26, 14, 14, 6, 3, 19, 23, 20, 34, 27, 34, 24, 4)))
-
-
-def test_every_table_has_its_columns(spark):
-    sales = {t: retail_tables.retail_table(spark, t, 0.0001) for t in ("store_sales", "catalog_sales", "web_sales")}
-    for t, width in WIDTHS.items():
-        df = retail_tables.retail_table(spark, t, 0.0001, sales=sales.get(t.replace("returns", "sales")))
-        assert len(df.columns) == width, t
-
-
 def test_draws_are_the_public_hash(spark):
     """Independent check of the hash with the xxhash package."""
     made = synth.synth_table(spark, {"v": synth.whole(0, 1000)}, 50).collect()
@@ -31,14 +19,6 @@ def test_draws_are_the_public_hash(spark):
     assert [r.v for r in made] == [hashed([42, zlib.crc32(b"v"), 0, i]) % 1000 for i in range(50)]
 
 
-def test_rows_do_not_depend_on_partitions(spark):
-    one = rows(retail_tables.retail_table(spark, "store_sales", 0.0001))
-    rules = retail_tables.fact_rules("store_sales")
-    made = spark.range(0, 500, 1, 3).withColumnRenamed("id", synth.ROW)
-    other = made.select(*[rule(F.col(synth.ROW), synth._draws(42, c)).alias(c) for c, rule in rules.items()])
-    assert rows(other) == one
-
-
 def test_ranges_weights_and_nulls(spark):
     df = synth.synth_table(spark, {
         "n": synth.some_null(synth.whole(1, 101)), "m": synth.amount(-1, 1), "w": synth.pick("Y", "N", weights=(0.05, 0.95)),
@@ -50,12 +30,14 @@ def test_ranges_weights_and_nulls(spark):
     assert (got[3], got[4]) == (-1.0, 1.0) and 0.04 < got[5] / 20_000 < 0.06
 
 
-def test_returns_come_from_sampled_sales(spark):
-    sales = retail_tables.retail_table(spark, "store_sales", 0.001)
-    back = retail_tables.retail_table(spark, "store_returns", 0.01, sales=sales)
-    assert back.count() == 5000
-    tickets = sales.select(F.col("ss_ticket_number").alias("sr_ticket_number"))
-    assert back.join(tickets, "sr_ticket_number", "left_anti").count() == 0
+def test_numbers_longer_than_the_width_stay_whole(spark):
+    made = spark.createDataFrame([(1_234_566,), (4,)], f"{synth.ROW} bigint").select(synth.numbered(1, "P", 6)(F.col(synth.ROW), None).alias("id"))
+    assert rows(made) == [("P000005",), ("P1234567",)]
+
+
+def test_a_sample_is_never_short(spark):
+    parent = spark.range(100_000).select((F.col("id") % 10).alias("k"))
+    assert synth.sample_keys(parent, "k", "k", 1000, 100_000).count() == 1000
 
 
 def test_date_dim(spark):

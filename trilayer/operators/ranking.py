@@ -85,8 +85,10 @@ def global_ntiles(
 
 
 def _tile(df: DataFrame, k: int, order: Sequence[Order]) -> Column:
-    columns = list(dict.fromkeys(c for c, _ in _parts(order)))
-    sliced = _sliced(df.select(*columns), order)
+    types = dict(df.dtypes)
+    # As a Python value a timestamp loses which of two equal local hours it is in; as a number it does not.
+    value = {c: F.unix_micros(c) if types[c] == "timestamp" else F.col(c) for c, _ in _parts(order)}
+    sliced = _sliced(df.select(*[v.alias(c) for c, v in value.items()]), order)
     # One row per slice, then at most k-1 rows, come to the driver.
     sizes = sliced.groupBy(_SLICE).count().orderBy(_SLICE).collect()
     openings = _tile_openings([(r[_SLICE], r["count"]) for r in sizes], k)
@@ -96,7 +98,7 @@ def _tile(df: DataFrame, k: int, order: Sequence[Order]) -> Column:
         for slice_id, at in openings:
             is_opening = is_opening | ((F.col(_SLICE) == slice_id) & (F.col(_AT) == at))
         for row in sliced.where(is_opening).collect():
-            tile = tile + F.when(_at_or_after(order, row), 1).otherwise(0)
+            tile = tile + F.when(_at_or_after(order, row, value), 1).otherwise(0)
     return tile
 
 
@@ -112,17 +114,17 @@ def _tile_openings(sizes: Sequence[tuple[int, int]], k: int) -> list[tuple[int,
     return found
 
 
-def _at_or_after(order: Sequence[Order], row) -> Column:
+def _at_or_after(order: Sequence[Order], row, values: Mapping[str, Column]) -> Column:
     reached = F.lit(True)
     for c, down in reversed(_parts(order)):
-        value = row[c]
+        own, value = values[c], row[c]
         if value is None:
-            past = F.lit(False) if down else F.col(c).isNotNull()
+            past = F.lit(False) if down else own.isNotNull()
         elif down:
-            past = F.col(c).isNull() | (F.col(c) < F.lit(value))
+            past = own.isNull() | (own < F.lit(value))
         else:
-            past = F.coalesce(F.col(c) > F.lit(value), F.lit(False))
-        reached = past | (F.col(c).eqNullSafe(F.lit(value)) & reached)
+            past = F.coalesce(own > F.lit(value), F.lit(False))
+        reached = past | (own.eqNullSafe(F.lit(value)) & reached)
     return reached
 
 

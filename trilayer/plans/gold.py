@@ -115,8 +115,8 @@ def sales_fact(silver: Mapping[str, DataFrame]) -> DataFrame:
     """All channels in one table with calendar and item attributes, one row per sales line.
 
     The two dimension joins carry no hint: Spark broadcasts a dimension whose size it
-    knows to be small, and otherwise joins by sort-merge, where adaptive
-    execution splits a hot or NULL key.
+    knows to be small. Beyond that they are keyed joins, so a hot or NULL key is split
+    although the dimensions have just been de-duplicated on the join key.
     """
     lines = None
     for channel in CHANNELS:
@@ -125,14 +125,11 @@ def sales_fact(silver: Mapping[str, DataFrame]) -> DataFrame:
         lines = rows if lines is None else lines.unionByName(rows)
     dates = silver["date_dim"].select(*DATE_COLUMNS)
     items = silver["item"].select(*ITEM_COLUMNS)
-    return (
-        lines.join(dates, F.col("sold_date_sk") == F.col("d_date_sk"), "left")
-        .join(items, F.col("item_sk") == F.col("i_item_sk"), "left")
-        .withColumns({
-            "return_rate_pct": guarded_pct(F.col("return_qty"), F.col("quantity")),
-            "is_returned": F.col("return_qty") > 0,
-        })
-    )
+    dated = keyed_left_join(lines, dates, [("sold_date_sk", "d_date_sk")])
+    return keyed_left_join(dated, items, [("item_sk", "i_item_sk")]).withColumns({
+        "return_rate_pct": guarded_pct(F.col("return_qty"), F.col("quantity")),
+        "is_returned": F.col("return_qty") > 0,
+    })
 
 
 # --- shared by the two models on top of the fact -------------------------------
@@ -256,7 +253,8 @@ def product_value(fact: DataFrame, item: DataFrame) -> DataFrame:
         *_sums(PRODUCT_SUMS),
         F.avg("unit_price").alias("avg_selling_price"),
         # Summed as decimals: the order of the rows cannot change the result.
-        (F.sum(F.col("discount_pct").try_cast("decimal(18,2)")).cast("double") / F.count("discount_pct"))
+        # A rate that does not fit counts in neither part of the mean.
+        (F.sum(F.col("discount_pct").try_cast("decimal(18,2)")).cast("double") / F.count(F.col("discount_pct").try_cast("decimal(18,2)")))
         .alias("avg_discount_pct"),
         *_sum_by_channel("revenue"),
     )

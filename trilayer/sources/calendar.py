@@ -7,7 +7,6 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from trilayer.sources.synth import pick, synth_table
 
 # Fixed value: the key of the first calendar day.
 FIRST_DATE_SK = 2415022
@@ -72,16 +71,12 @@ def build_date_dim(
     )
 
 
-def build_time_dim(spark: SparkSession, seed: int = 42) -> DataFrame:
-    """One row per second of the day. Sub-shift and meal are drawn, not derived."""
+def build_time_dim(spark: SparkSession) -> DataFrame:
+    """One row per second of the day. The meal follows the hour, and the sub-shift is the meal or night."""
     second = F.col("t_time")
     hour = F.floor(second / 3600).cast("int")
-    made = synth_table(spark, {
-        "t_time": lambda row, draw: row.cast("int"),
-        "t_sub_shift": pick("breakfast", "lunch", "dinner", "night"),
-        "t_meal_time": pick(None, "breakfast", "lunch", "dinner"),
-    }, 86_400, seed)
-    return made.select(
+    meal = F.when(hour.between(6, 9), "breakfast").when(hour.between(11, 13), "lunch").when(hour.between(17, 20), "dinner")
+    return spark.range(86_400).select(F.col("id").cast("int").alias("t_time")).select(
         second.alias("t_time_sk"),
         F.concat(F.lit("T"), F.lpad(second.cast("string"), 8, "0")).alias("t_time_id"),
         "t_time",
@@ -90,8 +85,8 @@ def build_time_dim(spark: SparkSession, seed: int = 42) -> DataFrame:
         (second % 60).alias("t_second"),
         F.when(hour < 12, "AM").otherwise("PM").alias("t_am_pm"),
         F.when(hour < 8, "first").when(hour < 16, "second").otherwise("third").alias("t_shift"),
-        "t_sub_shift",
-        "t_meal_time",
+        F.coalesce(meal, F.lit("night")).alias("t_sub_shift"),
+        meal.alias("t_meal_time"),
     )
 
 

@@ -23,8 +23,8 @@ class NoSourceError(Exception):
 
 
 def read_files(spark: SparkSession, path: str) -> DataFrame:
-    """Every parquet file below ``path``; folder names are not taken as partition values."""
-    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
+    """Every data file below ``path`` whatever its name; folder names are not taken as partition values."""
+    reader = spark.read.option("recursiveFileLookup", True)
     try:
         return reader.parquet(path)
     except AnalysisException as e:

@@ -35,7 +35,8 @@ def numbered(start: int = 1, prefix: str = "", width: int = 0) -> Rule:
         if not prefix:
             return (row + start).cast("int")
         digits = (row + start).cast("string")
-        return F.concat(F.lit(prefix), F.lpad(digits, width, "0") if width else digits)
+        # Numbers longer than the width stay whole.
+        return F.concat(F.lit(prefix), F.repeat(F.lit("0"), F.lit(width) - F.length(digits)), digits)
 
     return rule
 
@@ -100,14 +101,10 @@ def sample_keys(
     """``size`` rows' keys drawn without replacement, numbered from 0 in ``_slot``.
 
     ``identity`` is unique per row of ``parent``, which has ``parent_rows`` rows. The smallest
-    hashes win. Only hashes in the lowest part of their range can, so about
-    twice ``size`` rows are sorted, however large ``parent`` is.
+    hashes win; every row of ``parent`` can. Only ``size`` rows a task reach the last sort.
     """
     drawn = F.xxhash64(F.lit(seed).cast("bigint"), F.col(identity).cast("bigint"))
     best = parent.select(F.col(key).alias("_key"), F.col(identity).alias("_id"), drawn.alias("_draw"))
-    candidates = 2 * size + 1000
-    if candidates < parent_rows:
-        best = best.where(F.col("_draw") < candidates * 2**64 // parent_rows - 2**63)
     best = best.orderBy("_draw", "_id").limit(size)
     return best.select("_key", (F.row_number().over(Window.orderBy("_draw", "_id")) - 1).cast("bigint").alias("_slot"))
 

@@ -9,8 +9,6 @@ cleansing rules look for: NULL keys, zero prices, bad flags and states.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cache
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from trilayer.channels import CHANNELS, Channel
@@ -22,20 +20,12 @@ _UNKNOWN = {"STORE": (1, 2), "CATALOG": (2, 3), "WEB": (1, 3)}
 _RETURN_FLAG = {"STORE": "R", "CATALOG": "A", "WEB": "N"}
 
 
-@cache
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-@cache
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``lineitem``, spread over the cores when the file has fewer splits than there are cores.
-
-    A large table has many more splits than cores and is read as it is.
-    """
-    read = table(spark, sf_dir, "lineitem")
-    cores = spark.sparkContext.defaultParallelism
-    return read.repartition(cores) if read.rdd.getNumPartitions() < cores else read
+    return table(spark, sf_dir, "lineitem")
 
 
 def _dec(c: Column | str, p: int = 12, s: int = 2) -> Column:

@@ -127,14 +127,10 @@ _STORE_SALES = f"WITH {oracles.src_sales('STORE')}"
 @registered(_STORE_SALES + """ SELECT count(*) AS all_lines, count(ss_item_sk) AS with_item,
     count(*) FILTER (ss_item_sk IS NOT NULL AND ss_customer_sk IS NOT NULL) AS with_item_and_customer FROM src_ss""")
 def key_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sales = raw_table(spark, sf_dir, "store_sales")
     item, customer = F.col("ss_item_sk").isNotNull(), F.col("ss_customer_sk").isNotNull()
-    counted = lambda df, name: df.agg(F.count("*").alias("n")).select("n", F.lit(name).alias("what"))
-    counts = counted(sales, "all_lines").unionByName(counted(sales.where(item), "with_item")).unionByName(
-        counted(sales.where(item & customer), "with_item_and_customer")
+    return raw_table(spark, sf_dir, "store_sales").agg(
+        F.count("*").alias("all_lines"), F.count_if(item).alias("with_item"), F.count_if(item & customer).alias("with_item_and_customer")
     )
-    pick = lambda name: F.max(F.when(F.col("what") == name, F.col("n"))).alias(name)
-    return counts.agg(pick("all_lines"), pick("with_item"), pick("with_item_and_customer"))
 
 
 @registered("""SELECT * REPLACE (strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate) FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
@@ -154,9 +150,7 @@ def star_joins(spark: SparkSession, sf_dir: str) -> DataFrame:
     sales, dates, items = (raw_table(spark, sf_dir, t) for t in ("store_sales", "date_dim", "item"))
     dates = CLEANSED["date_dim"](dates).select("d_date_sk", "d_season")
     items = CLEANSED["item"](items).select("i_item_sk", "i_brand")
-    joined = sales.join(dates, F.col("ss_sold_date_sk") == F.col("d_date_sk"), "left").join(
-        items, F.col("ss_item_sk") == F.col("i_item_sk"), "left"
-    )
+    joined = keyed_left_join(keyed_left_join(sales, dates, [("ss_sold_date_sk", "d_date_sk")]), items, [("ss_item_sk", "i_item_sk")])
     return joined.select(
         "ss_ticket_number", "ss_item_sk", "ss_sold_date_sk", "d_date_sk", "d_season", "i_item_sk", "i_brand",
         "ss_quantity", "ss_coupon_amt",
@@ -220,25 +214,31 @@ def sums_by_composite_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     CAST({oracles.rounded_ratio(oracles.cents("sum(CAST(l_extendedprice AS DECIMAL(14,2)))"), "count(*)")} AS DOUBLE) / 100 AS mean_price
     FROM lineitem GROUP BY l_partkey""")
 def distinct_and_conditional_aggregates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    price = money("l_extendedprice", 14)
-    return table(spark, sf_dir, "lineitem").groupBy("l_partkey").agg(
-        F.count_distinct("l_suppkey").alias("suppliers"),
-        F.count_distinct(F.to_date("l_shipdate")).alias("days"),
+    price, lines = money("l_extendedprice", 14), table(spark, sf_dir, "lineitem")
+    sums = lines.groupBy("l_partkey").agg(
         F.sum(F.when(F.col("l_returnflag") == "R", price)).cast("double").alias("returned_gross"),
         F.sum(F.when(F.col("l_discount") > 0.05, 1).otherwise(0)).alias("discounted"),
         F.round(F.avg(price), 2).cast("double").alias("mean_price"),
     )
+    # Two distinct counts beside sums in one aggregate would send every line through the shuffle three times.
+    suppliers = lines.select("l_partkey", "l_suppkey").distinct().groupBy(F.col("l_partkey").alias("s")).agg(F.count("l_suppkey").alias("suppliers"))
+    days = lines.select("l_partkey", F.to_date("l_shipdate").alias("day")).distinct()
+    days = days.groupBy(F.col("l_partkey").alias("d")).agg(F.count("day").alias("days"))
+    return sums.join(suppliers, F.col("l_partkey").eqNullSafe(F.col("s"))).join(days, F.col("l_partkey").eqNullSafe(F.col("d"))).drop("s", "d")
 
 
 @registered("""SELECT p_partkey, p_name, p_brand, p_type, p_size, count(*) AS lines,
     round(CAST(sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS DOUBLE) / count(*) * 100, 2) AS returned_pct
     FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL""")
 def wide_group_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem")
-    described = lines.join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
-    counts = described.groupBy("p_partkey", "p_name", "p_brand", "p_type", "p_size").agg(
+    # Counted by the key alone, then described and brought together by all five columns.
+    counts = table(spark, sf_dir, "lineitem").groupBy("l_partkey").agg(
         F.count("*").alias("lines"), F.sum(F.when(F.col("l_returnflag") == "R", 1).otherwise(0)).alias("_returned")
     )
+    described = counts.join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    counts = described.groupBy("p_partkey", "p_name", "p_brand", "p_type", "p_size").agg(
+        F.sum("lines").alias("lines"), F.sum("_returned").alias("_returned")
+    )
     return counts.withColumn("returned_pct", guarded_pct(F.col("_returned"), F.col("lines"))).drop("_returned")
 
 
@@ -306,12 +306,12 @@ def recursive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return storage.read_files(spark, f"{sf_dir}/supplier.parquet")
 
 
-@registered("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders")
+@registered("SELECT * REPLACE (strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate) FROM orders")
 def ingested_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     cfg, landing = _own_lakehouse(spark)
-    storage.write_files(table(spark, sf_dir, "orders").drop("o_orderdate"), f"{landing}/orders")
+    storage.write_files(table(spark, sf_dir, "orders"), f"{landing}/orders")
     refresh.ingest(spark, cfg, landing, ("orders",))
-    return storage.read_table(spark, cfg, RAW, "orders")
+    return storage.read_table(spark, cfg, RAW, "orders").withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd"))
 
 
 @registered("""SELECT 'raw' AS layer, 'customer' AS "table", 'ok' AS status, count(*) AS "rows" FROM customer
@@ -405,14 +405,16 @@ def clock_of_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @registered("""WITH bands AS (SELECT CAST(range + 1 AS INTEGER) AS ib_income_band_sk, CAST(range * 1000 AS INTEGER) AS ib_lower_bound,
-      CAST((range + 1) * 1000 AS INTEGER) AS ib_upper_bound FROM range(12))
-    SELECT bands.*, count(c_custkey) AS customers FROM bands
-    LEFT JOIN customer ON c_acctbal >= ib_lower_bound AND c_acctbal < ib_upper_bound GROUP BY ALL""")
+      CAST((range + 1) * 1000 AS INTEGER) AS ib_upper_bound
+      FROM range((SELECT CAST(greatest(0, coalesce(floor(max(c_acctbal) / 1000), -1) + 1) AS BIGINT) FROM customer))),
+    counts AS (SELECT CASE WHEN c_acctbal >= 0 THEN CAST(floor(c_acctbal / 1000) + 1 AS INTEGER) END AS band, count(*) AS n FROM customer GROUP BY 1)
+    SELECT bands.*, coalesce(n, 0) AS customers FROM bands FULL JOIN counts ON ib_income_band_sk = band""")
 def income_bands_of_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    band = (F.floor(F.col("c_acctbal") / 1000) + 1).cast("int")
+    """As many bands as the largest balance needs; a row without a band counts the customers outside all."""
+    band = F.when(F.col("c_acctbal") >= 0, (F.floor(F.col("c_acctbal") / 1000) + 1).cast("int"))
     counts = table(spark, sf_dir, "customer").groupBy(band.alias("band")).agg(F.count("*").alias("customers"))
-    bands = build_income_bands(spark, 12, 1000)
-    return bands.join(counts, F.col("ib_income_band_sk") == F.col("band"), "left").select(
+    bands = build_income_bands(spark, counts.agg(F.coalesce(F.max("band"), F.lit(0))).first()[0], 1000)
+    return bands.join(counts, F.col("ib_income_band_sk") == F.col("band"), "full").select(
         *bands.columns, F.coalesce("customers", F.lit(0)).alias("customers")
     )
 

@@ -7,7 +7,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from datetime import date
-from functools import cache
 from types import MappingProxyType
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -34,13 +33,10 @@ def plain(df: DataFrame) -> DataFrame:
     return df.withColumns(casts) if casts else df
 
 
-# Plans only, no data: building them once per session saves seconds of driver time per query.
-@cache
 def silver_tables(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
     return MappingProxyType({t: clean(adapters.raw_table(spark, sf_dir, t)) for t, clean in CLEANSED.items()})
 
 
-@cache
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.sales_fact(silver_tables(spark, sf_dir))
 
