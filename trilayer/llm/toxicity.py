@@ -129,7 +129,7 @@ def learn_lexicon(sample: DataFrame, most: int = 2000, support: int = 4, purity:
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def part(found) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
-                [pa.array(list(found)), *(pa.array([v[i] for v in found.values()], pa.int64()) for i in (0, 1))], ["entry", "clean", "toxic"]
+                [pa.array(list(found), pa.string()), *(pa.array([v[i] for v in found.values()], pa.int64()) for i in (0, 1))], ["entry", "clean", "toxic"]
             )
 
         found: dict[str, list[int]] = defaultdict(lambda: [0, 0])
