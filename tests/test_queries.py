@@ -1,12 +1,13 @@
 """Every registered query against its SQL on the smallest data, and the plans of the large ones."""
 
 import re
+
 import duckdb
 import pytest
 
 import check_oracles
-from __spark_entry__ import entry, oracle_sql, queries
-from workload.queries import fact, silver_tables
+from __spark_entry__ import entry, oracle_sql
+from workload.queries import fact, queries, silver_tables
 
 SF = "/root/testdata/sf0.001"
 
@@ -20,7 +21,8 @@ def db():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    # Queries of trilayer.llm are tested beside it.
+    assert set(queries()) <= set(oracle_sql())
 
 
 @pytest.mark.parametrize("name", list(queries()))
