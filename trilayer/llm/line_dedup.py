@@ -33,12 +33,12 @@ def lines(docs: DataFrame) -> DataFrame:
 
 
 def _words(line: str = "line") -> Column:
-    return F.filter(F.split(line, " "), lambda w: w != "")
+    return F.array_remove(F.split(line, " "), "")
 
 
 def word_ranks(docs: DataFrame) -> list[int]:
     """For each group of words a number that grows with its count in all documents; ``GROUPS`` numbers reach the driver."""
-    group = F.pmod(F.hash("word"), F.lit(GROUPS))
+    group = F.pmod(F.xxhash64("word"), F.lit(GROUPS)).cast("int")
     counts = lines(docs).select(F.explode(_words()).alias("word")).groupBy(group.alias("g")).count().collect()
     ranks = [0] * GROUPS
     for r in counts:
@@ -50,14 +50,18 @@ def word_ranks(docs: DataFrame) -> list[int]:
 def tokens(ranks: list[int]) -> Column:
     """The line's distinct words as numbers, rarest first: 11 bits of rank, 52 of hash."""
     table = F.split(F.lit(",".join(map(str, ranks))), ",").cast("array<bigint>")
-    group = lambda w: F.element_at(table, (F.pmod(F.hash(w), F.lit(GROUPS)) + 1))
-    number = lambda w: F.shiftleft(group(w), 52).bitwiseOR(F.shiftrightunsigned(F.xxhash64(w), 12))
-    return F.sort_array(F.array_distinct(F.transform(_words(), number)))
+    hashes = F.transform(_words(), lambda w: F.xxhash64(w))
+    rank = lambda h: F.element_at(table, F.pmod(h, F.lit(GROUPS)).cast("int") + 1)
+    return F.sort_array(F.array_distinct(F.transform(hashes, lambda h: F.shiftleft(rank(h), 52).bitwiseOR(F.shiftrightunsigned(h, 12)))))
 
 
 def line_sets(docs: DataFrame, ranks: list[int], min_words: int) -> DataFrame:
-    """For each line the hash of its set of words, its place, size, parity bits and prefix."""
-    rows = lines(docs).select("doc", "line_no", tokens(ranks).alias("tokens")).where(F.size("tokens") >= min_words)
+    """For each line the hash of its set of words, its place, size, parity bits and prefix.
+
+    Lines of fewer than ``min_words`` words are left out, those of fewer distinct words are not: a test of the size of
+    ``tokens`` would move below the projection and make every set twice.
+    """
+    rows = lines(docs).where(F.size(_words()) >= min_words).select("doc", "line_no", tokens(ranks).alias("tokens"))
     n = F.size("tokens")
     prefix = F.slice("tokens", 1, n - F.floor((PART * n + WHOLE - 1) / WHOLE).cast("int") + 1)
     parity = F.expr("aggregate(tokens, 0L, (a, t) -> a ^ shiftleft(1L, cast(t & 63 as int)))")
@@ -104,7 +108,7 @@ def _verified(docs: DataFrame, ranks: list[int], pairs: DataFrame) -> DataFrame:
 def matched_classes(docs: DataFrame, min_words: int) -> tuple[DataFrame, DataFrame]:
     """The place ``at`` of every line with the ``first`` of its class, and the ``first`` of each class that matches an earlier one."""
     ranks = word_ranks(docs)
-    rows = settle(line_sets(docs, ranks, min_words))
+    rows = settle(line_sets(docs, ranks, min_words)).where(F.col("n") >= min_words)
     firsts = rows.groupBy("a", "b").agg(F.min("at").alias("first"))
     firsts = firsts.withColumnsRenamed({"a": "f_a", "b": "f_b"})
     rows = settle(keyed_left_join(rows, firsts, [("a", "f_a"), ("b", "f_b")]).drop("f_a", "f_b"))
@@ -112,11 +116,12 @@ def matched_classes(docs: DataFrame, min_words: int) -> tuple[DataFrame, DataFra
     earlier = [F.col(c).alias(f"e_{c}") for c in ("first", "n", "bits", "place")]
     posted = _posted(found)
     heads = posted.groupBy("token").agg(F.min(F.struct("first", "n", "bits", "place")).alias("e"), F.count("*").alias("m")).where("m > 1")
-    heads = heads.select(F.col("token").alias("e_token"), "e.*").select("e_token", *earlier)
+    heads = heads.select(F.col("token").alias("e_token"), "m", "e.*").select("e_token", "m", *earlier)
     # Most words of a prefix stand in one line only; what follows sees the other lists.
     lists = settle(keyed_left_join(posted, heads, [("token", "e_token")]).where("e_token is not null").drop("e_token"))
     gone = settle(_verified(docs, ranks, settle(lists.where(_may_match()).select("first", "e_first").distinct())))
-    lists = lists.drop("e_first", "e_n", "e_bits", "e_place")
+    # The earliest member has met all others, so only lists with two more have pairs left.
+    lists = lists.where((F.col("m") > 2) & (F.col("first") != F.col("e_first"))).drop("m", "e_first", "e_n", "e_bits", "e_place")
     left = keyed_left_join(lists, gone.select(F.col("first").alias("g")), [("first", "g")]).where("g is null").drop("g")
     others = lists.select(F.col("token").alias("e_token"), *earlier)
     pairs = settle(left.join(others, (F.col("token") == F.col("e_token")) & _may_match()).select("first", "e_first").distinct())
