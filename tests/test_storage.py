@@ -133,3 +133,23 @@ def test_the_table_format_is_a_setting(spark, tmp_path):
     assert storage.write_layer(spark.range(4), cfg, GOLD, "t") == 4
     assert storage.read_layer(spark, cfg, GOLD, "t").count() == 4
     assert list((tmp_path / "gold" / "gold_t").glob("*.orc"))
+
+
+def test_failed_write_leaves_the_old_table(spark, tmp_path):
+    cfg = lakehouse(tmp_path, "replace_db")
+    storage.create_database(spark, cfg)
+    storage.write_layer(spark.range(5), cfg, SILVER, "t")
+    broken = spark.range(100, numPartitions=4).withColumn("id", F.when(F.col("id") < 90, F.col("id")).otherwise(F.raise_error(F.lit("no more"))))
+    with pytest.raises(Exception, match="no more"):
+        storage.write_layer(broken, cfg, SILVER, "t")
+    assert storage.read_table(spark, cfg, SILVER, "t").count() == 5
+    assert storage.read_layer(spark, cfg, SILVER, "t").count() == 5
+    assert [p.name for p in (tmp_path / "silver").iterdir()] == ["silver_t"]
+
+
+def test_a_table_can_be_replaced_by_what_is_read_from_it(spark, tmp_path):
+    cfg = lakehouse(tmp_path, "self_db")
+    storage.create_database(spark, cfg)
+    storage.write_layer(spark.range(5), cfg, SILVER, "t", audit=False)
+    assert storage.write_layer(storage.read_layer(spark, cfg, SILVER, "t").where("id > 1"), cfg, SILVER, "t", audit=False) == 3
+    assert storage.read_table(spark, cfg, SILVER, "t").count() == 3

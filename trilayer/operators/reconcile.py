@@ -132,6 +132,19 @@ def validate_specs(specs: DataFrame) -> DataFrame:
     return specs.withColumn("violations", F.array_compact(broken))
 
 
+def provision(specs: DataFrame, groups: DataFrame, current: DataFrame, key: str, ordinal: str) -> DataFrame:
+    """One row per workspace and role: the group's id, what has to be done, or the reason why it cannot be.
+
+    ``specs`` as for ``explode_roles``, ``groups`` as the directory of ``resolve_ids`` and ``current`` as for
+    ``reconcile_roles``, all with ``ordinal``. A group that is missing or unknown has a reason and no action.
+    """
+    wanted = resolve_ids(explode_roles(specs, key), groups, "group_name", "principal_id", ordinal, loose=True)
+    wanted = wanted.withColumn("reason", F.coalesce("reason", "principal_id_error")).drop("principal_id_error")
+    rows = reconcile_roles(wanted.withColumnRenamed(key, "workspace_id"), current, ordinal)
+    rows = rows.withColumn("action", F.when(F.col("reason").isNull(), F.col("action")))
+    return rows.withColumnRenamed("workspace_id", key)
+
+
 def provision_summary(outcomes: DataFrame, key: str) -> DataFrame:
     """Per workspace: map of role key to principal, and map of role key to reason of failure.
 

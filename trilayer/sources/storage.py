@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Sequence
 
 from pyspark.errors import AnalysisException
@@ -77,23 +78,51 @@ def drop_audit(df: DataFrame) -> DataFrame:
 def write_layer(df: DataFrame, cfg: LayerConfig, layer: str, table: str, audit: bool = True) -> int:
     """Replace a table at its own location, register it and return the rows written.
 
-    The rows are counted while they are written, so nothing is read back.
+    The rows are counted while they are written, so nothing is read back. They go to a folder beside the table, which
+    takes the table's place when it is complete: a write that fails leaves the old rows, by path and by name.
     """
     spark = df.sparkSession
-    name = cfg.qualified(layer, table)
+    name, path = cfg.qualified(layer, table), cfg.path(layer, table)
+    staged = f"{path}-new-{uuid.uuid4().hex}"
     written = Observation()
     out = add_audit(df, layer) if audit else df
+    try:
+        out.observe(written, F.count(F.lit(1)).alias("rows")).write.format(cfg.table_format).save(staged)
+        _replace_folder(spark, staged, path)
+    except Exception:
+        _delete_folder(spark, staged)
+        raise
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    (
-        out.observe(written, F.count(F.lit(1)).alias("rows"))
-        .write.format(cfg.table_format)
-        .mode("overwrite")
-        .option("path", cfg.path(layer, table))
-        .saveAsTable(name)
-    )
+    spark.catalog.createTable(name, path=path, source=cfg.table_format)
     return written.get["rows"]
 
 
+def _folder(spark: SparkSession, path: str) -> tuple:
+    """Hadoop's file system and path object."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), found
+
+
+def _delete_folder(spark: SparkSession, path: str) -> None:
+    files, folder = _folder(spark, path)
+    files.delete(folder, True)
+
+
+def _replace_folder(spark: SparkSession, staged: str, path: str) -> None:
+    """Put ``staged`` in the place of ``path``; what was there goes last, or comes back if the move fails."""
+    files, new = _folder(spark, staged)
+    old, aside = _folder(spark, path)[1], _folder(spark, f"{staged}-before")[1]
+    had = files.exists(old)
+    if had and not files.rename(old, aside):
+        raise OSError(f"cannot move {path}")
+    if not files.rename(new, old):
+        if had:
+            files.rename(aside, old)
+        raise OSError(f"cannot move {staged} to {path}")
+    if had:
+        files.delete(aside, True)
+
+
 def write_files(df: DataFrame, path: str) -> None:
     """Plain snappy parquet, the form in which raw files land."""
     df.write.mode("overwrite").option("compression", "snappy").parquet(path)

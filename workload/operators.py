@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import uuid
 import zlib
-from datetime import timedelta
+from dataclasses import replace
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from trilayer.channels import CHANNELS
-from trilayer.config import RAW, LayerConfig
+from trilayer.config import GOLD, RAW, LayerConfig
 from trilayer.functions import (
     bucket,
     fixed_length,
@@ -31,6 +32,7 @@ from trilayer.operators import (
 )
 from trilayer.operators.reconcile import (
     explode_roles,
+    provision,
     provision_summary,
     reconcile_roles,
     reconcile_workspaces,
@@ -353,6 +355,33 @@ def run_status_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.run_status_rollup(ledger).withColumn("failed_tables", F.array_join("failed_tables", ","))
 
 
+def _rebuilt_lakehouse(spark: SparkSession, sf_dir: str) -> LayerConfig:
+    """Landed files to raw, silver and gold; the files lie in nested folders whose names mean nothing."""
+    cfg, landing = _own_lakehouse(spark)
+    cfg = replace(cfg, analysis_date=date(2001, 12, 31))
+    for t in CLEANSED:
+        storage.write_files(raw_table(spark, sf_dir, t), f"{landing}/{t}/batch=1/part")
+    refresh.ingest(spark, cfg, landing, tuple(CLEANSED))
+    refresh.refresh_silver(spark, cfg)
+    refresh.refresh_gold(spark, cfg)
+    # Names only: the tables' folders stay, since the result reads them.
+    spark.sql(f"DROP DATABASE {cfg.database} CASCADE")
+    return cfg
+
+
+@registered(oracles.oracle_sql()["channel_report"])
+def lakehouse_channel_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cfg = _rebuilt_lakehouse(spark, sf_dir)
+    return reports.channel_report(storage.read_layer(spark, cfg, GOLD, "sales_fact"))
+
+
+@registered(oracles.oracle_sql()["segment_report"])
+def lakehouse_segment_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cfg = _rebuilt_lakehouse(spark, sf_dir)
+    report = reports.segment_report(storage.read_layer(spark, cfg, GOLD, "customer_360"))
+    return report.withColumns({f.name: F.col(f.name).cast("double") for f in report.schema.fields if f.dataType.typeName() == "decimal"})
+
+
 # --- calendar, clock and bands ------------------------------------------------------------
 
 
@@ -567,17 +596,69 @@ def _map_sql(value: str, condition: str) -> str:
     return f"concat_ws(';', {picks})"
 
 
+def _shown(c: str) -> F.Column:
+    return F.array_join(F.transform(F.map_entries(c), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ";")
+
+
 @registered(f"""WITH {_ROLE_ROWS} SELECT c_custkey, {_map_sql("'id-' || group_name", 'reason IS NULL')} AS roles_assigned,
     {_map_sql('reason', 'reason IS NOT NULL')} AS roles_failed FROM outcomes GROUP BY c_custkey""")
 def provision_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
     outcomes = explode_roles(_group_specs(spark, sf_dir), "c_custkey").withColumn(
         "principal_id", F.concat(F.lit("id-"), "group_name")
     )
-    shown = lambda c: F.array_join(
-        F.transform(F.map_entries(c), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ";"
-    )
     summary = provision_summary(outcomes, "c_custkey")
-    return summary.withColumns({c: shown(c) for c in ("roles_assigned", "roles_failed")})
+    return summary.withColumns({c: _shown(c) for c in ("roles_assigned", "roles_failed")})
+
+
+# A loose id, a known name, an unknown name, and a name that is missing for every third workspace.
+_LOOSE = "concat(md5(CAST({0} AS VARCHAR)), '----')"
+_PROVISION = f"""WITH directory AS (SELECT concat('NATION_', s_nationkey) AS name, min(s_suppkey) AS first FROM supplier GROUP BY 1),
+    roles AS (SELECT c_custkey, role_key, desired_role, CASE role_key WHEN 'platform_admins' THEN {_LOOSE.format('c_custkey')}
+        WHEN 'data_product_owners' THEN concat('NATION_', c_nationkey) WHEN 'data_engineers' THEN concat('nation_', c_nationkey)
+        WHEN 'data_viewers' THEN CASE WHEN c_custkey % 3 = 0 THEN '' ELSE concat('NATION_', (c_nationkey + 1) % 25) END END AS group_name
+      FROM customer, (VALUES ('platform_admins', 'Admin'), ('data_product_owners', 'Member'), ('data_engineers', 'Contributor'), ('data_viewers', 'Viewer')) r(role_key, desired_role)),
+    found AS (SELECT roles.*, CASE WHEN role_key = 'platform_admins' THEN group_name WHEN first IS NOT NULL THEN {_guid_sql('first')} END AS principal_id,
+      CASE WHEN group_name = '' THEN concat('Missing group mapping for key ''', role_key, '''')
+        WHEN role_key <> 'platform_admins' AND first IS NULL THEN concat('not found by display name: ''', group_name, '''') END AS reason
+      FROM roles LEFT JOIN directory ON group_name = name),
+    held AS (SELECT c_custkey AS ws, {_LOOSE.format('c_custkey')} AS principal, CASE WHEN c_custkey % 4 = 0 THEN 'Admin' ELSE 'Viewer' END AS current_role
+      FROM customer WHERE c_custkey % 2 = 0),
+    outcomes AS (SELECT c_custkey, role_key, desired_role, group_name, principal_id, reason, current_role, CASE WHEN reason IS NOT NULL THEN NULL
+      WHEN current_role IS NULL THEN 'add' WHEN current_role = desired_role THEN 'unchanged' ELSE 'update' END AS action
+      FROM found LEFT JOIN held ON c_custkey = ws AND principal_id = principal)"""
+
+
+def _provisioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key, nation = F.col("c_custkey"), F.col("c_nationkey")
+    loose = F.concat(F.md5(key.cast("string")), F.lit("----"))
+    named = lambda prefix, n: F.concat(F.lit(prefix), n.cast("string"))
+    customers = table(spark, sf_dir, "customer")
+    specs = customers.select(
+        key, loose.alias("group_platform_admins"), named("NATION_", nation).alias("group_data_product_owners"),
+        named("nation_", nation).alias("group_data_engineers"),
+        F.when(key % 3 == 0, F.lit("")).otherwise(named("NATION_", (nation + 1) % 25)).alias("group_data_viewers"),
+    )
+    groups = table(spark, sf_dir, "supplier").select(
+        _guid(F.col("s_suppkey")).alias("id"), named("NATION_", F.col("s_nationkey")).alias("display_name"), F.col("s_suppkey").alias("ordinal")
+    )
+    current = customers.where(key % 2 == 0).select(
+        key.alias("workspace_id"), loose.alias("principal_id"),
+        F.when(key % 4 == 0, F.lit("Admin")).otherwise(F.lit("Viewer")).alias("role"), key.alias("ordinal"),
+    )
+    return provision(specs, groups, current, "c_custkey", "ordinal")
+
+
+@registered(_PROVISION + " SELECT * FROM outcomes")
+def provision_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _provisioned(spark, sf_dir)
+
+
+@registered(_PROVISION + f""" SELECT c_custkey, {_map_sql('principal_id', 'reason IS NULL')} AS roles_assigned,
+    {_map_sql('reason', 'reason IS NOT NULL')} AS roles_failed FROM outcomes GROUP BY c_custkey""")
+def provision_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole chain; groups that cannot be resolved end in ``roles_failed``."""
+    summary = provision_summary(_provisioned(spark, sf_dir), "c_custkey")
+    return summary.withColumns({c: _shown(c) for c in ("roles_assigned", "roles_failed")})
 
 
 _PRIORITY_ROLE = [("1-URGENT", "Admin"), ("2-HIGH", "Member"), ("3-MEDIUM", "Contributor")]
