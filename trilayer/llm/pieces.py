@@ -53,22 +53,27 @@ class Pieces:
 
     def merged(self, text: str) -> list[str]:
         """Pieces of a short string: join the adjacent pair of highest rank, leftmost first."""
-        parts = list(text)
-        while len(parts) > 1:
-            ranked = [(-self.rank.get(a + b, -np.inf), i) for i, (a, b) in enumerate(zip(parts, parts[1:]))]
-            best, i = min(ranked)
-            if best == np.inf:
-                break
+        parts, get, none = list(text), self.rank.get, -np.inf
+        ranks = [get(a + b, none) for a, b in zip(parts, parts[1:])]
+        while ranks and (best := max(ranks)) > none:
+            i = ranks.index(best)
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            # Only the pairs beside the new part change.
+            del ranks[i]
+            if i:
+                ranks[i - 1] = get(parts[i - 1] + parts[i], none)
+            if i < len(ranks):
+                ranks[i] = get(parts[i] + parts[i + 1], none)
         return parts
 
     def stay_apart(self, a: str, b: str) -> bool:
+        """Whether joining leaves ``b`` whole after ``a``, which is empty at the start of a word."""
         key = a, b
         found = self.apart.get(key)
         if found is None:
             if len(self.apart) > 400_000:
                 self.apart.clear()
-            found = self.apart[key] = self.merged(a + b) == [a, b]
+            found = self.apart[key] = self.merged(a + b) == ([a, b] if a else [b])
         return found
 
     def walk(self, words: list[str]) -> Iterator[tuple[str, list[str]]]:
@@ -80,7 +85,7 @@ class Pieces:
             for i in range(shared + 1, len(word) + 1):
                 for start in range(max(0, i - self.longest), i):
                     piece = word[start:i]
-                    if (i - start == 1 or piece in self.ids) and (self.merged(piece) == [piece] if not start else self.stay_apart(last[start], piece)):
+                    if (i - start == 1 or piece in self.ids) and self.stay_apart(last[start], piece):
                         last.append(piece)
                         break
                 else:
