@@ -98,6 +98,34 @@ def test_lines_that_match_an_earlier_one(docs, texts):
         assert left[i] == (None if t is None else "\n".join(x for j, x in enumerate(t.split("\n")) if j not in want.get(i, ())))
 
 
+def lines_by_brute_force(texts, least=1):
+    seen, gone = [], {}
+    for i, t in enumerate(texts):
+        for j, line in enumerate((t or "").split("\n")):
+            w = frozenset(re.findall(r"[^\x20\x09-\x0D]+", line))
+            if len(w) >= least:
+                if any(10 * len(w & e) >= 9 * len(w | e) for e in seen):
+                    gone.setdefault(i, []).append(j)
+                seen.append(w)
+    return {i: ",".join(map(str, v)) for i, v in gone.items()}
+
+
+def test_lines_match_whatever_separates_their_words(spark):
+    r = random.Random(8)
+    texts = []
+    for i, n in enumerate([5, 8, 12, 19, 40] * 4):
+        w = [f"{r.choice(WORDS)}{i}{j}" for j in range(n)]
+        spaces = ["\t", "\x0b", "\x0c", "\r", " \t ", "  "]
+        texts += ["\t".join(w), "\t".join(w), " ".join(w) + "\r\nother" + str(i) + " \r\n", " ".join(w), "".join(x + r.choice(spaces) for x in w)]
+    texts += ["one\x1ctwo three four five six", "one two\x1cthree four five six", "\u00a0".join("abcdefg")]
+    docs = spark.createDataFrame(rows_of(texts), SCHEMA).repartition(3)
+    got = {r.doc_id: r.removed for r in line_dedup.line_report(docs).collect()}
+    assert {i: v for i, v in got.items() if v} == lines_by_brute_force(texts)
+    assert sum(v != "" for v in got.values()) == 80
+    left = {r.doc_id: r.text for r in line_dedup.without_repeated_lines(docs).collect()}
+    assert left[0] == texts[0] and left[1] == "" and left[2] == "other0 \r\n"
+
+
 @pytest.mark.parametrize("hot", [100_000, 3])
 def test_repeated_bytes(docs, texts, hot):
     data = [(t or "").encode() for t in texts]

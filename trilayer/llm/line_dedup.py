@@ -1,6 +1,6 @@
 """Line dedup by an exact set-similarity join. DataFrame functions only.
 
-A line is the set of its words, which blanks separate. Words are ordered by rarity over the whole corpus; a pair of lines that is similar
+A line is the set of its words, which any run of blanks, tabs and the like separates. Words are ordered by rarity over the whole corpus; a pair of lines that is similar
 enough must share one of the first few words of each. Candidates pass a length filter, a positional filter and
 a parity filter (64 bits whose difference bounds the number of words in one line only), then the Jaccard similarity
 is verified on the whole sets. A line goes if an earlier one matches it.
@@ -22,13 +22,19 @@ PART, WHOLE = 9, 10
 GROUPS = 8192
 #: Keys up to this number are broadcast (about 50 MB at most); more are shuffled.
 BROADCAST_ROWS = 1_000_000
+#: What separates words besides the blank; a newline ends the line.
+OTHER_SPACES = "\t\x0b\x0c\r"
 
 
 def lines(docs: DataFrame) -> DataFrame:
-    """``doc, line_no, line`` of every line; null texts have one empty line, null ids count as the smallest."""
+    """``doc, line_no, line`` of every line, its words separated by blanks; null texts have one empty line, null ids count as the smallest."""
+    text = F.coalesce("text", F.lit(""))
+    for space in OTHER_SPACES:
+        # Splitting at one plain character is much faster than at a class.
+        text = F.replace(text, F.lit(space), F.lit(" "))
     return docs.select(
         F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(1 << 63))).alias("doc"),
-        F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line_no", "line"),
+        F.posexplode(F.split(text, "\n")).alias("line_no", "line"),
     )
 
 
