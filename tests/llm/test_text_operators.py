@@ -126,6 +126,19 @@ def test_lines_match_whatever_separates_their_words(spark):
     assert left[0] == texts[0] and left[1] == "" and left[2] == "other0 \r\n"
 
 
+def test_short_lines_match_too(spark):
+    r = random.Random(9)
+    made = [" ".join(r.choices(WORDS, k=r.randint(7, 12))) for _ in range(40)]
+    longer = [m + " more" for m in made]
+    texts = ["Share this article\n\none", "\r\n \n\n", "this Share\tarticle article\r\none ", "ha ha ha ha ha ha", "ha", None, "", "Share this"]
+    texts += ["\n".join([a, "ha", "", b]) for a, b in zip(made, longer)]
+    docs = spark.createDataFrame(rows_of(texts), SCHEMA).repartition(3)
+    got = {r.doc_id: r.removed for r in line_dedup.line_report(docs).collect()}
+    assert {i: v for i, v in got.items() if v} == lines_by_brute_force(texts)
+    assert got[0] == got[1] == got[3] == got[7] == "" and got[2] == "0,1" and got[4] == "0"
+    assert {r.removed for r in line_dedup.line_report(docs.where("doc_id < 5"), min_words=2).collect()} == {"", "0"}
+
+
 @pytest.mark.parametrize("hot", [100_000, 3])
 def test_repeated_bytes(docs, texts, hot):
     data = [(t or "").encode() for t in texts]

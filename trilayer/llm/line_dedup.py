@@ -64,10 +64,12 @@ def tokens(ranks: list[int]) -> Column:
 def line_sets(docs: DataFrame, ranks: list[int], min_words: int) -> DataFrame:
     """For each line the hash of its set of words, its place, size, parity bits and prefix.
 
-    Lines of fewer than ``min_words`` words are left out, those of fewer distinct words are not: a test of the size of
-    ``tokens`` would move below the projection and make every set twice.
+    Blank lines and those of fewer than ``min_words`` words are left out, those of fewer distinct words are not: a test of the
+    size of ``tokens`` would move below the projection and make every set twice.
     """
-    rows = lines(docs).where(F.size(_words()) >= min_words).select("doc", "line_no", tokens(ranks).alias("tokens"))
+    # A line that is not blank has a word, so for one word nothing is split here.
+    long_enough = F.trim("line") != "" if min_words <= 1 else F.size(_words()) >= min_words
+    rows = lines(docs).where(long_enough).select("doc", "line_no", tokens(ranks).alias("tokens"))
     n = F.size("tokens")
     prefix = F.slice("tokens", 1, n - F.floor((PART * n + WHOLE - 1) / WHOLE).cast("int") + 1)
     parity = F.expr("aggregate(tokens, 0L, (a, t) -> a ^ shiftleft(1L, cast(t & 63 as int)))")
@@ -114,11 +116,12 @@ def _verified(docs: DataFrame, ranks: list[int], pairs: DataFrame) -> DataFrame:
 def matched_classes(docs: DataFrame, min_words: int) -> tuple[DataFrame, DataFrame]:
     """The place ``at`` of every line with the ``first`` of its class, and the ``first`` of each class that matches an earlier one."""
     ranks = word_ranks(docs)
-    rows = settle(line_sets(docs, ranks, min_words)).where(F.col("n") >= min_words)
+    rows = settle(line_sets(docs, ranks, min_words)).where(F.col("n") >= max(1, min_words))
     firsts = rows.groupBy("a", "b").agg(F.min("at").alias("first"))
     firsts = firsts.withColumnsRenamed({"a": "f_a", "b": "f_b"})
     rows = settle(keyed_left_join(rows, firsts, [("a", "f_a"), ("b", "f_b")]).drop("f_a", "f_b"))
-    found = rows.where(F.col("at") == F.col("first"))
+    # n words and one more reach n / (n + 1); shorter lines match equal sets only, which are one class already.
+    found = rows.where((F.col("at") == F.col("first")) & ((WHOLE - PART) * F.col("n") >= PART))
     earlier = [F.col(c).alias(f"e_{c}") for c in ("first", "n", "bits", "place")]
     posted = _posted(found)
     heads = posted.groupBy("token").agg(F.min(F.struct("first", "n", "bits", "place")).alias("e"), F.count("*").alias("m")).where("m > 1")
@@ -134,11 +137,11 @@ def matched_classes(docs: DataFrame, min_words: int) -> tuple[DataFrame, DataFra
     return rows.select("at", "first"), settle(gone.unionAll(_verified(docs, ranks, pairs)))
 
 
-def removed_lines(docs: DataFrame, min_words: int = 5) -> DataFrame:
+def removed_lines(docs: DataFrame, min_words: int = 1) -> DataFrame:
     """``doc`` and ``removed``, the sorted numbers (from 0) of the lines that match an earlier line of the corpus.
 
     Earlier means a smaller ``doc_id``, then a smaller line number; an earlier line that is
-    itself removed still counts. Lines of fewer than ``min_words`` distinct words always stay. Rows that share a
+    itself removed still counts. Lines without a word, or of fewer than ``min_words`` distinct words, always stay. Rows that share a
     ``doc_id`` are one document here: equal lines at one number of such rows stay or go together.
     """
     places, gone = matched_classes(docs, min_words)
@@ -149,7 +152,7 @@ def removed_lines(docs: DataFrame, min_words: int = 5) -> DataFrame:
     return later.groupBy(F.col("at.doc").alias("doc")).agg(F.sort_array(F.collect_set("at.line_no")).alias("removed"))
 
 
-def without_repeated_lines(docs: DataFrame, min_words: int = 5) -> DataFrame:
+def without_repeated_lines(docs: DataFrame, min_words: int = 1) -> DataFrame:
     """``docs`` with the matched lines taken out of ``text``; all rows and columns stay, a null text stays null."""
     gone = removed_lines(docs, min_words).select(F.col("doc").alias("_doc"), F.col("removed").alias("_removed"))
     keyed = docs.withColumn("_own", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(1 << 63))))
@@ -159,7 +162,7 @@ def without_repeated_lines(docs: DataFrame, min_words: int = 5) -> DataFrame:
     return joined.withColumn("text", text).select(*docs.columns)
 
 
-def line_report(docs: DataFrame, min_words: int = 5) -> DataFrame:
+def line_report(docs: DataFrame, min_words: int = 1) -> DataFrame:
     """``doc_id, n_lines, n_removed, removed`` (line numbers from 0, comma-joined) of every row of ``docs``."""
     gone = removed_lines(docs, min_words)
     rows = docs.select(
