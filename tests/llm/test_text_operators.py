@@ -208,6 +208,24 @@ def test_personal_data_spans(spark):
     assert got[len(texts) - 1].n_ip == 0 and got[len(texts) - 1].spans.startswith("ip:9:")
 
 
+def test_contexts_mark_values_of_another_form(spark):
+    end = ["today", "soon", "please", "again"]
+    texts = [f"my phone: +1-555-{200 + i}-{4000 + i} {end[i % 4]} {i}" for i in range(40)]
+    texts += [f"é write to user{i}@host.de for help" for i in range(40)] + [f"paid by card: 4111 1111 1111 1111 ok {i}" for i in range(3)]
+    new = {"her phone: 555-123-4567 now": "phone:11:23", "phone: 555 123 4567\nnow": "phone:7:19", "phone:5551234567.": "phone:6:16",
+           "日本 write to jane(at)host.de for it": "email:12:27", "write to jane at host dot com for it": "email:9:29",
+           "write to a.b@c.de for it": "email:9:17", "number 555-123-4567": ""}
+    docs = spark.createDataFrame(list(enumerate([*texts, *new, None])), "doc_id int, text string").repartition(4)
+    got = {r.doc_id: r for r in pii.personal_data(docs).collect()}
+    assert len(got) == len(texts) + len(new) + 1
+    assert {t: got[len(texts) + i].spans for i, t in enumerate(new)} == new
+    assert got[0].spans == "phone:10:25" and got[len(texts)].n_phone == 0
+    # The same words before values of which most are not known prove nothing.
+    noise = spark.createDataFrame([(1000 + i, f"phone: {'x' * (i % 9)}{i}") for i in range(60)], "doc_id int, text string")
+    got = {r.doc_id: r for r in pii.personal_data(docs.unionAll(noise)).collect()}
+    assert got[len(texts)].spans == "" and got[1000].spans == ""
+
+
 def test_mix_meets_its_targets(docs, empty):
     plan = mixing.mix_plan(docs).collect()
     again = {(r.doc_id, r.taken) for r in mixing.mix_plan(docs.repartition(3)).collect()}

@@ -1,21 +1,24 @@
 """Personal data by bootstrapped contextual extraction.
 
 Four base patterns find emails, IP addresses, card and phone numbers. Every base match is a seed: the words
-around it and the shape of tokens form lexical patterns. Spark holds the graph of patterns and the values
-met in them, scores patterns by the values already known and values by their patterns, a few times
-over, and patterns that end with high confidence mark further identifiers in all texts.
+around it form lexical patterns, whatever the form of the value. Spark holds the graph of patterns and the values
+met in them, scores patterns by the values already known and values by their patterns, and patterns that end with
+high confidence mark further identifiers in all texts.
+
+Texts are read again for each step, so that only words in a pattern under test leave a scan. Scans let through
+by a table of slots of fixed size; joins in Spark then compare whole hashes.
 """
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from trilayer.llm.common import WORD, read, slices
+from trilayer.llm.common import mixed, read, rolling, slices, span_hashes
 from trilayer.operators import keyed_left_join, settle
 
 KINDS = ("email", "ip", "card", "phone")
@@ -29,8 +32,15 @@ _CARD = re.compile(r"(?<![0-9])[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGITS = re.compile("[0-9]")
 _NOT_DIGIT = re.compile("[^0-9]")
-_WORD = re.compile(WORD)
-_EDGE = ".,;:!?\"'()[]{}<>|=*#$%&"
+
+#: What separates words here: spaces, the end of a text and marks that values do not hold.
+_GAP = np.isin(np.arange(256), np.frombuffer(b" \t\n\x0b\x0c\r\0:=;,|<>\"'()[]{}!?*#$%&", np.uint8))
+_LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
+#: A value that no base pattern knows has up to this many words.
+LONGEST = 5
+#: Tables of slots have 2 to this power, so that a scan takes the same memory with any number of patterns.
+SLOT_BITS = 23
+_EDGE, _LEFT, _BOTH = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
 
 def emails(text: str) -> Iterator[tuple[int, int]]:
@@ -72,63 +82,170 @@ def _small(part: str) -> bool:
     return len(part) < 4 and int(part or 0) <= 255
 
 
-def shape(token: str) -> str:
-    """Letters, digits and marks of a token as runs, lengths in three steps."""
-    out, last, n = [], "", 0
-    for ch in token + "\0":
-        kind = "9" if ch.isdigit() else "a" if ch.isalpha() else ch
-        if kind == last:
-            n += 1
-        else:
-            if last:
-                out.append(last + ("" if n < 2 else "+" if n < 12 else "*"))
-            last, n = kind, 1
-    return "".join(out)[:24]
+class Words:
+    """The words of many texts as arrays; a text of its own ends at a zero byte."""
+
+    def __init__(self, texts: list[str]):
+        parts = [t.encode() for t in texts]
+        data = np.frombuffer(b"\0".join(parts) + b"\0", np.uint8)
+        gap = _GAP[data]
+        for _ in range(3):  # dots that close a word
+            gap[:-1] |= (data[:-1] == ord(".")) & gap[1:]
+        edge = np.diff(np.concatenate([[1], gap]).astype(np.int8))
+        self.starts, self.ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+        self.n = len(self.starts)
+        self.begins = np.concatenate([[0], np.cumsum([len(p) + 1 for p in parts])])
+        self.doc = np.searchsorted(self.begins, self.starts, "right") - 1
+        # Number of characters up to and with each byte.
+        self.chars = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+        count = lambda mask: np.concatenate([[0], np.cumsum(mask)])
+        breaks, digits = count(data == ord("\n")), count((data >= 48) & (data <= 57))
+        self.line = breaks[self.starts] + self.doc
+        self.digits = digits[self.ends] > digits[self.starts]
+        self.sums, self.down = rolling(_LOWER[data])
+        hashes = span_hashes(self.sums, self.down, self.starts, self.ends)
+        same = self.doc[1:] == self.doc[:-1]
+        self.before, self.after = np.full(self.n, _EDGE), np.full(self.n, _EDGE)
+        self.before[1:][same], self.after[:-1][same] = hashes[:-1][same], hashes[1:][same]
+        self.base = np.zeros(self.n, bool)
+
+    def seeds(self, spans: list[list[tuple[int, int, int]]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """First and last word and kind of each base span; marks their words."""
+        found = [(d, s, e, k) for d, base in enumerate(spans) for s, k, e in base]
+        d, s, e, kind = np.array(found, np.int64).reshape(-1, 4).T
+        at = self.chars[self.begins[d]]
+        first = np.searchsorted(self.ends, np.searchsorted(self.chars, at + s + 1) - 1, "right")
+        last = np.searchsorted(self.starts, np.searchsorted(self.chars, at + e), "left") - 1
+        ok = last >= first
+        first, last, kind = first[ok], last[ok], kind[ok]
+        marks = np.bincount(first, minlength=self.n + 1) - np.bincount(last + 1, minlength=self.n + 1)
+        self.base = np.cumsum(marks)[: self.n] > 0
+        return first, last, kind
+
+    def left(self, first: np.ndarray) -> np.ndarray:
+        return mixed(self.before[first] ^ _LEFT)
+
+    def both(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        return mixed(mixed(self.before[first] + _BOTH) ^ self.after[last])
+
+    def values(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        return span_hashes(self.sums, self.down, self.starts[first], self.ends[last])
+
+    def runs(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """First and last words of all runs in one line without a word of a base span, by length."""
+        first = np.flatnonzero(~self.base)
+        for n in range(LONGEST):
+            first = first[first + n < self.n]
+            last = first + n
+            keep = (self.line[first] == self.line[last]) & ~self.base[last]
+            first, last = first[keep], last[keep]
+            yield first, last
+
+    def in_patterns(self, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """First word, last word and pattern of the runs that stand in a pattern of ``table``.
+
+        Between two words a value is all that stands there. After one word it is the words with digits that follow, or one word.
+        """
+        out, more, end = [], None, None
+        for n, (first, last) in enumerate(self.runs()):
+            pattern = self.both(first, last)
+            hit = _in(pattern, table)
+            out.append((first[hit], last[hit], pattern[hit]))
+            if n == 0:
+                end, more = np.arange(self.n), self.digits.copy()
+            else:
+                grows = np.zeros(self.n, bool)
+                grows[first] = more[first] & self.digits[last]
+                end, more = np.where(grows, end + 1, end), grows
+        first = np.flatnonzero(~self.base)
+        pattern = self.left(first)
+        hit = _in(pattern, table)
+        out.append((first[hit], end[first[hit]], pattern[hit]))
+        return tuple(np.concatenate(c) for c in zip(*out))
+
+    def places(self, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start and end of runs, in characters of their text."""
+        zero = self.chars[self.begins[self.doc[first]]]
+        return self.chars[self.starts[first]] - zero, self.chars[self.ends[last]] - zero
+
+
+def _in(hashes: np.ndarray, table: np.ndarray) -> np.ndarray:
+    return table[hashes >> np.uint64(64 - SLOT_BITS)]
+
+
+def _table(slots: np.ndarray) -> np.ndarray:
+    table = np.zeros(1 << SLOT_BITS, bool)
+    table[slots] = True
+    return table
+
+
+def _slots(hashes: DataFrame, column: str) -> np.ndarray:
+    """The slots that the hashes fall into; never more than there are slots."""
+    rows = hashes.select(F.shiftrightunsigned(column, 64 - SLOT_BITS).cast("int").alias("s")).distinct()
+    return rows.toArrow().column(0).to_numpy().astype(np.int32)
+
+
+def _signed(hashes: np.ndarray) -> pa.Array:
+    return pa.array(hashes.astype(np.uint64).view(np.int64))
+
+
+def _edges(docs: DataFrame, patterns: np.ndarray | None = None) -> DataFrame:
+    """``pattern, value, kind`` of the base matches, or with kind -1 of all other values in the patterns that the slots let through.
+
+    Both are hashes. Most repetitions are dropped.
+    """
 
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = None if patterns is None else _table(patterns)
+        held, rows = [], 0
 
-def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple]:
-    """(start, end, kind or -1, pattern, hash of the value) of seeds and of tokens that look like identifiers.
+        def part() -> pa.RecordBatch:
+            found = np.unique(np.concatenate([np.zeros((0, 3), np.uint64), *held]), axis=0)
+            return pa.RecordBatch.from_arrays([_signed(found[:, 0].copy()), _signed(found[:, 1].copy()), pa.array(found[:, 2].astype(np.int64).astype(np.int32) - 1)], ["pattern", "value", "kind"])
+
+        for batch in slices(batches, most_bytes=1 << 20):
+            texts = [t or "" for t in batch.column(0).to_pylist()]
+            words = Words(texts)
+            first, last, kind = words.seeds([base_spans(t) for t in texts])
+            if table is None:
+                found = [(p, words.values(first, last), kind + 1) for p in (words.left(first), words.both(first, last))]
+            else:
+                first, last, pattern = words.in_patterns(table)
+                found = [(pattern, words.values(first, last), np.zeros(len(first)))]
+            for columns in found:
+                held.append(np.column_stack([c.astype(np.uint64) for c in columns]))
+                rows += len(held[-1])
+            if rows > 200_000:
+                yield part()
+                held, rows = [], 0
+        yield part()
+
+    return docs.select("text").mapInArrow(find, "pattern bigint, value bigint, kind int")
 
-    A token looks like one if it has four or more digits. The pattern is the word before it and its shape.
-    """
-    if not base and not _DIGITS.search(text):
-        return []
-    words = [(m.start(), m.end()) for m in _WORD.finditer(text)]
-    found, i, before = [], 0, "^"
-    for start, end in words:
-        while i < len(base) and base[i][2] <= start:
-            i += 1
-        token = text[start:end]
-        core = token.strip(_EDGE)
-        seed = base[i] if i < len(base) and base[i][0] < end else None
-        if seed:
-            if seed[0] >= start:
-                value = text[seed[0] : seed[2]]
-                found.append((seed[0], seed[2], seed[1], before, shape(value), value))
-        elif len(core) >= 6 and len(_DIGITS.findall(core)) >= 4:
-            at = start + token.index(core)
-            found.append((at, at + len(core), -1, before, shape(core), core))
-        before = core.lower() or token
-    return [(s, e, k, f"{b[:40]}\x1f{sh}", hashlib.md5(v.encode()).hexdigest()[:16]) for s, e, k, b, sh, v in found]
-
-
-SCAN = "doc_id bigint, row bigint, base string, counts array<bigint>, found array<struct<at:bigint,upto:bigint,kind:int,pattern:string,value:string>>"
-
-
-def scan(docs: DataFrame) -> DataFrame:
-    """Base spans and identifier-like tokens of each whole text. ``row`` tells rows with one id apart."""
+
+SCAN = "doc_id bigint, row bigint, base string, counts array<bigint>, found array<struct<at:bigint,upto:bigint,pattern:bigint>>"
+
+
+def scan(docs: DataFrame, patterns: np.ndarray) -> DataFrame:
+    """Base spans of each whole text and what stands in the patterns. ``row`` tells rows with one id apart."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        item = pa.struct([("at", pa.int64()), ("upto", pa.int64()), ("kind", pa.int32()), ("pattern", pa.string()), ("value", pa.string())])
-        for batch in slices(batches):
-            spans, counts, found = [], [], []
-            for text in batch.column(2).to_pylist():
-                base = base_spans(text or "")
-                spans.append(",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in base))
-                counts.append([sum(k == n for _, k, _ in base) for n in range(len(KINDS))])
-                found.append([dict(zip(("at", "upto", "kind", "pattern", "value"), c)) for c in candidates(text or "", base)])
+        item = pa.struct([("at", pa.int64()), ("upto", pa.int64()), ("pattern", pa.int64())])
+        table = _table(patterns)
+        for batch in slices(batches, most_bytes=1 << 20):
+            texts = [t or "" for t in batch.column(2).to_pylist()]
+            base, found = [base_spans(t) for t in texts], [[] for _ in texts]
+            if len(patterns):
+                words = Words(texts)
+                words.seeds(base)
+                first, last, pattern = words.in_patterns(table)
+                columns = (words.doc[first], *words.places(first, last), pattern.view(np.int64))
+                for d, at, upto, p in zip(*(c.tolist() for c in columns)):
+                    found[d].append({"at": at, "upto": upto, "pattern": p})
+            spans = [",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in b) for b in base]
+            counts = [[sum(k == n for _, k, _ in b) for n in range(len(KINDS))] for b in base]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(spans), pa.array(counts, pa.list_(pa.int64())), pa.array(found, pa.list_(item))],
+                [batch.column(0), batch.column(1), pa.array(spans, pa.string()), pa.array(counts, pa.list_(pa.int64())), pa.array(found, pa.list_(item))],
                 ["doc_id", "row", "base", "counts", "found"],
             )
 
@@ -136,33 +253,35 @@ def scan(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(find, SCAN)
 
 
-def trusted_patterns(found: DataFrame, rounds: int = 3, confidence: float = 0.8, support: int = 3) -> DataFrame:
-    """``pattern, kind`` of the patterns in which values of one kind are met reliably.
+def _semi(left: DataFrame, right: DataFrame, column: str) -> DataFrame:
+    """Rows of ``left`` whose ``column`` is in ``right``."""
+    keys = right.select(F.col(column).alias("_k")).distinct()
+    return keyed_left_join(left, keys, [(column, "_k")]).where("_k is not null").drop("_k")
+
 
-    ``found`` has ``kind, pattern, value`` for each occurrence. In each round a pattern's belief in a kind is the mean belief of its
-    distinct values, damped for few values (``n / (n + 1)``), and a value that no base pattern knows takes the largest belief
-    of its patterns. At least ``support`` distinct known values must stand behind a trusted pattern.
+def trusted_patterns(docs: DataFrame, confidence: float = 0.8, support: int = 3) -> DataFrame:
+    """``pattern, kind, score`` of the patterns in which values of one kind are met reliably.
+
+    A pattern is the word before a value, or the words before and after it. Its belief in a kind is the mean belief of its
+    distinct values, damped for few values (``n / (n + 1)``); base matches have belief 1. At least ``support`` distinct known values
+    must stand behind a trusted pattern. Patterns without that support are never scored.
     """
-    edges = settle(found.groupBy("pattern", "value").agg(F.max("kind").alias("seed")))
-    sizes = edges.groupBy("pattern").agg(F.count("*").alias("n"))
-    beliefs = edges.where("seed >= 0").select("value", F.col("seed").alias("kind"), F.lit(1.0).alias("belief")).distinct()
-    scored = None
-    for _ in range(rounds):
-        known = beliefs.select(F.col("value").alias("v"), "kind", "belief")
-        met = keyed_left_join(edges, known, [("value", "v")]).where("kind is not null")
-        summed = met.groupBy("pattern", "kind").agg(F.sum("belief").alias("b"), F.sum((F.col("belief") == 1).cast("int")).alias("seeds"))
-        sized = keyed_left_join(summed, sizes.withColumnRenamed("pattern", "p"), [("pattern", "p")]).drop("p")
-        scored = settle(sized.withColumn("score", F.col("b") / (F.col("n") + 1)))
-        strong = scored.where((F.col("score") >= confidence * 0.75) & (F.col("seeds") >= support)).select(
-            F.col("pattern").alias("p"), "kind", "score"
-        )
-        new = keyed_left_join(edges.where("seed < 0"), strong, [("pattern", "p")]).where("kind is not null")
-        new = new.groupBy("value", "kind").agg(F.max("score").alias("belief"))
-        beliefs = settle(
-            beliefs.unionByName(new).groupBy("value", "kind").agg(F.max("belief").alias("belief"))
-        )
-    best = F.max_by("kind", F.struct("score", -F.col("kind"))).alias("kind")
-    return scored.where((F.col("score") >= confidence) & (F.col("seeds") >= support)).groupBy("pattern").agg(best)
+    seeds = settle(_edges(docs).groupBy("pattern", "value").agg(F.max("kind").alias("kind")))
+    contexts = seeds.select("pattern", "value")
+    known = settle(seeds.select("value", "kind", F.lit(1.0).alias("belief")).distinct())
+
+    def beliefs(edges: DataFrame) -> DataFrame:
+        met = keyed_left_join(edges, known.withColumnRenamed("value", "v"), [("value", "v")]).where("kind is not null")
+        return met.groupBy("pattern", "kind").agg(F.sum("belief").alias("b"), F.sum((F.col("belief") >= 1).cast("int")).alias("support"))
+
+    ready = settle(beliefs(contexts).where(F.col("support") >= support).select("pattern").distinct())
+    found = _semi(_edges(docs, _slots(ready, "pattern")), ready, "pattern").select("pattern", "value")
+    edges = settle(_semi(contexts, ready, "pattern").unionByName(found).distinct())
+    sizes = edges.groupBy(F.col("pattern").alias("p")).agg(F.count("*").alias("n"))
+    scored = keyed_left_join(beliefs(edges), sizes, [("pattern", "p")]).withColumn("score", F.col("b") / (F.col("n") + 1))
+    best = F.max_by(F.struct("kind", "score"), F.struct("score", -F.col("kind"))).alias("best")
+    scored = scored.where((F.col("score") >= confidence) & (F.col("support") >= support)).groupBy("pattern").agg(best)
+    return settle(scored.select("pattern", "best.*"))
 
 
 def personal_data(docs: DataFrame, **options) -> DataFrame:
@@ -171,13 +290,16 @@ def personal_data(docs: DataFrame, **options) -> DataFrame:
     Every row of ``docs`` gives one row, null texts as empty ones. Added spans never overlap base ones and
     carry the kind their pattern was learned from. Other columns are ignored.
     """
-    scanned = settle(scan(docs))
+    trusted = trusted_patterns(docs, **options)
+    scanned = settle(scan(docs, _slots(trusted, "pattern")))
     each = scanned.select("row", F.inline("found"))
-    trusted = trusted_patterns(each.select("kind", "pattern", "value"), **options)
-    trusted = trusted.select(F.col("pattern").alias("p"), F.col("kind").alias("as_kind"))
-    added = keyed_left_join(each.where("kind < 0"), trusted, [("pattern", "p")]).where("as_kind is not null")
-    # Only the spans of one document meet in one row.
-    added = added.groupBy("row").agg(F.collect_list(F.struct("at", F.col("as_kind").alias("k"), "upto")).alias("more"))
+    trusted = trusted.select(F.col("pattern").alias("p"), F.col("kind").alias("as_kind"), "score")
+    added = keyed_left_join(each, trusted, [("pattern", "p")]).where("as_kind is not null")
+    # Only the spans of one document meet in one row. Of those that overlap the leftmost longest stays.
+    span = F.struct("at", (-F.col("upto")).alias("end"), (-F.col("score")).alias("rank"), F.col("as_kind").alias("k"))
+    added = added.groupBy("row").agg(F.array_sort(F.collect_set(span)).alias("more"))
+    added = added.withColumn("more", F.expr("""aggregate(more, cast(array() as array<struct<at:bigint,k:int,upto:bigint>>),
+        (kept, s) -> if(size(kept) > 0 and s.at < element_at(kept, -1).upto, kept, concat(kept, array(named_struct('at', s.at, 'k', s.k, 'upto', -s.end)))))"""))
     named = F.array(*map(F.lit, KINDS))
     split = F.transform(F.filter(F.split("base", ","), lambda x: x != ""), lambda x: F.struct(
         F.element_at(F.split(x, ":"), 2).cast("bigint").alias("at"),
