@@ -226,6 +226,19 @@ def test_contexts_mark_values_of_another_form(spark):
     assert got[len(texts)].spans == "" and got[1000].spans == ""
 
 
+def test_found_values_prove_further_contexts(spark):
+    local = [f"555-{100 + i}-9999" for i in range(200)]
+    texts = [f"phone +1-555-{200 + i}-{4000 + i}" for i in range(4000)] + [f"phone {v} {'abcd'[i % 4]}" for i, v in enumerate(local)]
+    # No base match stands below. The values after "fax" are known from the first pattern, those after "cell" from "fax" only.
+    texts += [f"fax {v} {'efg'[i % 3]}" for i, v in enumerate(local)] + [f"fax x-{i} {'efg'[i % 3]}" for i in range(20)]
+    texts += [f"cell x-{i} {'hij'[i % 3]}" for i in range(20)] + ["pager x-1 z"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").repartition(4)
+    got = {r.doc_id: r.spans for r in pii.personal_data(docs).collect()}
+    assert all(got[i].startswith("phone:6:") for i in range(4200))
+    assert all(got[4200 + i] == "phone:4:16" for i in range(200)) and got[4400] == "phone:4:7"
+    assert all(got[4420 + i] == f"phone:5:{8 + (i > 9)}" for i in range(20)) and got[4440] == ""
+
+
 def test_mix_meets_its_targets(docs, empty):
     plan = mixing.mix_plan(docs).collect()
     again = {(r.doc_id, r.taken) for r in mixing.mix_plan(docs.repartition(3)).collect()}

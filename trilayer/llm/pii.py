@@ -163,6 +163,12 @@ class Words:
         out.append((first[hit], end[first[hit]], pattern[hit]))
         return tuple(np.concatenate(c) for c in zip(*out))
 
+    def with_values(self, table: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """First and last words of the runs whose value is in ``table``."""
+        for first, last in self.runs():
+            hit = _in(self.values(first, last), table)
+            yield first[hit], last[hit]
+
     def places(self, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Start and end of runs, in characters of their text."""
         zero = self.chars[self.begins[self.doc[first]]]
@@ -189,14 +195,15 @@ def _signed(hashes: np.ndarray) -> pa.Array:
     return pa.array(hashes.astype(np.uint64).view(np.int64))
 
 
-def _edges(docs: DataFrame, patterns: np.ndarray | None = None) -> DataFrame:
+def _edges(docs: DataFrame, patterns: np.ndarray | None = None, values: np.ndarray | None = None) -> DataFrame:
     """``pattern, value, kind`` of the base matches, or with kind -1 of all other values in the patterns that the slots let through.
 
-    Both are hashes. Most repetitions are dropped.
+    With slots of values instead, all patterns of those values. Both are hashes. Most repetitions are dropped.
     """
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = None if patterns is None else _table(patterns)
+        slots = patterns if values is None else values
+        table = None if slots is None else _table(slots)
         held, rows = [], 0
 
         def part() -> pa.RecordBatch:
@@ -207,7 +214,10 @@ def _edges(docs: DataFrame, patterns: np.ndarray | None = None) -> DataFrame:
             texts = [t or "" for t in batch.column(0).to_pylist()]
             words = Words(texts)
             first, last, kind = words.seeds([base_spans(t) for t in texts])
-            if table is None:
+            if values is not None:
+                first, last = (np.concatenate(c) for c in zip(*words.with_values(table)))
+                kind = np.full(len(first), -1)
+            if patterns is None:
                 found = [(p, words.values(first, last), kind + 1) for p in (words.left(first), words.both(first, last))]
             else:
                 first, last, pattern = words.in_patterns(table)
@@ -264,7 +274,8 @@ def trusted_patterns(docs: DataFrame, confidence: float = 0.8, support: int = 3)
 
     A pattern is the word before a value, or the words before and after it. Its belief in a kind is the mean belief of its
     distinct values, damped for few values (``n / (n + 1)``); base matches have belief 1. At least ``support`` distinct known values
-    must stand behind a trusted pattern. Patterns without that support are never scored.
+    must stand behind a trusted pattern; known are base matches and, from the next round on, the values that trusted patterns
+    hold, with the score of their best pattern as belief. Rounds go on until no new pattern is trusted.
     """
     seeds = settle(_edges(docs).groupBy("pattern", "value").agg(F.max("kind").alias("kind")))
     contexts = seeds.select("pattern", "value")
@@ -272,16 +283,37 @@ def trusted_patterns(docs: DataFrame, confidence: float = 0.8, support: int = 3)
 
     def beliefs(edges: DataFrame) -> DataFrame:
         met = keyed_left_join(edges, known.withColumnRenamed("value", "v"), [("value", "v")]).where("kind is not null")
-        return met.groupBy("pattern", "kind").agg(F.sum("belief").alias("b"), F.sum((F.col("belief") >= 1).cast("int")).alias("support"))
-
-    ready = settle(beliefs(contexts).where(F.col("support") >= support).select("pattern").distinct())
-    found = _semi(_edges(docs, _slots(ready, "pattern")), ready, "pattern").select("pattern", "value")
-    edges = settle(_semi(contexts, ready, "pattern").unionByName(found).distinct())
-    sizes = edges.groupBy(F.col("pattern").alias("p")).agg(F.count("*").alias("n"))
-    scored = keyed_left_join(beliefs(edges), sizes, [("pattern", "p")]).withColumn("score", F.col("b") / (F.col("n") + 1))
-    best = F.max_by(F.struct("kind", "score"), F.struct("score", -F.col("kind"))).alias("best")
-    scored = scored.where((F.col("score") >= confidence) & (F.col("support") >= support)).groupBy("pattern").agg(best)
-    return settle(scored.select("pattern", "best.*"))
+        return met.groupBy("pattern", "kind").agg(F.sum("belief").alias("b"), F.sum((F.col("belief") >= confidence).cast("int")).alias("support"))
+
+    pair = "pattern bigint, value bigint"
+    spark = docs.sparkSession
+    edges, tested = spark.createDataFrame([], pair), spark.createDataFrame([], "pattern bigint")
+    trusted = spark.createDataFrame([], "pattern bigint, kind int, score double")
+    while True:
+        ready = beliefs(contexts).where(F.col("support") >= support).select("pattern").distinct()
+        ready = settle(ready.join(tested, "pattern", "left_anti"))
+        if not ready.isEmpty():
+            found = _semi(_edges(docs, _slots(ready, "pattern")), ready, "pattern").select("pattern", "value")
+            tested = settle(tested.unionByName(ready))
+            edges = edges.unionByName(found)
+        # Values found outside patterns under test stand in ``contexts`` too.
+        edges = settle(edges.unionByName(_semi(contexts, tested, "pattern")).distinct())
+        sizes = edges.groupBy(F.col("pattern").alias("p")).agg(F.count("*").alias("n"))
+        scored = keyed_left_join(beliefs(edges), sizes, [("pattern", "p")]).withColumn("score", F.col("b") / (F.col("n") + 1))
+        best = F.max_by(F.struct("kind", "score"), F.struct("score", -F.col("kind"))).alias("best")
+        scored = scored.where((F.col("score") >= confidence) & (F.col("support") >= support)).groupBy("pattern").agg(best)
+        fresh = settle(scored.select("pattern", "best.*").join(trusted, "pattern", "left_anti"))
+        if fresh.isEmpty():
+            return trusted
+        trusted = settle(trusted.unionByName(fresh))
+        new = keyed_left_join(edges, fresh.withColumnRenamed("pattern", "p"), [("pattern", "p")]).where("kind is not null")
+        new = new.groupBy("value", "kind").agg(F.max("score").alias("belief"))
+        new = settle(new.join(known.select("value").distinct(), "value", "left_anti"))
+        if new.isEmpty():
+            return trusted
+        known = settle(known.unionByName(new))
+        also = _semi(_edges(docs, values=_slots(new, "value")), new, "value").select("pattern", "value")
+        contexts = settle(contexts.unionByName(also).distinct())
 
 
 def personal_data(docs: DataFrame, **options) -> DataFrame:
