@@ -207,7 +207,9 @@ def _edges(docs: DataFrame, patterns: np.ndarray | None = None, values: np.ndarr
         held, rows = [], 0
 
         def part() -> pa.RecordBatch:
-            found = np.unique(np.concatenate([np.zeros((0, 3), np.uint64), *held]), axis=0)
+            found = np.concatenate([np.zeros((0, 3), np.uint64), *held])
+            # Sorting one number a row is several times faster than sorting rows.
+            found = found[np.unique(mixed(found[:, 0] + mixed(found[:, 1] + mixed(found[:, 2]))), return_index=True)[1]]
             return pa.RecordBatch.from_arrays([_signed(found[:, 0].copy()), _signed(found[:, 1].copy()), pa.array(found[:, 2].astype(np.int64).astype(np.int32) - 1)], ["pattern", "value", "kind"])
 
         for batch in slices(batches, most_bytes=1 << 20):
