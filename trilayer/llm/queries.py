@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from trilayer.llm import (
     line_dedup,
+    manifest,
     mixing,
     ngram_join,
     pieces,
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_mixing": mixing.op8_mixing,
     "op9_token_files": token_files.op9_token_files,
     "op10_pii": pii.op10_pii,
+    "op11_merkle_manifest": manifest.op11_merkle_manifest,
 }
 
-SQL = {"op8_mixing": mixing.SQL}
+SQL = {"op8_mixing": mixing.SQL, "op11_merkle_manifest": manifest.SQL}
