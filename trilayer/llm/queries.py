@@ -10,6 +10,7 @@ from trilayer.llm import (
     pieces,
     pii,
     quality_rules,
+    spelling,
     suffix_dedup,
     token_files,
     toxicity,
@@ -28,6 +29,7 @@ QUERIES = {
     "op9_token_files": token_files.op9_token_files,
     "op10_pii": pii.op10_pii,
     "op11_merkle_manifest": manifest.op11_merkle_manifest,
+    "op12_spelling_variants": spelling.op12_spelling_variants,
 }
 
-SQL = {"op8_mixing": mixing.SQL, "op11_merkle_manifest": manifest.SQL}
+SQL = {"op8_mixing": mixing.SQL, "op11_merkle_manifest": manifest.SQL, "op12_spelling_variants": spelling.SQL}
