@@ -11,6 +11,7 @@ from trilayer.llm import (
     pii,
     quality_rules,
     spelling,
+    substring_dedup,
     suffix_dedup,
     token_files,
     toxicity,
@@ -30,6 +31,7 @@ QUERIES = {
     "op10_pii": pii.op10_pii,
     "op11_merkle_manifest": manifest.op11_merkle_manifest,
     "op12_spelling_variants": spelling.op12_spelling_variants,
+    "op13_substring_dedup": substring_dedup.op13_substring_dedup,
 }
 
 SQL = {"op8_mixing": mixing.SQL, "op11_merkle_manifest": manifest.SQL, "op12_spelling_variants": spelling.SQL}
