@@ -39,7 +39,8 @@ class LayerConfig:
     While a layer is rebuilt, ``shuffle_partitions`` is set (without it the session's own
     setting stands), and stored tables up to ``broadcast_limit`` are broadcast: a
     larger one is joined by sort-merge, but shuffling a whole fact for a
-    dimension of a few MB would cost far more.
+    dimension of a few MB would cost far more. ``keep_versions`` versions of each table stay:
+    the newest and those that readers may have started on.
     """
 
     root: str
@@ -50,6 +51,7 @@ class LayerConfig:
     null_as_zero: bool = False
     shuffle_partitions: int | None = None
     broadcast_limit: str = "32MB"
+    keep_versions: int = 2
     bases: dict[str, str] = field(
         default_factory=lambda: {RAW: "raw", SILVER: "silver", GOLD: "gold"}
     )

@@ -3,9 +3,17 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from trilayer import files
+
+_SCOPE = "trilayer.run.folder"
+# What this library puts into the shared folder.
+_OWN = ("run-", "settled-", "lakehouse-", "pipeline-")
+
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
@@ -20,8 +28,39 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, purpose: str) -> str:
-    """A new path in the shared folder."""
-    return f"{checkpoint_root(spark)}/{purpose}-{uuid.uuid4().hex}"
+    """A new path in the shared folder, or in the folder of the run that this thread belongs to."""
+    root = spark.sparkContext.getLocalProperty(_SCOPE) or checkpoint_root(spark)
+    return f"{root}/{purpose}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def run_scope(spark: SparkSession) -> Iterator[str]:
+    """The folder of one run. All that is settled inside goes there and is deleted at the end, also when the run fails.
+
+    Results must be written or collected before the end: what still reads a settled table cannot outlive it. Threads
+    started through ``inheritable_thread_target`` belong to the run of their parent; a run inside a run has a folder of its own.
+    """
+    context = spark.sparkContext
+    outer, folder = context.getLocalProperty(_SCOPE), scratch_path(spark, "run")
+    context.setLocalProperty(_SCOPE, folder)
+    try:
+        yield folder
+    finally:
+        context.setLocalProperty(_SCOPE, outer)
+        files.delete(spark, folder)
+
+
+def expire_scratch(spark: SparkSession, hours: float) -> int:
+    """Delete what no scope owns or a killed driver left behind, once it has not changed for so long. Returns the number of folders.
+
+    A folder's time is that of its own last entry, so ``hours`` must exceed the longest run.
+    """
+    root, gone = checkpoint_root(spark), 0
+    for name in files.names(spark, root):
+        if name.startswith(_OWN) and files.hours_since_change(spark, f"{root}/{name}") >= hours:
+            files.delete(spark, f"{root}/{name}")
+            gone += 1
+    return gone
 
 
 def settle(df: DataFrame) -> DataFrame:

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
+from trilayer import files
 from trilayer.config import LayerConfig
+from trilayer.sources import versions
 
 LEDGER_SCHEMA = "layer string, table string, status string, rows long, error string"
 
@@ -24,10 +26,13 @@ class NoSourceError(Exception):
 
 
 def read_files(spark: SparkSession, path: str) -> DataFrame:
-    """Every data file below ``path`` whatever its name; folder names are not taken as partition values."""
+    """Every data file below ``path`` whatever its name; folder names are not taken as partition values.
+
+    Of a folder written in versions or chunks, those that count.
+    """
     reader = spark.read.option("recursiveFileLookup", True)
     try:
-        return reader.parquet(path)
+        return reader.parquet(*versions.current(spark, path))
     except AnalysisException as e:
         if e.getCondition() in _NO_SOURCE:
             raise NoSourceError(path) from e
@@ -40,8 +45,8 @@ def read_table(spark: SparkSession, cfg: LayerConfig, layer: str, table: str) ->
 
 
 def read_layer(spark: SparkSession, cfg: LayerConfig, layer: str, table: str) -> DataFrame:
-    """By storage path."""
-    return spark.read.format(cfg.table_format).load(cfg.path(layer, table))
+    """By storage path: the version that is the newest now, which no later refresh changes."""
+    return spark.read.format(cfg.table_format).load(versions.current(spark, cfg.path(layer, table)))
 
 
 def preflight(spark: SparkSession, cfg: LayerConfig, layer: str, tables: Iterable[str]) -> None:
@@ -76,56 +81,55 @@ def drop_audit(df: DataFrame) -> DataFrame:
 
 
 def write_layer(df: DataFrame, cfg: LayerConfig, layer: str, table: str, audit: bool = True) -> int:
-    """Replace a table at its own location, register it and return the rows written.
+    """Replace a table's rows, point its name at them and return the rows written.
 
-    The rows are counted while they are written, so nothing is read back. They go to a folder beside the table, which
-    takes the table's place when it is complete: a write that fails leaves the old rows, by path and by name.
+    The rows are counted while they are written, so nothing is read back. They go to a folder of their own, which becomes the
+    table for readers by path when its version is published, and for readers by name when the name is moved. Each is one step, so a reader started at
+    any moment gets all old or all new rows, and a write that fails changes nothing. ``cfg.keep_versions`` versions stay.
     """
     spark = df.sparkSession
-    name, path = cfg.qualified(layer, table), cfg.path(layer, table)
-    staged = f"{path}-new-{uuid.uuid4().hex}"
+    path = cfg.path(layer, table)
+    folder = versions.new_folder(path)
     written = Observation()
     out = add_audit(df, layer) if audit else df
     try:
-        out.observe(written, F.count(F.lit(1)).alias("rows")).write.format(cfg.table_format).save(staged)
-        _replace_folder(spark, staged, path)
+        out.observe(written, F.count(F.lit(1)).alias("rows")).write.format(cfg.table_format).save(folder)
     except Exception:
-        _delete_folder(spark, staged)
+        files.delete(spark, folder)
         raise
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.catalog.createTable(name, path=path, source=cfg.table_format)
+    versions.publish(spark, path, folder)
+    _point_name(spark, cfg, layer, table, folder)
+    versions.expire(spark, path, cfg.keep_versions)
     return written.get["rows"]
 
 
-def _folder(spark: SparkSession, path: str) -> tuple:
-    """Hadoop's file system and path object."""
-    found = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return found.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), found
+def _columns(schema: StructType) -> list[tuple[str, str]]:
+    return [(f.name, f.dataType.simpleString()) for f in schema.fields]
 
 
-def _delete_folder(spark: SparkSession, path: str) -> None:
-    files, folder = _folder(spark, path)
-    files.delete(folder, True)
+def _point_name(spark: SparkSession, cfg: LayerConfig, layer: str, table: str, folder: str) -> None:
+    """Let a catalog name, new or old, mean ``folder``.
 
-
-def _replace_folder(spark: SparkSession, staged: str, path: str) -> None:
-    """Put ``staged`` in the place of ``path``; what was there goes last, or comes back if the move fails."""
-    files, new = _folder(spark, staged)
-    old, aside = _folder(spark, path)[1], _folder(spark, f"{staged}-before")[1]
-    had = files.exists(old)
-    if had and not files.rename(old, aside):
-        raise OSError(f"cannot move {path}")
-    if not files.rename(new, old):
-        if had:
-            files.rename(aside, old)
-        raise OSError(f"cannot move {staged} to {path}")
-    if had:
-        files.delete(aside, True)
+    Of an existing name only the location changes, then columns that are new at the end are added. Other changes of the columns leave no
+    choice but to drop the name and create it again.
+    """
+    name = cfg.qualified(layer, table)
+    if spark.catalog.tableExists(name):
+        old = _columns(spark.table(name).schema)
+        new = _columns(spark.read.format(cfg.table_format).load(folder).schema)
+        if new[: len(old)] == old:
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
+            if new[len(old) :]:
+                added = ", ".join(f"`{c}` {t}" for c, t in new[len(old) :])
+                spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({added})")
+            return
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.catalog.createTable(name, path=folder, source=cfg.table_format)
 
 
-def write_files(df: DataFrame, path: str) -> None:
-    """Plain snappy parquet, the form in which raw files land."""
-    df.write.mode("overwrite").option("compression", "snappy").parquet(path)
+def write_files(df: DataFrame, path: str, rows_per_file: int = 0) -> None:
+    """Plain snappy parquet, the form in which raw files land; ``rows_per_file`` bounds each file if given."""
+    df.write.mode("overwrite").option("compression", "snappy").option("maxRecordsPerFile", rows_per_file).parquet(path)
 
 
 # --- ledger --------------------------------------------------------------------
@@ -143,12 +147,11 @@ def first_line(e: Exception) -> str:
 
 
 def list_registered(spark: SparkSession, cfg: LayerConfig) -> dict[str, str]:
-    """Registered name to qualified name; empty when the catalog cannot be listed."""
-    try:
-        tables = [t for t in spark.catalog.listTables(cfg.database) if not t.isTemporary]
-        return {t.name: f"{cfg.database}.{t.name}" for t in tables}
-    except Exception:
+    """Registered name to qualified name; empty where there is no such database. A catalog that cannot be listed is an error."""
+    if not spark.catalog.databaseExists(cfg.database):
         return {}
+    tables = [t for t in spark.catalog.listTables(cfg.database) if not t.isTemporary]
+    return {t.name: f"{cfg.database}.{t.name}" for t in tables}
 
 
 def register(
@@ -156,10 +159,14 @@ def register(
 ) -> DataFrame:
     """Point catalog names at existing storage; only metadata is written. Returns the ledger.
 
-    A name that exists is skipped, or re-created with ``refresh``.
+    A name that exists is skipped, or moved to the newest version with ``refresh``.
     """
-    create_database(spark, cfg)
-    existing = list_registered(spark, cfg)
+    tables = list(tables)
+    try:
+        create_database(spark, cfg)
+        existing = list_registered(spark, cfg)
+    except Exception as e:  # without the catalog nothing is known about any table
+        return ledger(spark, [(layer, table, "error", None, first_line(e)) for table in tables])
     rows = []
     for table in tables:
         known = cfg.name(layer, table) in existing
@@ -168,11 +175,7 @@ def register(
             continue
         try:
             read_layer(spark, cfg, layer, table)  # an unreadable location is an error, not an empty table
-            if known:
-                spark.sql(f"DROP TABLE IF EXISTS {cfg.qualified(layer, table)}")
-            spark.catalog.createTable(
-                cfg.qualified(layer, table), path=cfg.path(layer, table), source=cfg.table_format
-            )
+            _point_name(spark, cfg, layer, table, versions.current(spark, cfg.path(layer, table))[0])
             rows.append((layer, table, "refreshed" if known else "created", None, None))
         except Exception as e:  # recorded per table
             rows.append((layer, table, "error", None, first_line(e)))
