@@ -19,6 +19,14 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, made longer until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 256, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in small batches, so that Python objects exist for few rows at a time."""
     for batch in batches:

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from trilayer.llm.common import read
+from trilayer.llm.common import read, unused
 from trilayer.operators import keyed_left_join, settle
 
 #: Jaccard similarity from which lines match: 9/10.
@@ -26,14 +26,25 @@ BROADCAST_ROWS = 1_000_000
 OTHER_SPACES = "\t\x0b\x0c\r"
 
 
+def _doc() -> Column:
+    return F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(1 << 63)))
+
+
+def _own() -> Column:
+    return F.xxhash64("text")
+
+
 def lines(docs: DataFrame) -> DataFrame:
-    """``doc, line_no, line`` of every line, its words separated by blanks; null texts have one empty line, null ids count as the smallest."""
+    """``doc, own, line_no, line`` of every line, its words separated by blanks; null texts have one empty line, null ids count as the smallest.
+
+    ``own`` tells rows of one id apart by their text.
+    """
     text = F.coalesce("text", F.lit(""))
     for space in OTHER_SPACES:
         # Splitting at one plain character is much faster than at a class.
         text = F.replace(text, F.lit(space), F.lit(" "))
     return docs.select(
-        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(1 << 63))).alias("doc"),
+        _doc().alias("doc"), _own().alias("own"),
         F.posexplode(F.split(text, "\n")).alias("line_no", "line"),
     )
 
@@ -69,13 +80,13 @@ def line_sets(docs: DataFrame, ranks: list[int], min_words: int) -> DataFrame:
     """
     # A line that is not blank has a word, so for one word nothing is split here.
     long_enough = F.trim("line") != "" if min_words <= 1 else F.size(_words()) >= min_words
-    rows = lines(docs).where(long_enough).select("doc", "line_no", tokens(ranks).alias("tokens"))
+    rows = lines(docs).where(long_enough).select("doc", "own", "line_no", tokens(ranks).alias("tokens"))
     n = F.size("tokens")
     prefix = F.slice("tokens", 1, n - F.floor((PART * n + WHOLE - 1) / WHOLE).cast("int") + 1)
     parity = F.expr("aggregate(tokens, 0L, (a, t) -> a ^ shiftleft(1L, cast(t & 63 as int)))")
     return rows.select(
         F.xxhash64("tokens").alias("a"), F.xxhash64(F.lit(1), "tokens").alias("b"),
-        F.struct("doc", "line_no").alias("at"), n.alias("n"), parity.alias("bits"), prefix.alias("prefix"),
+        F.struct("doc", "own", "line_no").alias("at"), n.alias("n"), parity.alias("bits"), prefix.alias("prefix"),
     )
 
 
@@ -100,13 +111,13 @@ def _may_match() -> Column:
 def _verified(docs: DataFrame, ranks: list[int], pairs: DataFrame) -> DataFrame:
     """The ``first`` of each later line whose pair holds on the whole sets."""
     wanted = settle(pairs.select("first").unionAll(pairs.select("e_first")).distinct())
-    wanted = wanted.select("first.doc", "first.line_no")
+    wanted = wanted.select("first.*")
     if wanted.count() <= BROADCAST_ROWS:
         wanted = F.broadcast(wanted)
     sets = settle(
-        lines(docs).join(wanted, ["doc", "line_no"], "left_semi").select("doc", "line_no", tokens(ranks).alias("tokens"))
+        lines(docs).join(wanted, ["doc", "own", "line_no"], "left_semi").select("doc", "own", "line_no", tokens(ranks).alias("tokens")).distinct()
     )
-    at = F.struct("doc", "line_no")
+    at = F.struct("doc", "own", "line_no")
     later = keyed_left_join(pairs, sets.select(at.alias("p"), F.col("tokens").alias("t")), [("first", "p")]).drop("p")
     both = keyed_left_join(later, sets.select(at.alias("p"), F.col("tokens").alias("e_t")), [("e_first", "p")])
     shared = F.size(F.array_intersect("t", "e_t"))
@@ -138,39 +149,43 @@ def matched_classes(docs: DataFrame, min_words: int) -> tuple[DataFrame, DataFra
 
 
 def removed_lines(docs: DataFrame, min_words: int = 1) -> DataFrame:
-    """``doc`` and ``removed``, the sorted numbers (from 0) of the lines that match an earlier line of the corpus.
+    """``doc, own`` and ``removed``, the sorted numbers (from 0) of the lines that match an earlier line of the corpus.
 
-    Earlier means a smaller ``doc_id``, then a smaller line number; an earlier line that is
-    itself removed still counts. Lines without a word, or of fewer than ``min_words`` distinct words, always stay. Rows that share a
-    ``doc_id`` are one document here: equal lines at one number of such rows stay or go together.
+    Earlier means a smaller ``doc_id``, of rows that share an id a smaller hash of the text, then a smaller line number; an earlier line that is
+    itself removed still counts. Lines without a word, or of fewer than ``min_words`` distinct words, always stay. Rows that agree in
+    id and text are one document: what goes from one goes from all, and none loses a line to another.
     """
     places, gone = matched_classes(docs, min_words)
     gone = gone.select(F.col("first").alias("g"))
     # A class goes with all its lines, or all but the first.
     later = keyed_left_join(places, gone, [("first", "g")])
     later = later.where(F.col("g").isNotNull() | (F.col("at") != F.col("first")))
-    return later.groupBy(F.col("at.doc").alias("doc")).agg(F.sort_array(F.collect_set("at.line_no")).alias("removed"))
+    return later.groupBy(F.col("at.doc").alias("doc"), F.col("at.own").alias("own")).agg(F.sort_array(F.collect_set("at.line_no")).alias("removed"))
+
+
+def _with_removed(docs: DataFrame, min_words: int) -> tuple[DataFrame, str]:
+    """``docs`` with the numbers of their removed lines, null for none, in a column that they do not have."""
+    doc, own, removed = (unused(docs, c) for c in ("_line_doc", "_line_own", "_line_removed"))
+    gone = removed_lines(docs, min_words).select(F.col("doc").alias(f"{doc}r"), F.col("own").alias(f"{own}r"), F.col("removed").alias(removed))
+    joined = keyed_left_join(docs.withColumns({doc: _doc(), own: _own()}), gone, [(doc, f"{doc}r"), (own, f"{own}r")])
+    return joined.select(*docs.columns, removed), removed
 
 
 def without_repeated_lines(docs: DataFrame, min_words: int = 1) -> DataFrame:
     """``docs`` with the matched lines taken out of ``text``; all rows and columns stay, a null text stays null."""
-    gone = removed_lines(docs, min_words).select(F.col("doc").alias("_doc"), F.col("removed").alias("_removed"))
-    keyed = docs.withColumn("_own", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(1 << 63))))
-    joined = keyed_left_join(keyed, gone, [("_own", "_doc")])
-    left = F.filter(F.split("text", "\n"), lambda line, i: ~F.array_contains("_removed", i))
-    text = F.when(F.col("_removed").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
+    joined, removed = _with_removed(docs, min_words)
+    left = F.filter(F.split("text", "\n"), lambda line, i: ~F.array_contains(removed, i))
+    text = F.when(F.col(removed).isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
     return joined.withColumn("text", text).select(*docs.columns)
 
 
 def line_report(docs: DataFrame, min_words: int = 1) -> DataFrame:
     """``doc_id, n_lines, n_removed, removed`` (line numbers from 0, comma-joined) of every row of ``docs``."""
-    gone = removed_lines(docs, min_words)
-    rows = docs.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), F.size(F.split(F.coalesce("text", F.lit("")), "\n")).cast("bigint").alias("n_lines")
-    ).withColumn("own", F.coalesce("doc_id", F.lit(-(1 << 63))))
-    return keyed_left_join(rows, gone, [("own", "doc")]).select(
-        "doc_id", "n_lines", F.coalesce(F.size("removed"), F.lit(0)).cast("bigint").alias("n_removed"),
-        F.coalesce(F.array_join(F.col("removed").cast("array<string>"), ","), F.lit("")).alias("removed"),
+    joined, removed = _with_removed(docs.select("doc_id", "text"), min_words)
+    return joined.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), F.size(F.split(F.coalesce("text", F.lit("")), "\n")).cast("bigint").alias("n_lines"),
+        F.coalesce(F.size(removed), F.lit(0)).cast("bigint").alias("n_removed"),
+        F.coalesce(F.array_join(F.col(removed).cast("array<string>"), ","), F.lit("")).alias("removed"),
     )
 
 
