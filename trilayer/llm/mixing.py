@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from trilayer.llm.common import WORD, read
+from trilayer.llm.common import WORD, read, unused
 from trilayer.operators import keyed_left_join, settle
 
 def words(c: str) -> Column:
@@ -81,7 +81,8 @@ def mix_plan(
     its own, the last. A null ``doc_id`` counts as an empty one in the key. An empty table
     gives no rows. Other columns are ignored.
     """
-    keyed = docs.select(F.col("doc_id").cast("bigint"), "source", words("text").alias("size"), _key(seed).alias("key"))
+    # Stored before the range sort, which would count the words again for its sample.
+    keyed = settle(docs.select(F.col("doc_id").cast("bigint"), "source", words("text").alias("size"), _key(seed).alias("key")))
     by = [F.col("source").isNull(), "source", "key"]
     sorted_ = keyed.repartitionByRange(*by).sortWithinPartitions(*by)
     placed = settle(sorted_.mapInPandas(_running, "doc_id bigint, source string, size bigint, key string, slice int, before bigint"))
@@ -112,12 +113,13 @@ def mixed_documents(docs: DataFrame, seed: str = "mix", **options) -> DataFrame:
     that agree in id, source and text share their turns evenly, rounded up. All columns stay.
     """
     none = F.lit("\0")
-    times = F.when(F.col("size") > 0, F.ceil(F.col("taken") / F.col("size"))).otherwise(F.lit(0))
-    plan = mix_plan(docs, seed=seed, **options).groupBy("key", F.coalesce("source", none).alias("src"))
-    plan = plan.agg(F.ceil(F.sum(times) / F.count("*")).cast("int").alias("_times")).where("_times > 0")
-    keyed = docs.withColumns({"_own": _key(seed), "_src": F.coalesce("source", none)})
-    joined = keyed_left_join(keyed, plan, [("_own", "key"), ("_src", "src")]).where("_times is not null")
-    return joined.withColumn("_epoch", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
+    own, src, times, epoch, key, source = (unused(docs, f"_mix_{c}") for c in ("own", "src", "times", "epoch", "key", "source"))
+    turns = F.when(F.col("size") > 0, F.ceil(F.col("taken") / F.col("size"))).otherwise(F.lit(0))
+    plan = mix_plan(docs, seed=seed, **options).groupBy(F.col("key").alias(key), F.coalesce("source", none).alias(source))
+    plan = plan.agg(F.ceil(F.sum(turns) / F.count("*")).cast("int").alias(times)).where(F.col(times) > 0)
+    keyed = docs.withColumns({own: _key(seed), src: F.coalesce("source", none)})
+    joined = keyed_left_join(keyed, plan, [(own, key), (src, source)]).where(F.col(times).isNotNull())
+    return joined.withColumn(epoch, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*docs.columns)
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
