@@ -156,10 +156,10 @@ def test_reports(spark):
         "channel string, gross_sales_amt decimal(14,2), return_rate_pct double",
     )
     assert [tuple(r) for r in reports.channel_report(fact).collect()] == [
-        ("WEB", "1", "$2.00M", 0.0), ("STORE", "2", "$1.23M", 1.5),
+        (1, "WEB", "1", "$2.00M", 0.0), (2, "STORE", "2", "$1.23M", 1.5),
     ]
     people = spark.createDataFrame([("A", D("1.00")), ("A", D("2.00")), ("B", D("9.00"))], "rfm_segment string, lifetime_net_sales decimal(33,2)")
-    assert [tuple(r) for r in reports.segment_report(people).collect()] == [("B", "1", D("9.00")), ("A", "2", D("1.50"))]
+    assert [tuple(r) for r in reports.segment_report(people).collect()] == [(1, "B", "1", D("9.00")), (2, "A", "2", D("1.50"))]
 
 
 def test_status_rollup(spark):

@@ -32,7 +32,7 @@ def test_query_matches_sql(spark, db, name):
 
 
 def test_entry(spark):
-    assert entry(spark).columns == ["channel", "transactions", "gross_sales", "avg_return_pct"]
+    assert entry(spark).columns == ["position", "channel", "transactions", "gross_sales", "avg_return_pct"]
 
 
 def plan(df):
@@ -58,6 +58,24 @@ def test_sales_silver_is_a_narrow_plan(spark):
     assert not re.search("(?<!Broadcast)(?<!Reused)Exchange", plan(cleaned))
 
 
+def test_reports_join_no_dimension_they_do_not_show(spark):
+    # Orders belong to the lines themselves; the calendar is made of their dates alone.
+    text = plan(queries()["channel_report"](spark, SF))
+    assert "/part.parquet" not in text and "o_orderdate" not in text
+    assert "/customer.parquet" not in plan(queries()["segment_report"](spark, SF))
+
+
+def test_product_rows_are_shuffled_once_for_their_rank(spark):
+    text = plan(queries()["gold_product_performance"](spark, SF))
+    assert len([line for line in text.splitlines() if "Exchange hashpartitioning" in line]) <= 2 and "rangepartitioning" not in text
+
+
+def test_reports_come_in_order(spark):
+    for name in ("channel_report", "segment_report"):
+        got = [r.position for r in queries()[name](spark, SF).collect()]
+        assert got == list(range(1, len(got) + 1)) and got
+
+
 def test_unused_columns_are_not_read(spark):
     text = plan(fact(spark, SF).groupBy("channel").sum("gross_sales_amt"))
     schemas = [line for line in text.splitlines() if "ReadSchema" in line and "lineitem" in line]

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import Window, functions as F
 
 from tests.conftest import rows
-from trilayer.operators import global_dense_rank, global_ntile, global_row_index, share_of_total
+from trilayer.operators import global_dense_rank, global_ntile, global_ntiles, global_row_index, settle, share_of_total
 
 
 def table(spark, n, kind):
@@ -30,7 +30,7 @@ def test_ranks_match_the_single_task_window(spark, many_slices, kind, descending
     df = table(spark, 997, kind)
     order = [("v", "desc")] if descending else ["v"]
     got = global_ntile(df, 5, order, "k", "tile")
-    got = global_dense_rank(got, order, "k", "rank")
+    got = global_dense_rank(got, order, "rank")
     got = global_row_index(got, order, "k", "position").select("k", "tile", "rank", "position")
     value_only = Window.orderBy(F.col("v").desc() if descending else F.col("v").asc())
     want = df.select(
@@ -47,7 +47,7 @@ def test_few_rows(spark, many_slices, n):
     df = table(spark, n, "ties")
     got = global_ntile(df, 5, [("v", "desc")], "k").select("k", "tile")
     assert rows(got) == rows(df.select("k", F.ntile(5).over(window(True))))
-    ranked = global_dense_rank(df, ["v"], "k").select("k", "dense_rank")
+    ranked = global_dense_rank(df, ["v"]).select("k", "dense_rank")
     assert rows(ranked) == rows(df.select("k", F.dense_rank().over(Window.orderBy("v"))))
 
 
@@ -89,8 +89,33 @@ def test_rank_inputs_are_never_moved_into_one_task(spark, many_slices):
     df = table(spark, 500, "hot")
     tiled = global_ntile(df, 5, ["v"], "k")
     assert "SinglePartition" not in tiled._jdf.queryExecution().executedPlan().toString()
-    plan = global_dense_rank(df, ["v"], "k")._jdf.queryExecution().executedPlan().toString()
-    assert "dense_rank" in plan and "hashpartitioning(_slice" in plan
+    # Rows of the table are shuffled once, by value; what passes through one task has a row per slice.
+    wide = settle(df.withColumn("text", F.lit("x")))
+    plan = global_dense_rank(wide, ["v"])._jdf.queryExecution().executedPlan().toString()
+    assert len([line for line in plan.splitlines() if "Exchange" in line and "text" in line]) <= 1
+    assert plan.count("Exchange SinglePartition") <= 1 and "rangepartitioning" not in plan
+
+
+@pytest.mark.parametrize("k", [1, 2, 63, 64, 65, 1000])
+@pytest.mark.parametrize("n", [0, 7, 700])
+def test_any_number_of_tiles(spark, many_slices, k, n):
+    df = table(spark, n, "nulls")
+    got = global_ntiles(df, k, {"up": ["v"], "down": [("v", "desc")]}, "k").select("k", "up", "down")
+    want = df.select("k", F.ntile(k).over(window(False)), F.ntile(k).over(window(True)))
+    assert rows(got) == rows(want) and got.dtypes[1:] == [("up", "int"), ("down", "int")]
+
+
+@pytest.mark.parametrize("k", [0, -1])
+def test_no_tiles_are_refused(spark, k):
+    with pytest.raises(ValueError, match="tiles"):
+        global_ntile(table(spark, 3, "one"), k, ["v"], "k")
+
+
+def test_dense_rank_by_several_columns(spark, many_slices):
+    df = spark.range(300).select("id", (F.col("id") % 7).cast("double").alias("a"), F.when(F.col("id") % 3 > 0, F.concat(F.lit("s"), F.col("id") % 5)).alias("b"))
+    df = df.withColumn("a", F.when(F.col("id") % 11 > 0, F.when(F.col("id") % 13 == 0, F.lit(-0.0)).otherwise(F.col("a"))))
+    got = global_dense_rank(df, [("a", "desc"), "b"], "place").select("id", "place")
+    assert rows(got) == rows(df.select("id", F.dense_rank().over(Window.orderBy(F.col("a").desc(), "b"))))
 
 
 def test_tiles_of_timestamps_in_the_repeated_hour(spark, settings):

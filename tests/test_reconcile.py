@@ -2,10 +2,14 @@ from pyspark.sql import functions as F
 
 from trilayer.operators.reconcile import (
     explode_roles,
+    name_conflicts,
+    next_roles,
+    next_workspaces,
     provision_summary,
     reconcile_roles,
     reconcile_workspaces,
     resolve_ids,
+    role_transition,
     validate_specs,
 )
 
@@ -90,3 +94,50 @@ def test_validate_specs(spark):
     data = [tuple({**groups, **case}[c] for c in columns) for case, _ in cases]
     got = validate_specs(spark.createDataFrame(data, ", ".join(f"{c} string" for c in columns))).collect()
     assert [r.violations for r in got] == [wanted for _, wanted in cases]
+
+
+def states(rows_):
+    return sorted(((r.workspace_id, r.principal_id, r.action, r.next_role) for r in rows_.collect()), key=repr)
+
+
+def test_a_second_transition_changes_nothing(spark):
+    desired = spark.createDataFrame(
+        [(1, "a", "Admin"), (1, "b", "Viewer"), (1, "c", "Admin"), (1, "c", "Viewer"), (2, "c", "Admin"), (2, "c", "Viewer"), (1, "d", "Member"), (1, "d", "Member"), (None, "x", "Admin"), (1, None, "Admin"), (1, "e", None)],
+        "workspace_id int, principal_id string, desired_role string",
+    )
+    current = spark.createDataFrame(
+        [(1, "b", "Admin", 1), (1, "b", "Viewer", 2), (1, "c", "Member", 1), (1, "z", "Viewer", 1), (1, "d", "Admin", 1), (3, "q", None, 1), (None, "n", "Admin", 1)],
+        "workspace_id int, principal_id string, role string, ordinal int",
+    )
+    moved = role_transition(desired, current, "ordinal")
+    assert states(moved) == [
+        (1, "a", "add", "Admin"), (1, "b", "unchanged", "Viewer"), (1, "c", "conflict", "Member"), (1, "d", "update", "Member"),
+        (1, "z", "kept", "Viewer"), (2, "c", "conflict", None), (3, "q", "kept", None),
+    ]
+    after = next_roles(moved)
+    again = role_transition(desired, after.selectExpr("*", "0 AS ordinal"), "ordinal")
+    assert {r.action for r in again.collect()} == {"unchanged", "kept", "conflict"}
+    assert sorted(map(tuple, next_roles(again).collect())) == sorted(map(tuple, after.collect()))
+
+
+def test_workspaces_settle_after_one_run(spark):
+    desired = spark.createDataFrame(
+        [("n", "text", "cap", None), ("m", "", None, "dom"), ("m", "", None, "dom"), ("twice", "a", None, None), ("twice", "b", None, None), ("same", "d", "c", "o"), (None, "x", None, None)],
+        "name string, description string, capacity_id string, domain_id string",
+    )
+    current = spark.createDataFrame(
+        [("1", "m", "kept", "cap0", None), ("2", "m", "other", None, None), ("3", "twice", "t", None, None), ("4", "same", "d", "c", "o"), ("5", None, None, None, None)],
+        "id string, display_name string, description string, capacity_id string, domain_id string",
+    )
+    after = next_workspaces(desired, current, "id")
+    got = {r.id: tuple(r)[1:] for r in after.collect()}
+    new = next(i for i in got if len(i) == 36)
+    assert got.pop(new) == ("n", "text", "cap", None, "created")
+    assert got == {
+        "1": ("m", "kept", "cap0", "dom", "changed"), "2": ("m", "other", None, None, "kept"), "3": ("twice", "t", None, None, "kept"),
+        "4": ("same", "d", "c", "o", "kept"), "5": (None, None, None, None, "kept"),
+    }
+    assert [tuple(r) for r in name_conflicts(desired).collect()] == [("twice", 2)]
+    again = next_workspaces(desired, after.drop("action"), "id")
+    assert {r.action for r in again.collect()} == {"kept"}
+    assert sorted(tuple(r)[:5] for r in again.fillna("").collect()) == sorted(tuple(r)[:5] for r in after.fillna("").collect())

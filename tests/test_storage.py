@@ -132,7 +132,7 @@ def test_the_table_format_is_a_setting(spark, tmp_path):
     storage.create_database(spark, cfg)
     assert storage.write_layer(spark.range(4), cfg, GOLD, "t") == 4
     assert storage.read_layer(spark, cfg, GOLD, "t").count() == 4
-    assert list((tmp_path / "gold" / "gold_t").glob("*.orc"))
+    assert list((tmp_path / "gold" / "gold_t").rglob("*.orc"))
 
 
 def test_failed_write_leaves_the_old_table(spark, tmp_path):

@@ -1,6 +1,6 @@
 """Desired against current state, for all workspaces at once.
 
-Each function answers what would have to change; none changes anything.
+Each function answers what would have to change, or what there is once it has; none changes anything.
 """
 
 from __future__ import annotations
@@ -118,6 +118,79 @@ def _assignment(c: str, is_new: Column, new: str) -> Column:
     return F.when(F.coalesce(F.col(c) != "", F.lit(False)), change)
 
 
+def role_transition(desired: DataFrame, current: DataFrame, ordinal: str) -> DataFrame:
+    """What each assignment was, what is asked for and what it is next, one row per (workspace_id, principal_id) of either side.
+
+    ``add``, ``update`` and ``unchanged`` as in ``reconcile_roles``; ``kept`` where nobody asked for the principal. Two desired rows
+    that give one principal different roles are a ``conflict``: no order among them would make a second run agree with
+    the first, so what the principal holds stays, and ``desired_roles`` names all of them. Rows without a workspace, a principal or a
+    desired role ask for nothing. ``next_role`` is NULL where nothing is held next.
+    """
+    # At most the fixed roles are collected per principal.
+    asked = desired.where(F.col("workspace_id").isNotNull() & F.col("principal_id").isNotNull() & F.col("desired_role").isNotNull())
+    asked = asked.groupBy("workspace_id", "principal_id").agg(F.array_sort(F.collect_set("desired_role")).alias("desired_roles"))
+    held = current.where(F.col("workspace_id").isNotNull() & F.col("principal_id").isNotNull())
+    held = held.groupBy("workspace_id", "principal_id").agg(F.max_by("role", ordinal).alias("current_role"), F.lit(True).alias("_held"))
+    both = asked.join(held, ["workspace_id", "principal_id"], "full")
+    only = F.element_at("desired_roles", 1)
+    action = (
+        F.when(F.col("desired_roles").isNull(), "kept")
+        .when(F.size("desired_roles") > 1, "conflict")
+        .when(F.col("_held").isNull(), "add")
+        .when(F.col("current_role").eqNullSafe(only), "unchanged")
+        .otherwise("update")
+    )
+    after = F.when(action.isin("add", "update"), only).otherwise(F.col("current_role"))
+    return both.select("workspace_id", "principal_id", "current_role", "desired_roles", action.alias("action"), after.alias("next_role"))
+
+
+def next_roles(transition: DataFrame) -> DataFrame:
+    """The assignments once a transition is applied: ``workspace_id, principal_id, role``.
+
+    As ``current`` of the same desired rows it gives ``unchanged``, ``kept`` and ``conflict`` only.
+    """
+    return transition.where(F.col("next_role").isNotNull()).select("workspace_id", "principal_id", F.col("next_role").alias("role"))
+
+
+def name_conflicts(desired: DataFrame) -> DataFrame:
+    """``name, specs``: desired workspaces of one name that differ, and in how many ways."""
+    facts = F.struct("description", "capacity_id", "domain_id")
+    per_name = desired.where(F.col("name").isNotNull()).groupBy("name").agg(F.count_distinct(F.to_json(facts)).alias("specs"))
+    return per_name.where("specs > 1")
+
+
+def next_workspaces(desired: DataFrame, current: DataFrame, ordinal: str, new_id: Column | None = None) -> DataFrame:
+    """The workspaces once the actions of ``reconcile_workspaces`` are applied: ``id, display_name, description, capacity_id, domain_id, action``.
+
+    Desired rows of one name that agree count once, those that differ are applied by none (``name_conflicts``). ``action`` is ``created``,
+    ``changed`` or ``kept``. New workspaces get ``new_id`` (over ``name``; by default an id made of its MD5), so a run that is
+    repeated creates the same. What the desired row leaves empty stays as it is.
+    """
+    facts = ["description", "capacity_id", "domain_id"]
+    if new_id is None:
+        h = F.md5("name")
+        new_id = F.concat_ws("-", *[h.substr(a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
+    per_name = desired.where(F.col("name").isNotNull()).groupBy("name").agg(
+        F.min(F.struct(*facts)).alias("least"), F.max(F.struct(*facts)).alias("most")
+    )
+    wanted = per_name.where(F.col("least").eqNullSafe(F.col("most"))).select("name", *[F.col(f"least.{c}").alias(f"_{c}") for c in facts])
+    first = current.where(F.col("display_name").isNotNull()).groupBy("display_name").agg(F.min_by("id", F.struct(F.col(ordinal).alias("ordinal"), F.col("id").alias("tie"))).alias("_id"))
+    first = first.select(F.col("display_name").alias("_name"), "_id")
+    matched = keyed_left_join(wanted, first, [("name", "_name")])
+    given = {c: F.when(F.col(f"_{c}") != "", F.col(f"_{c}")) for c in facts}
+    existing = keyed_left_join(current, matched.where("_name is not null").drop("_name"), [("id", "_id")])
+    after = {c: F.coalesce(given[c], F.col(c)) for c in facts}
+    changed = F.lit(False)
+    for c in facts:
+        changed = changed | ~after[c].eqNullSafe(F.col(c))
+    existing = existing.select("id", "display_name", *[after[c].alias(c) for c in facts], F.when(changed, "changed").otherwise("kept").alias("action"))
+    id_type = dict(current.dtypes)["id"]
+    new = matched.where("_name is null").select(
+        new_id.cast(id_type).alias("id"), F.col("name").alias("display_name"), *[given[c].alias(c) for c in facts], F.lit("created").alias("action")
+    )
+    return existing.unionByName(new)
+
+
 def validate_specs(specs: DataFrame) -> DataFrame:
     """Add ``violations``, the list of rules a specification breaks; empty when valid."""
     low, high = NAME_LENGTH

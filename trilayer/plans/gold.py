@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import date
 from functools import reduce
 from operator import and_
@@ -51,7 +51,8 @@ PRODUCT_SUMS = {
     "total_returns": "return_amt",
     "total_return_units": "return_qty",
 }
-# What the two models on top of the fact read of it.
+# What the channel report and the two models on top of the fact read of it.
+REPORT_COLUMNS = "channel gross_sales_amt return_rate_pct".split()
 VALUE_COLUMNS = (
     "channel customer_sk gross_sales_amt net_sales_amt return_amt net_profit d_date is_returned"
 ).split()
@@ -111,9 +112,12 @@ def channel_rows(sales: DataFrame, rollup: DataFrame, channel: Channel) -> DataF
     return joined.select(*[c.alias(name) for name, c in common.items()])
 
 
-def sales_fact(silver: Mapping[str, DataFrame]) -> DataFrame:
+def sales_fact(silver: Mapping[str, DataFrame], columns: Sequence[str] | None = None) -> DataFrame:
     """All channels in one table with calendar and item attributes, one row per sales line.
 
+    With ``columns`` the fact has just these, and a dimension none of them comes from is not joined: each line has at most one row of
+    it, so leaving it out changes no other column.
+
     The two dimension joins carry no hint: Spark broadcasts a dimension whose size it
     knows to be small. Beyond that they are keyed joins, so a hot or NULL key is split
     although the dimensions have just been de-duplicated on the join key.
@@ -123,13 +127,15 @@ def sales_fact(silver: Mapping[str, DataFrame]) -> DataFrame:
         rollup = returns_rollup(silver[channel.returns_table], channel)
         rows = channel_rows(silver[channel.sales_table], rollup, channel)
         lines = rows if lines is None else lines.unionByName(rows)
-    dates = silver["date_dim"].select(*DATE_COLUMNS)
-    items = silver["item"].select(*ITEM_COLUMNS)
-    dated = keyed_left_join(lines, dates, [("sold_date_sk", "d_date_sk")])
-    return keyed_left_join(dated, items, [("item_sk", "i_item_sk")]).withColumns({
+    if columns is None or set(columns) & set(DATE_COLUMNS):
+        lines = keyed_left_join(lines, silver["date_dim"].select(*DATE_COLUMNS), [("sold_date_sk", "d_date_sk")])
+    if columns is None or set(columns) & set(ITEM_COLUMNS):
+        lines = keyed_left_join(lines, silver["item"].select(*ITEM_COLUMNS), [("item_sk", "i_item_sk")])
+    fact = lines.withColumns({
         "return_rate_pct": guarded_pct(F.col("return_qty"), F.col("quantity")),
         "is_returned": F.col("return_qty") > 0,
     })
+    return fact if columns is None else fact.select(*columns)
 
 
 # --- shared by the two models on top of the fact -------------------------------
@@ -283,11 +289,12 @@ def sales_velocity(units: Column, days: Column) -> Column:
 
 def product_performance(fact: DataFrame, item: DataFrame, null_as_zero: bool = False) -> DataFrame:
     """Margin tier, velocity, return rate, top channel, revenue rank and share per item."""
-    products = product_value(fact, item).withColumns({
+    # Read three times below: for the distinct values, for the total and for the rows.
+    products = settle(product_value(fact, item).withColumns({
         "return_rate_pct": guarded_pct(F.col("total_return_units"), F.col("total_units_sold")),
         "daily_sales_velocity": sales_velocity(F.col("total_units_sold"), F.col("active_selling_days")),
         "margin_tier": margin_tier(),
         "top_channel": leading_channel("revenue", null_as_zero),
-    })
-    ranked = global_dense_rank(products, [("total_net_sales", "desc")], "item_sk", "revenue_rank")
-    return share_of_total(ranked, "total_net_sales", 4, "revenue_pct_of_total")
+    }))
+    ranked = global_dense_rank(products, [("total_net_sales", "desc")], "revenue_rank")
+    return share_of_total(ranked, "total_net_sales", 4, "revenue_pct_of_total", stored=products)

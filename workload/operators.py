@@ -32,17 +32,21 @@ from trilayer.operators import (
 )
 from trilayer.operators.reconcile import (
     explode_roles,
+    name_conflicts,
+    next_roles,
+    next_workspaces,
     provision,
     provision_summary,
     reconcile_roles,
     reconcile_workspaces,
     resolve_ids,
+    role_transition,
     validate_specs,
 )
-from trilayer.operators.settle import checkpoint_root
-from trilayer.plans import refresh, reports
+from trilayer.operators.settle import run_scope, scratch_path
+from trilayer.plans import refresh, reports, runlog
 from trilayer.plans.silver import CLEANSED
-from trilayer.sources import storage, synth
+from trilayer.sources import storage, synth, versions
 from trilayer.sources.calendar import build_date_dim, build_income_bands, build_time_dim
 from workload import oracles
 from workload.adapters import raw_table, table
@@ -271,7 +275,25 @@ def global_ntiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered("""SELECT o_orderkey, CAST(dense_rank() OVER (ORDER BY o_orderdate DESC NULLS LAST) AS INTEGER) AS date_rank FROM orders""")
 def global_dense_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
-    return global_dense_rank(orders, [("o_orderdate", "desc")], "o_orderkey", "date_rank").drop("o_orderdate")
+    return global_dense_rank(orders, [("o_orderdate", "desc")], "date_rank").drop("o_orderdate")
+
+
+@registered("""SELECT l_orderkey, l_linenumber, CAST(dense_rank() OVER (ORDER BY l_returnflag NULLS FIRST, l_extendedprice DESC NULLS LAST) AS INTEGER) AS place
+    FROM (SELECT l_orderkey, l_linenumber, CASE WHEN l_returnflag <> 'N' THEN l_returnflag END AS l_returnflag, l_extendedprice FROM lineitem)""")
+def dense_ranks_of_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """By two columns; half of the lines have NULL in the first."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.when(F.col("l_returnflag") != "N", F.col("l_returnflag")).alias("l_returnflag"), "l_extendedprice"
+    )
+    return global_dense_rank(lines, ["l_returnflag", ("l_extendedprice", "desc")], "place").select("l_orderkey", "l_linenumber", "place")
+
+
+@registered("""SELECT o_orderkey, ntile(1000) OVER (ORDER BY o_totalprice DESC NULLS LAST, o_orderkey)::INT AS by_price,
+    ntile(1000) OVER (ORDER BY o_orderdate ASC NULLS FIRST, o_orderkey)::INT AS by_date FROM orders""")
+def thousand_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderdate")
+    tiled = ntiles(orders, 1000, {"by_price": [("o_totalprice", "desc")], "by_date": ["o_orderdate"]}, "o_orderkey")
+    return tiled.select("o_orderkey", "by_price", "by_date")
 
 
 @registered("""SELECT o_orderkey, row_number() OVER (ORDER BY o_orderpriority, o_orderdate DESC, o_orderkey) - 1 AS position FROM orders""")
@@ -290,7 +312,7 @@ def shares_of_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     # As wide as the totals of the gold layer, so the quotient keeps the same six digits.
     price = money("p_retailprice").cast("decimal(33,2)")
     priced = table(spark, sf_dir, "part").select("p_partkey", price.alias("price"))
-    shared = share_of_total(priced, "price", 4, "share")
+    shared = share_of_total(priced, "price", 4, "share", stored=priced)
     return shared.select("p_partkey", F.col("share").cast("double").alias("share"))
 
 
@@ -298,9 +320,13 @@ def shares_of_total(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _own_lakehouse(spark: SparkSession) -> tuple[LayerConfig, str]:
-    run = uuid.uuid4().hex
-    root = f"{checkpoint_root(spark)}/lakehouse-{run}"
-    return LayerConfig(root=root, database=f"retail_{run}"), f"{root}/landing"
+    root = scratch_path(spark, "lakehouse")
+    return LayerConfig(root=root, database=f"retail_{uuid.uuid4().hex}"), f"{root}/landing"
+
+
+def _without_names(spark: SparkSession, cfg: LayerConfig) -> None:
+    """Drop the database of a query; the tables' folders stay, since its result reads them."""
+    spark.sql(f"DROP DATABASE {cfg.database} CASCADE")
 
 
 @registered("SELECT * FROM supplier")
@@ -313,7 +339,59 @@ def ingested_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     cfg, landing = _own_lakehouse(spark)
     storage.write_files(table(spark, sf_dir, "orders"), f"{landing}/orders")
     refresh.ingest(spark, cfg, landing, ("orders",))
-    return storage.read_table(spark, cfg, RAW, "orders").withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd"))
+    stored = storage.read_table(spark, cfg, RAW, "orders").withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd"))
+    _without_names(spark, cfg)
+    return stored
+
+
+@registered("""SELECT r.r_regionkey, r_name, count(n_nationkey) AS nations, 'old' AS started, 2 AS published FROM region r LEFT JOIN nation USING (r_regionkey) GROUP BY ALL
+    UNION ALL SELECT r.r_regionkey, r_name, -count(n_nationkey), 'new', 2 FROM region r LEFT JOIN nation USING (r_regionkey) GROUP BY ALL"""
+    .replace("LEFT JOIN nation USING (r_regionkey)", "LEFT JOIN nation ON n_regionkey = r_regionkey"))
+def refreshed_beside_readers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table replaced twice: a reader that started before the second refresh, and one that started after it."""
+    cfg, _ = _own_lakehouse(spark)
+    storage.create_database(spark, cfg)
+    nations = table(spark, sf_dir, "nation").groupBy("n_regionkey").agg(F.count("*").alias("nations"))
+    rows = keyed_left_join(table(spark, sf_dir, "region"), nations, [("r_regionkey", "n_regionkey")])
+    rows = rows.select("r_regionkey", "r_name", F.coalesce("nations", F.lit(0)).alias("nations"))
+    storage.write_layer(rows, cfg, GOLD, "regions", audit=False)
+    by_path, by_name = storage.read_layer(spark, cfg, GOLD, "regions"), storage.read_table(spark, cfg, GOLD, "regions")
+    storage.write_layer(rows.withColumn("nations", -F.col("nations")), cfg, GOLD, "regions", audit=False)
+    # Both ways of reading give the same rows, so of the two each gives one half here.
+    old = by_path.where("r_regionkey % 2 = 0").unionByName(by_name.where("r_regionkey % 2 = 1")).withColumn("started", F.lit("old"))
+    new = storage.read_layer(spark, cfg, GOLD, "regions").where("r_regionkey % 2 = 0")
+    new = new.unionByName(storage.read_table(spark, cfg, GOLD, "regions").where("r_regionkey % 2 = 1")).withColumn("started", F.lit("new"))
+    published = versions.versions(spark, cfg.path(GOLD, "regions"))[-1][0]
+    _without_names(spark, cfg)
+    return old.unionByName(new).withColumn("published", F.lit(published))
+
+
+@registered("SELECT * FROM lineitem")
+def appended_in_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines appended flag by flag, every chunk twice; the second time nothing is written."""
+    path = scratch_path(spark, "lakehouse")
+    lines = table(spark, sf_dir, "lineitem")
+    flags = [r[0] for r in lines.select("l_returnflag").distinct().collect()]
+    for flag in flags * 2:
+        versions.append_chunk(lines.where(F.col("l_returnflag").eqNullSafe(F.lit(flag))), path, f"flag={flag}", rows_per_file=100_000)
+    return storage.read_files(spark, path)
+
+
+@registered("""SELECT 'raw' AS layer, 'customer' AS "table", 'ok' AS status, count(*) AS "rows", 1 AS attempts FROM customer
+    UNION ALL SELECT 'raw', 'part', 'ok', count(*), 2 FROM part UNION ALL SELECT 'raw', 'store', 'skipped', 0, 2
+    UNION ALL SELECT 'raw', 'supplier', 'ok', count(*), 1 FROM supplier""")
+def restarted_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run whose first attempt finds no parts: the second writes these and nothing it wrote before. One table never lands."""
+    cfg, landing = _own_lakehouse(spark)
+    wanted = ("customer", "part", "store", "supplier")
+    for t in ("customer", "supplier"):
+        storage.write_files(table(spark, sf_dir, t), f"{landing}/{t}")
+    refresh.ingest(spark, cfg, landing, wanted, log=runlog.RunLog(spark, cfg, "run"))
+    storage.write_files(table(spark, sf_dir, "part"), f"{landing}/part")
+    log = runlog.RunLog(spark, cfg, "run")
+    refresh.ingest(spark, cfg, landing, wanted, log=log)
+    _without_names(spark, cfg)
+    return log.statuses().drop("error")
 
 
 @registered("""SELECT 'raw' AS layer, 'customer' AS "table", 'ok' AS status, count(*) AS "rows" FROM customer
@@ -324,13 +402,16 @@ def ingested_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     UNION ALL SELECT 'raw', 'part', 'refreshed', NULL UNION ALL SELECT 'raw', 'inventory', 'error', NULL""")
 def run_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ingest, copy on and register; one table has no source and two are not there."""
-    cfg, landing = _own_lakehouse(spark)
-    for t in ("customer", "part"):
-        storage.write_files(table(spark, sf_dir, t), f"{landing}/{t}")
-    rows = refresh.ingest(spark, cfg, landing, ("customer", "part", "store"))
-    rows = rows.unionByName(refresh.passthrough(spark, cfg, ("customer", "warehouse")))
-    rows = rows.unionByName(storage.register(spark, cfg, RAW, ("part", "customer")))
-    rows = rows.unionByName(storage.register(spark, cfg, RAW, ("part", "inventory"), refresh=True))
+    # The ledger does not read the tables, so these go.
+    with run_scope(spark):
+        cfg, landing = _own_lakehouse(spark)
+        for t in ("customer", "part"):
+            storage.write_files(table(spark, sf_dir, t), f"{landing}/{t}")
+        rows = refresh.ingest(spark, cfg, landing, ("customer", "part", "store"))
+        rows = rows.unionByName(refresh.passthrough(spark, cfg, ("customer", "warehouse")))
+        rows = rows.unionByName(storage.register(spark, cfg, RAW, ("part", "customer")))
+        rows = rows.unionByName(storage.register(spark, cfg, RAW, ("part", "inventory"), refresh=True))
+        _without_names(spark, cfg)
     return rows.select("layer", "table", "status", "rows")
 
 
@@ -364,8 +445,7 @@ def _rebuilt_lakehouse(spark: SparkSession, sf_dir: str) -> LayerConfig:
     refresh.ingest(spark, cfg, landing, tuple(CLEANSED))
     refresh.refresh_silver(spark, cfg)
     refresh.refresh_gold(spark, cfg)
-    # Names only: the tables' folders stay, since the result reads them.
-    spark.sql(f"DROP DATABASE {cfg.database} CASCADE")
+    _without_names(spark, cfg)
     return cfg
 
 
@@ -665,17 +745,17 @@ _PRIORITY_ROLE = [("1-URGENT", "Admin"), ("2-HIGH", "Member"), ("3-MEDIUM", "Con
 _LINE_ROLE = [(6, "Admin"), (4, "Member"), (2, "Contributor")]
 
 
-@registered("""WITH desired AS (SELECT o_custkey AS workspace_id, o_orderkey AS principal_id,
+_ORDER_ROLES = """WITH desired AS (SELECT o_custkey AS workspace_id, o_orderkey AS principal_id,
       CASE o_orderpriority WHEN '1-URGENT' THEN 'Admin' WHEN '2-HIGH' THEN 'Member' WHEN '3-MEDIUM' THEN 'Contributor' ELSE 'Viewer' END AS desired_role
       FROM orders),
     held AS (SELECT o_custkey, l_orderkey, CASE WHEN l_linenumber >= 6 THEN 'Admin' WHEN l_linenumber >= 4 THEN 'Member'
       WHEN l_linenumber >= 2 THEN 'Contributor' ELSE 'Viewer' END AS current_role
       FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-      QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey * 10 + l_linenumber DESC) = 1)
-    SELECT workspace_id, principal_id, desired_role, current_role,
-      CASE WHEN current_role IS NULL THEN 'add' WHEN current_role = desired_role THEN 'unchanged' ELSE 'update' END AS action
-    FROM desired LEFT JOIN held ON workspace_id = o_custkey AND principal_id = l_orderkey""")
-def reconcile_order_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
+      QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey * 10 + l_linenumber DESC) = 1)"""
+
+
+def _order_roles(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Desired and current roles."""
     orders = table(spark, sf_dir, "orders")
     role = F
     for priority, name in _PRIORITY_ROLE:
@@ -690,21 +770,69 @@ def reconcile_order_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
         bucket("l_linenumber", _LINE_ROLE, "Viewer").alias("role"),
         (F.col("l_partkey") * 10 + F.col("l_linenumber")).alias("ordinal"),
     )
-    return reconcile_roles(desired, current, "ordinal")
+    return desired, current
 
 
-@registered("""WITH desired AS (SELECT c_name AS name, CASE WHEN c_custkey % 4 = 0 THEN '' ELSE c_mktsegment END AS description,
+@registered(_ORDER_ROLES + """ SELECT workspace_id, principal_id, desired_role, current_role,
+      CASE WHEN current_role IS NULL THEN 'add' WHEN current_role = desired_role THEN 'unchanged' ELSE 'update' END AS action
+    FROM desired LEFT JOIN held ON workspace_id = o_custkey AND principal_id = l_orderkey""")
+def reconcile_order_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reconcile_roles(*_order_roles(spark, sf_dir), "ordinal")
+
+# Orders of one week that name one customer twice ask for several roles; what is held comes from the lines.
+_WEEK_ROLES = """WITH desired AS (SELECT CAST(datediff('day', DATE '1990-01-01', CAST(o_orderdate AS DATE)) // 7 AS INTEGER) AS workspace_id, o_custkey AS principal_id,
+      CASE o_orderpriority WHEN '1-URGENT' THEN 'Admin' WHEN '2-HIGH' THEN 'Member' WHEN '3-MEDIUM' THEN 'Contributor' ELSE 'Viewer' END AS desired_role
+      FROM orders WHERE o_orderkey % 3 <> 0),
+    held AS (SELECT CAST(datediff('day', DATE '1990-01-01', CAST(o_orderdate AS DATE)) // 7 AS INTEGER) AS workspace_id, o_custkey AS principal_id,
+      CASE WHEN o_orderkey % 2 = 0 THEN 'Admin' ELSE 'Viewer' END AS current_role FROM orders WHERE o_orderkey % 5 <> 0
+      QUALIFY row_number() OVER (PARTITION BY workspace_id, principal_id ORDER BY o_orderkey DESC) = 1),
+    asked AS (SELECT workspace_id, principal_id, list(DISTINCT desired_role ORDER BY desired_role) AS roles FROM desired GROUP BY ALL),
+    moved AS (SELECT workspace_id, principal_id, current_role, array_to_string(roles, ',') AS desired_roles,
+      CASE WHEN roles IS NULL THEN 'kept' WHEN len(roles) > 1 THEN 'conflict' WHEN current_role IS NULL THEN 'add'
+        WHEN current_role = roles[1] THEN 'unchanged' ELSE 'update' END AS action, roles[1] AS single
+      FROM asked FULL JOIN held USING (workspace_id, principal_id)),
+    after AS (SELECT * EXCLUDE (single), CASE WHEN action IN ('add', 'update') THEN single ELSE current_role END AS next_role FROM moved)"""
+
+
+def _week_roles(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    orders = table(spark, sf_dir, "orders")
+    week = F.floor(F.datediff(F.to_date("o_orderdate"), F.lit(date(1990, 1, 1))) / 7).cast("int").alias("workspace_id")
+    who = F.col("o_custkey").alias("principal_id")
+    role = F
+    for priority, name in _PRIORITY_ROLE:
+        role = role.when(F.col("o_orderpriority") == priority, F.lit(name))
+    desired = orders.where("o_orderkey % 3 <> 0").select(week, who, role.otherwise("Viewer").alias("desired_role"))
+    held = F.when(F.col("o_orderkey") % 2 == 0, "Admin").otherwise("Viewer").alias("role")
+    return desired, orders.where("o_orderkey % 5 <> 0").select(week, who, held, F.col("o_orderkey").alias("ordinal"))
+
+
+@registered(_WEEK_ROLES + " SELECT * FROM after")
+def role_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = role_transition(*_week_roles(spark, sf_dir), "ordinal")
+    return moved.withColumn("desired_roles", F.array_join("desired_roles", ","))
+
+
+@registered(_WEEK_ROLES + """ SELECT workspace_id, principal_id, next_role AS role,
+      CASE WHEN roles IS NULL THEN 'kept' WHEN len(roles) > 1 THEN 'conflict' ELSE 'unchanged' END AS action_again
+    FROM after LEFT JOIN asked USING (workspace_id, principal_id) WHERE next_role IS NOT NULL""")
+def roles_after_transition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The next state, with what a second run would do to each of its rows."""
+    desired, current = _week_roles(spark, sf_dir)
+    after = next_roles(role_transition(desired, current, "ordinal"))
+    again = role_transition(desired, after.withColumn("ordinal", F.lit(0)), "ordinal").where("current_role is not null")
+    return again.select("workspace_id", "principal_id", F.col("next_role").alias("role"), F.col("action").alias("action_again"))
+
+
+_CUSTOMER_WORKSPACES = """WITH desired AS (SELECT c_name AS name, CASE WHEN c_custkey % 4 = 0 THEN '' ELSE c_mktsegment END AS description,
       CASE WHEN c_custkey % 6 <> 0 THEN concat('cap-', c_nationkey) END AS capacity_id, CASE WHEN c_custkey % 7 <> 0 THEN concat('dom-', c_nationkey % 3) END AS domain_id
       FROM customer),
     current AS (SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN concat('other-', c_name) ELSE c_name END AS display_name,
       CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE 'MACHINERY' END AS description,
-      CASE WHEN c_custkey % 10 = 1 THEN NULL ELSE concat('cap-', c_nationkey % 5) END AS capacity_id, 'dom-1' AS domain_id FROM customer)
-    SELECT name, d.description, d.capacity_id, d.domain_id, c_custkey AS workspace_id,
-      CASE WHEN c_custkey IS NULL THEN 'create' WHEN d.description <> '' AND d.description IS DISTINCT FROM c.description THEN 'update' ELSE 'unchanged' END AS workspace_action,
-      CASE WHEN d.capacity_id IS NULL THEN NULL WHEN c_custkey IS NULL THEN 'set_at_creation' WHEN d.capacity_id = c.capacity_id THEN 'unchanged' ELSE 'assign' END AS capacity_action,
-      CASE WHEN d.domain_id IS NULL THEN NULL WHEN c_custkey IS NULL THEN 'assign' WHEN d.domain_id = c.domain_id THEN 'unchanged' ELSE 'assign' END AS domain_action
-    FROM desired d LEFT JOIN current c ON name = display_name""")
-def reconcile_customer_workspaces(spark: SparkSession, sf_dir: str) -> DataFrame:
+      CASE WHEN c_custkey % 10 = 1 THEN NULL ELSE concat('cap-', c_nationkey % 5) END AS capacity_id, 'dom-1' AS domain_id FROM customer)"""
+
+
+def _customer_workspaces(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Desired and current workspaces."""
     key, nation = F.col("c_custkey"), F.col("c_nationkey")
     named = lambda prefix, x: F.concat(F.lit(prefix), x.cast("string"))
     customers = table(spark, sf_dir, "customer")
@@ -721,7 +849,40 @@ def reconcile_customer_workspaces(spark: SparkSession, sf_dir: str) -> DataFrame
         F.when(key % 10 != 1, named("cap-", nation % 5)).alias("capacity_id"),
         F.lit("dom-1").alias("domain_id"),
     )
-    return reconcile_workspaces(desired, current, ordinal="id")
+    return desired, current
+
+
+@registered(_CUSTOMER_WORKSPACES + """ SELECT name, d.description, d.capacity_id, d.domain_id, c_custkey AS workspace_id,
+      CASE WHEN c_custkey IS NULL THEN 'create' WHEN d.description <> '' AND d.description IS DISTINCT FROM c.description THEN 'update' ELSE 'unchanged' END AS workspace_action,
+      CASE WHEN d.capacity_id IS NULL THEN NULL WHEN c_custkey IS NULL THEN 'set_at_creation' WHEN d.capacity_id = c.capacity_id THEN 'unchanged' ELSE 'assign' END AS capacity_action,
+      CASE WHEN d.domain_id IS NULL THEN NULL WHEN c_custkey IS NULL THEN 'assign' WHEN d.domain_id = c.domain_id THEN 'unchanged' ELSE 'assign' END AS domain_action
+    FROM desired d LEFT JOIN current c ON name = display_name""")
+def reconcile_customer_workspaces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reconcile_workspaces(*_customer_workspaces(spark, sf_dir), ordinal="id")
+
+@registered(_CUSTOMER_WORKSPACES + """, twice AS (SELECT * FROM desired UNION ALL SELECT name, concat(description, '!'), capacity_id, domain_id FROM desired WHERE name LIKE '%7'),
+    wanted AS (SELECT name, any_value(nullif(description, '')) AS description, any_value(capacity_id) AS capacity_id, any_value(domain_id) AS domain_id
+      FROM twice GROUP BY name HAVING count(*) = 1)
+    SELECT CAST(c.c_custkey AS VARCHAR) AS id, c.display_name, coalesce(w.description, c.description) AS description,
+      coalesce(w.capacity_id, c.capacity_id) AS capacity_id, coalesce(w.domain_id, c.domain_id) AS domain_id,
+      CASE WHEN w.description IS DISTINCT FROM c.description AND w.description IS NOT NULL OR w.capacity_id IS DISTINCT FROM c.capacity_id AND w.capacity_id IS NOT NULL
+        OR w.domain_id IS DISTINCT FROM c.domain_id AND w.domain_id IS NOT NULL THEN 'changed' ELSE 'kept' END AS action, NULL::BIGINT AS specs
+    FROM current c LEFT JOIN wanted w ON display_name = name
+    UNION ALL SELECT regexp_replace(md5(name), '^(.{8})(.{4})(.{4})(.{4})', '\\1-\\2-\\3-\\4-'), name, w.description, w.capacity_id, w.domain_id, 'created', NULL
+    FROM wanted w LEFT JOIN current ON display_name = name WHERE c_custkey IS NULL
+    UNION ALL SELECT NULL, name, NULL, NULL, NULL, 'conflict', count(*) FROM twice GROUP BY name HAVING count(*) > 1""")
+def workspaces_after_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The next state; names that are asked for in two ways are listed beside it."""
+    desired, current = _customer_workspaces(spark, sf_dir)
+    desired = desired.unionByName(desired.where("name like '%7'").withColumn("description", F.concat("description", F.lit("!"))))
+    current = current.withColumn("id", F.col("id").cast("string"))
+    after = next_workspaces(desired, current, "id").withColumn("specs", F.lit(None).cast("bigint"))
+    none = F.lit(None).cast("string")
+    clashes = name_conflicts(desired).select(
+        none.alias("id"), F.col("name").alias("display_name"), *[none.alias(c) for c in ("description", "capacity_id", "domain_id")],
+        F.lit("conflict").alias("action"), "specs",
+    )
+    return after.unionByName(clashes)
 
 
 @registered("""SELECT doc_id, concat_ws(';', CASE WHEN name IS NULL THEN 'name is required' END, CASE WHEN length(name) < 3 THEN 'name shorter than 3' END,

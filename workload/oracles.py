@@ -194,8 +194,8 @@ def by_channel(suffix: str) -> str:
     )
 
 
-def leading(suffix: str) -> str:
-    st, ca, we = (f"{ch.lower()}_{suffix}" for ch in CHANNEL)
+def leading(suffix: str, null_as_zero: bool = False) -> str:
+    st, ca, we = (f"coalesce({ch.lower()}_{suffix}, 0)" if null_as_zero else f"{ch.lower()}_{suffix}" for ch in CHANNEL)
     return f"CASE WHEN {st} >= {ca} AND {st} >= {we} THEN 'STORE' WHEN {ca} >= {we} THEN 'CATALOG' ELSE 'WEB' END"
 
 
@@ -221,6 +221,12 @@ RFM = """tiles AS (SELECT *,
         WHEN recency_score + frequency_score + monetary_score >= 6 THEN 'At Risk' ELSE 'Churned' END AS rfm_segment
       FROM tiles)"""
 
+BEST_IS_HIGH = (
+    RFM.replace("days_since_last_purchase ASC NULLS FIRST", "days_since_last_purchase DESC NULLS LAST")
+    .replace("total_transactions DESC NULLS LAST", "total_transactions ASC NULLS FIRST")
+    .replace("lifetime_net_sales DESC NULLS LAST", "lifetime_net_sales ASC NULLS FIRST")
+)
+
 C360 = f"""c360 AS (SELECT r.*, {leading('sales_amt')} AS preferred_channel,
       CASE WHEN total_transactions > 0 THEN round(total_returned_txns / total_transactions::DOUBLE * 100, 2) ELSE 0.0 END
         AS return_rate_pct,
@@ -300,11 +306,17 @@ def oracle_sql() -> dict[str, str]:
         "rfm_scores": query(FACT_CTES + [CUSTOMER_VALUE, RFM], "rfm", VALUE_DOUBLES, VALUE_DATES),
         "gold_customer_360": query(C360_CTES, "c360", VALUE_DOUBLES, VALUE_DATES),
         "gold_product_performance": query(FACT_CTES + [PRODUCT, PERFORMANCE], "performance", PRODUCT_DOUBLES),
-        "channel_report": f"""WITH {', '.join(FACT_CTES)} SELECT channel, format('{{:,}}', count(*)) AS transactions,
+        "rfm_scores_best_is_high": query(FACT_CTES + [CUSTOMER_VALUE, BEST_IS_HIGH], "rfm", VALUE_DOUBLES, VALUE_DATES),
+        "preferred_channels": f"WITH {', '.join(FACT_CTES + [CUSTOMER_VALUE])} SELECT customer_sk, {leading('sales_amt')} AS null_loses, "
+            f"{leading('sales_amt', True)} AS null_is_zero FROM customer_value",
+        "top_channels": f"WITH {', '.join(FACT_CTES + [PRODUCT])} SELECT item_sk, {leading('revenue')} AS null_loses, "
+            f"{leading('revenue', True)} AS null_is_zero FROM product",
+        "channel_report": f"""WITH {', '.join(FACT_CTES)} SELECT CAST(row_number() OVER (ORDER BY sum(gross_sales_amt) DESC) AS INTEGER) AS position, channel, format('{{:,}}', count(*)) AS transactions,
             concat('$', format('{{:,.2f}}', CAST(sum(gross_sales_amt) AS DOUBLE) / 1e6), 'M') AS gross_sales,
             CAST({rounded_ratio(cents('sum(' + dec('return_rate_pct', 18) + ')'), 'count(return_rate_pct)')} AS DOUBLE) / 100 AS avg_return_pct
             FROM fact GROUP BY channel""",
-        "segment_report": f"""WITH {', '.join(C360_CTES)} SELECT rfm_segment, format('{{:,}}', count(*)) AS customers,
+        "segment_report": f"""WITH {', '.join(C360_CTES)} SELECT
+            CAST(row_number() OVER (ORDER BY sum(lifetime_net_sales) / count(lifetime_net_sales) DESC) AS INTEGER) AS position, rfm_segment, format('{{:,}}', count(*)) AS customers,
             CAST({rounded_ratio(cents('sum(lifetime_net_sales)'), 'count(lifetime_net_sales)')} AS DOUBLE) / 100 AS avg_ltv
             FROM c360 GROUP BY rfm_segment""",
     }

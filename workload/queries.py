@@ -5,11 +5,11 @@ Results leave as plain types: money as double, dates as text, no audit time.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from datetime import date
 from types import MappingProxyType
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from trilayer.channels import CHANNELS
 from trilayer.operators import settle
@@ -37,8 +37,8 @@ def silver_tables(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
     return MappingProxyType({t: clean(adapters.raw_table(spark, sf_dir, t)) for t, clean in CLEANSED.items()})
 
 
-def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.sales_fact(silver_tables(spark, sf_dir))
+def fact(spark: SparkSession, sf_dir: str, columns: Sequence[str] | None = None) -> DataFrame:
+    return gold.sales_fact(silver_tables(spark, sf_dir), columns)
 
 
 def _silver(name: str) -> Query:
@@ -68,22 +68,36 @@ def _channel_rows(channel) -> Query:
 
 
 def _customer_value(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored = settle(fact(spark, sf_dir).select(*gold.VALUE_COLUMNS))
+    stored = settle(fact(spark, sf_dir, gold.VALUE_COLUMNS))
     return gold.customer_value(stored, ANALYSIS_DATE)
 
 
 def _customer_360(spark: SparkSession, sf_dir: str) -> DataFrame:
     silver = silver_tables(spark, sf_dir)
-    stored = settle(fact(spark, sf_dir).select(*gold.VALUE_COLUMNS))
+    stored = settle(fact(spark, sf_dir, gold.VALUE_COLUMNS))
     return gold.customer_360(stored, silver["customer"], silver["customer_address"], ANALYSIS_DATE)
 
 
 def _product_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
     silver = silver_tables(spark, sf_dir)
-    stored = settle(fact(spark, sf_dir).select(*gold.PRODUCT_INPUTS))
+    stored = settle(fact(spark, sf_dir, gold.PRODUCT_INPUTS))
     return gold.product_performance(stored, silver["item"])
 
 
+def _leaders(suffix: str) -> list[Column]:
+    """The leading channel in both ways of comparing a channel without sales."""
+    return [gold.leading_channel(suffix).alias("null_loses"), gold.leading_channel(suffix, null_as_zero=True).alias("null_is_zero")]
+
+
+def _preferred_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _customer_value(spark, sf_dir).select("customer_sk", *_leaders("sales_amt"))
+
+
+def _top_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = settle(fact(spark, sf_dir, gold.PRODUCT_INPUTS))
+    return gold.product_value(stored, silver_tables(spark, sf_dir)["item"]).select("item_sk", *_leaders("revenue"))
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {f"silver_{name}": _silver(name) for name in CLEANSED}
     out["passthrough_nation"] = _passthrough_nation
@@ -95,6 +109,10 @@ def queries() -> dict[str, Query]:
     out["rfm_scores"] = lambda s, d: plain(gold.rfm_scores(settle(_customer_value(s, d))))
     out["gold_customer_360"] = lambda s, d: plain(_customer_360(s, d))
     out["gold_product_performance"] = lambda s, d: plain(_product_performance(s, d))
-    out["channel_report"] = lambda s, d: reports.channel_report(fact(s, d))
-    out["segment_report"] = lambda s, d: plain(reports.segment_report(_customer_360(s, d)))
+    out["rfm_scores_best_is_high"] = lambda s, d: plain(gold.rfm_scores(settle(_customer_value(s, d)), best_is_high=True))
+    out["preferred_channels"] = _preferred_channels
+    out["top_channels"] = _top_channels
+    out["channel_report"] = lambda s, d: reports.channel_report(fact(s, d, gold.REPORT_COLUMNS))
+    # The segments need no person and no address.
+    out["segment_report"] = lambda s, d: plain(reports.segment_report(gold.rfm_scores(settle(_customer_value(s, d)))))
     return out | operators.QUERIES
