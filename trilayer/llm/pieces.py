@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +27,7 @@ _MARKED = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 class Pieces:
     """The pieces of a model and the trie walk."""
 
-    def __init__(self, model_file: str, kept_words: int = 200_000):
+    def __init__(self, model_file: str, kept_words: int = 500_000):
         import sentencepiece
 
         self.model = m = sentencepiece.SentencePieceProcessor(model_file=model_file)
@@ -38,7 +37,14 @@ class Pieces:
         self.ids = {self.names[i]: i for i in plain}
         self.rank = {self.names[i]: m.get_score(i) for i in plain}
         self.bytes = {int(self.names[i][3:5], 16): i for i in range(n) if m.is_byte(i)}
-        self.unknown, self.longest = m.unk_id(), max(map(len, self.ids))
+        self.unknown = m.unk_id()
+        # The pieces read from their last character to their first; the empty key marks a piece.
+        self.backwards: dict = {}
+        for piece in self.ids:
+            node = self.backwards
+            for c in reversed(piece):
+                node = node.setdefault(c, {})
+            node[""] = {}
         # Words can be cut before a mark only if no piece holds a mark after another character.
         if any(MARK in p.lstrip(MARK) for p in self.ids):
             raise ValueError("pieces of this model cross word marks")
@@ -47,6 +53,8 @@ class Pieces:
             shown[i] = bytes([b])
         self.shown = shown
         self.apart: dict[tuple[str, str], bool] = {}
+        self.tested = 0
+        self.packed: dict[str, bytes] = {}
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.kept_words = kept_words
@@ -68,39 +76,59 @@ class Pieces:
 
     def stay_apart(self, a: str, b: str) -> bool:
         """Whether joining leaves ``b`` whole after ``a``, which is empty at the start of a word."""
-        key = a, b
-        found = self.apart.get(key)
-        if found is None:
-            if len(self.apart) > 400_000:
-                self.apart.clear()
-            found = self.apart[key] = self.merged(a + b) == ([a, b] if a else [b])
-        return found
+        if self.tested > 1_000_000:
+            self.apart.clear()
+            self.tested = 0
+        self.tested += 1
+        return self.merged(a + b) == ([a, b] if a else [b])
 
     def walk(self, words: list[str]) -> Iterator[tuple[str, list[str]]]:
-        """Each of the sorted ``words`` with its pieces. ``last[i]`` is the last piece of the prefix of length i."""
-        last, previous = [""], ""
+        """Each of the sorted ``words`` with its pieces. ``last[i]`` is the last piece of the prefix of length i.
+
+        From each end the pieces are followed backwards in their trie, so only pieces that end there are tried, the longest
+        first; one character is always a piece.
+        """
+        last, previous, trie, apart = [""], "", self.backwards, self.apart
         for word in words:
-            shared = len(commonprefix((previous, word)))
+            shared = 0
+            for a, b in zip(previous, word):
+                if a != b:
+                    break
+                shared += 1
             del last[shared + 1 :]
-            for i in range(shared + 1, len(word) + 1):
-                for start in range(max(0, i - self.longest), i):
-                    piece = word[start:i]
-                    if (i - start == 1 or piece in self.ids) and self.stay_apart(last[start], piece):
+            for end in range(shared + 1, len(word) + 1):
+                at = end - 1
+                starts, node = [at], trie.get(word[at])
+                while at and node is not None:
+                    at -= 1
+                    node = node.get(word[at])
+                    if node is not None and "" in node:
+                        starts.append(at)
+                while starts:
+                    start = starts.pop()
+                    before, piece = last[start], word[start:end]
+                    found = apart.get((before, piece))
+                    if found is None:
+                        found = apart[before, piece] = self.stay_apart(before, piece)
+                    if found:
                         last.append(piece)
                         break
                 else:
-                    raise ValueError(f"no piece ends at {i} of {word!r}")
-            found, i = [], len(word)
-            while i:
-                found.append(last[i])
-                i -= len(last[i])
+                    raise ValueError(f"no piece ends at {end} of {word!r}")
+            found, end = [], len(word)
+            while end:
+                found.append(last[end])
+                end -= len(last[end])
             yield word, found[::-1]
             previous = word
 
-    def piece_ids(self, piece: str) -> list[int]:
+    def piece_ids(self, piece: str) -> bytes:
+        """The ids of a piece as little-endian 32-bit numbers: its own, or those of its bytes."""
         if piece in self.ids:
-            return [self.ids[piece]]
-        return [self.bytes[b] for b in piece.encode()] if self.bytes else [self.unknown]
+            ids = [self.ids[piece]]
+        else:
+            ids = [self.bytes[b] for b in piece.encode()] if self.bytes else [self.unknown]
+        return np.array(ids, "<u4").tobytes()
 
     def learn(self, words: set[str]) -> None:
         """Encode the words not yet known. What was used before stays as an older generation when the table is full."""
@@ -108,8 +136,12 @@ class Pieces:
             self.older, self.known = self.known, {}
         for w in words & self.older.keys():
             self.known.setdefault(w, self.older[w])
+        packed = self.packed
         for word, found in self.walk(sorted(words - self.known.keys())):
-            self.known[word] = np.array([i for p in found for i in self.piece_ids(p)], "<u4").tobytes()
+            for p in found:
+                if p not in packed:
+                    packed[p] = self.piece_ids(p)
+            self.known[word] = b"".join([packed[p] for p in found])
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit numbers."""
