@@ -1,10 +1,10 @@
 """Toxicity by a weighted finite-state grammar of clauses.
 
-A lexicon transducer (an Aho-Corasick automaton over word beginnings) marks insults; its entries and
-weights are learned from labelled documents. Word classes for threats, targets, negation and
-reported speech are small fixed tables. The clause transducer reads the classes of a clause from left
-to right; its states carry an open negation, reported speech and a target, and each insult or threat adds
-its weight, changed by the state it is met in. Documents are scored by their matched clauses.
+A lexicon transducer (an Aho-Corasick automaton over word beginnings and forms) reads a text and marks insults and threats;
+the insults and their weights are learned from labelled documents. What it marks, and the fixed word classes of targets, negation
+and reported speech, are the symbols of five small machines. They are composed: a state of the grammar is a state of each,
+and reading a symbol moves all of them at once. An insult adds its weight, changed by the state it is met in. A threat waits some
+words for a target on either side and adds its weight when both are there. Documents are scored by their matched clauses.
 """
 
 from __future__ import annotations
@@ -23,14 +23,102 @@ from trilayer.llm.common import read, slices
 from trilayer.llm.labelled import held_out, training_sample
 from trilayer.operators import settle
 
-# Word classes of the grammar, four languages.
-TARGETS = frozenset("you your yourself they he she him her du dich dir ihr sie tu toi te vous ils elle tú te usted ustedes ellos él ella".split())
-NEGATIONS = frozenset("not no never nobody isn't aren't don't nicht kein keine nie ne pas jamais nunca jamás".split())
+# Word classes of the grammar, four languages. Objects can be meant wherever they stand, subjects if the verb is passive.
+OBJECTS = frozenset("you your yourself him her them dich dir ihn sie euch te toi vous lui leur tú ti usted ustedes".split())
+SUBJECTS = frozenset("they he she du ihr er tu ils elle ellos él ella".split())
+PASSIVES = frozenset("was were is are be been being get gets got wird werden wurde wurden sera sont être fue fueron será ser".split())
+NEGATIONS = frozenset("not no never nobody isn't aren't don't won't nicht kein keine nie ne pas jamais nunca jamás".split())
 REPORTS = frozenset("said says wrote writes called reported quoted sagte schrieb nannte dit écrit appelé dijo escribió llamó".split())
-THREATS = frozenset("kill hurt destroy beat attack shoot töten schlagen tuer frapper matar golpear".split())
+THREATS = frozenset((
+    "kill kills killed killing hurt hurts hurting destroy destroys destroyed destroying beat beats beaten beating "
+    "attack attacks attacked attacking shoot shoots shot shooting töten tötet tötete getötet schlagen schlägt schlug geschlagen "
+    "tuer tue tues tué tuée tués frapper frappe frappes frappé matar mata mató matado matarte golpear golpea golpeado golpearte"
+).split())
+
+# How a state changes the weight of what is met in it, and how many words a state lasts.
+NEGATED, REPORTED, TARGETED, THREAT_WEIGHT = 0.35, 0.5, 1.4, 2.0
+NEGATION_SCOPE, THREAT_SCOPE = 4, 4
+
+INSULT, THREAT, OBJECT, SUBJECT, PASSIVE, NEGATION, REPORT, OTHER = "insult", "threat", "object", "subject", "passive", "negation", "report", "other"
+
+
+def symbol(word: str) -> str:
+    """The class of a word that is neither an insult nor a threat."""
+    if word in OBJECTS:
+        return OBJECT
+    if word in SUBJECTS:
+        return SUBJECT
+    if word in PASSIVES:
+        return PASSIVE
+    if word in NEGATIONS:
+        return NEGATION
+    return REPORT if word in REPORTS else OTHER
+
+
+# The machines. Each is a function from its state and a symbol to its next state; all begin in 0.
+
+
+def negation(state: int, read: str) -> int:
+    """Words for which an open negation still holds."""
+    return NEGATION_SCOPE if read == NEGATION else max(0, state - 1)
+
+
+def reported_speech(state: int, read: str) -> int:
+    """1 from a verb of saying on."""
+    return 1 if read == REPORT else state
+
+
+def target(state: int, read: str) -> int:
+    """1 once somebody is spoken to or of."""
+    return 1 if read in (OBJECT, SUBJECT) else state
+
+
+def threatened(state: int, read: str) -> int:
+    """Words for which whoever stood before is still near: 1 to scope for an object, the same and 10 for the subject of a passive.
+
+    20 and the words left stand for a subject that waits for the passive.
+    """
+    if read == OBJECT:
+        return THREAT_SCOPE
+    if read == SUBJECT and not 0 < state <= THREAT_SCOPE:
+        return 20 + THREAT_SCOPE
+    if read == PASSIVE and state > 20:
+        return 10 + THREAT_SCOPE
+    return state - 1 if state % 10 > 1 else 0
+
+
+def threat(state: int, read: str) -> int:
+    """Words for which a threat still waits for its target."""
+    if read == THREAT:
+        return THREAT_SCOPE
+    return 0 if read == OBJECT else max(0, state - 1)
+
+
+MACHINES = (negation, reported_speech, target, threatened, threat)
+
+
+class Composed:
+    """The machines as one transducer, its transitions worked out when they are first met."""
+
+    start = (0,) * len(MACHINES)
+
+    def __init__(self):
+        self.table: dict[tuple[tuple[int, ...], str], tuple[tuple[int, ...], float, float]] = {}
+
+    def move(self, state: tuple[int, ...], read: str) -> tuple[tuple[int, ...], float, float]:
+        """Next state, factor of an insult that is read here, and weight of a threat that is complete here."""
+        found = self.table.get((state, read))
+        if found is None:
+            negated, reported, targeted, near, waiting = state
+            factor = (NEGATED if negated else 1) * (REPORTED if reported else 1) * (TARGETED if targeted else 1)
+            complete = read == THREAT and 0 < near < 20 or read == OBJECT and waiting
+            after = tuple(m(s, read) for m, s in zip(MACHINES, state))
+            if complete:
+                # A threat counts once; its target may be threatened again.
+                after = (*after[:4], 0)
+            found = self.table[state, read] = after, factor, THREAT_WEIGHT * factor * (not targeted and TARGETED or 1) if complete else 0.0
+        return found
 
-# How a state changes the weight of what is met in it.
-NEGATED, REPORTED, TARGETED, THREAT_WEIGHT, THREAT_SCOPE = 0.35, 0.5, 1.4, 2.0, 4
 
 _CLAUSE = re.compile(r"[.!?;:\n|]+")
 _WORD = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?")
@@ -55,57 +143,60 @@ class Grammar:
             import ahocorasick
 
             found = ahocorasick.Automaton()
+            entries: dict[str, list] = defaultdict(list)
             for entry, weight in self.lexicon.items():
-                found.add_word(entry.rstrip(" "), (len(entry.rstrip(" ")), entry[-1] == " ", weight))
+                entries[entry.rstrip(" ")].append((entry[-1] == " ", weight))
+            for form in THREATS:
+                entries[form].append((True, None))
+            for form, readings in entries.items():
+                found.add_word(form, (len(form), readings))
             found.make_automaton()
-            self.__dict__["_automaton"] = found if self.lexicon else None
+            self.__dict__["_automaton"] = found
+            self.__dict__["_grammar"] = Composed()
         return self.__dict__["_automaton"]
 
     def __getstate__(self):
         return {"lexicon": self.lexicon, "coefficients": self.coefficients}
 
-    def insults(self, text: str) -> dict[int, float]:
-        """Start of each word that the lexicon knows, with the largest weight."""
-        found: dict[int, float] = {}
-        automaton = self.automaton()
-        for end, (n, whole, weight) in automaton.iter(text) if automaton else ():
+    def marks(self, text: str) -> tuple[dict[int, float], set[int]]:
+        """Start of each word that the lexicon knows, with the largest weight, and of each threat."""
+        insults: dict[int, float] = {}
+        threats: set[int] = set()
+        for end, (n, readings) in self.automaton().iter(text):
             start = end - n + 1
-            if start and text[start - 1].isalpha() or whole and end + 1 < len(text) and text[end + 1].isalpha():
+            if start and text[start - 1].isalpha():
                 continue
-            found[start] = max(weight, found.get(start, 0.0))
-        return found
-
-    def clause(self, words: list[tuple[int, str]], insults: dict[int, float]) -> float:
-        """Weight of one clause: a run of the clause transducer over its words."""
-        negated = reported = targeted = False
-        scope, total = 0, 0.0
+            inside = end + 1 < len(text) and text[end + 1].isalpha()
+            for whole, weight in readings:
+                if whole and inside:
+                    continue
+                if weight is None:
+                    threats.add(start)
+                else:
+                    insults[start] = max(weight, insults.get(start, 0.0))
+        return insults, threats
+
+    def clause(self, words: list[tuple[int, str]], insults: dict[int, float], threats: set[int]) -> float:
+        """Weight of one clause: a run of the composed transducer over its words."""
+        self.automaton()
+        move, state, total = self.__dict__["_grammar"].move, Composed.start, 0.0
         for at, word in words:
-            if word in NEGATIONS:
-                negated, scope = True, THREAT_SCOPE
-            elif word in REPORTS:
-                reported = True
             weight = insults.get(at, 0.0)
-            if word in THREATS and targeted:
-                weight += THREAT_WEIGHT
-            if weight:
-                total += weight * (NEGATED if negated else 1) * (REPORTED if reported else 1) * (TARGETED if targeted else 1)
-            if word in TARGETS:
-                targeted = True
-            if negated:
-                scope -= 1
-                negated = scope > 0
+            read = THREAT if at in threats else INSULT if weight else symbol(word)
+            state, factor, threat_weight = move(state, read)
+            total += weight * factor + threat_weight
         return total
 
     def features(self, text: str | None) -> tuple[float, float, float]:
         """Largest clause, log of all clauses, matched clauses a hundred words."""
         text = (text or "").lower()
-        insults = self.insults(text)
-        if not insults and not any(w in text for w in THREATS):
+        insults, threats = self.marks(text)
+        if not insults and not threats:
             return 0.0, 0.0, 0.0
         scores, at = [], 0
         for m in [*_CLAUSE.finditer(text), None]:
             end = m.start() if m else len(text)
-            if (words := [(w.start(), w.group()) for w in _WORD.finditer(text, at, end)]) and (s := self.clause(words, insults)):
+            if (words := [(w.start(), w.group()) for w in _WORD.finditer(text, at, end)]) and (s := self.clause(words, insults, threats)):
                 scores.append(s)
             at = m.end() if m else end
         if not scores:
