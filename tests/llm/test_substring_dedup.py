@@ -9,7 +9,7 @@ import re
 import pyarrow as pa
 import pytest
 
-from trilayer.llm import substring_dedup as sd
+from trilayer.llm import common, substring_dedup as sd
 
 SCHEMA = "doc_id bigint, text string, doc string, own int, row string, spans string, x int, at int"
 EXTRA = ("d", 1, "r", "s", 2, 3)
@@ -59,7 +59,7 @@ def test_against_all_windows(spark, rows, limit):
 
 
 def test_large_tables_are_shuffled(spark, rows, monkeypatch):
-    monkeypatch.setattr(sd, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 0)
     assert found(spark, rows) == by_brute_force(rows)
 
 

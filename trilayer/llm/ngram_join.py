@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from trilayer.llm.common import components, mixed, read, rolling, slices, span_hashes
+from trilayer.llm.common import WORD, components, mixed, read, rolling, slices, span_hashes, unused
 from trilayer.operators import keyed_left_join, settle
 
 BITS = [f"b{i}" for i in range(8)]
@@ -89,8 +89,10 @@ def common_shingles(docs: DataFrame, k: int, most: int) -> np.ndarray:
         least = s
     if least is None:
         return np.empty(0, np.uint64)
-    rows = counts.where(step >= least).toPandas().sort_values(["n", "x"])
-    return rows["x"].to_numpy(np.int64).view(np.uint64)
+    # As Arrow, 16 bytes a row reach the driver; as rows of Python objects it would be hundreds.
+    rows = counts.where(step >= least).select("n", "x").toArrow()
+    n, x = (rows.column(c).to_numpy() for c in ("n", "x"))
+    return x[np.lexsort((x, n))].view(np.uint64)
 
 
 def _ordered(found: np.ndarray, common: np.ndarray, rank: np.ndarray, keep: int) -> np.ndarray:
@@ -209,14 +211,46 @@ def _linked(docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int, part:
     return settle(rows.select("a", "b", "x", "y").mapInArrow(verified, "a bigint, b bigint"))
 
 
+def _rows(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text"))
+
+
+def _ids_are_unique(rows: DataFrame) -> bool:
+    return rows.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty()
+
+
+def _number() -> Column:
+    """A number for rows that agree in id and text; null for null ids."""
+    return F.when(F.col("doc_id").isNotNull(), F.xxhash64(F.col("doc_id").cast("bigint"), F.coalesce(F.col("text").cast("binary"), F.lit(b""))))
+
+
 def link_documents(docs: DataFrame, k: int = 4, part: int = 85, most_common: int = 1 << 20) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs``.
 
     Two rows link when their shingle sets share ``part`` percent of their union. Equal sets are one class. Null, empty and blank texts have
-    an empty set and link with nothing. Rows with one ``doc_id`` are linked to each other by having that id; rows with a null
+    an empty set and link with nothing. Rows with words and one ``doc_id`` are linked to each other by having that id; rows with a null
     id are returned with a null component and link with nothing. Other columns are ignored.
     """
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text"))
+    rows = _rows(docs)
+    if _ids_are_unique(rows):
+        return _components_of(rows, k, part, most_common)
+    # Rows that share an id get numbers by id and text, and links for the shared id.
+    numbered = settle(rows.withColumn("own", _number()))
+    ids = settle(numbered.where("own is not null").select("own", "doc_id").distinct())
+    worded = numbered.where(F.col("own").isNotNull() & F.col("text").cast("string").rlike(WORD)).select("own", "doc_id").distinct()
+    least = worded.groupBy(F.col("doc_id").alias("d")).agg(F.min("own").alias("least"))
+    same_id = keyed_left_join(worded, least, [("doc_id", "d")]).where("own <> least").select(F.col("own").alias("a"), F.col("least").alias("b"))
+    found = settle(_components_of(numbered.select(F.col("own").alias("doc_id"), "text"), k, part, most_common, settle(same_id)))
+    each = found.where("doc_id is not null").select(F.col("doc_id").alias("o"), "n_shingles", F.col("component_id").alias("c")).distinct()
+    each = settle(keyed_left_join(ids, each, [("own", "o")]).drop("o"))
+    smallest = each.groupBy(F.col("c").alias("s")).agg(F.min("doc_id").alias("component_id"))
+    each = keyed_left_join(each, smallest, [("c", "s")]).select(F.col("own").alias("e"), "n_shingles", "component_id")
+    known = keyed_left_join(numbered.where("own is not null").select("doc_id", "own"), each, [("own", "e")])
+    return known.select("doc_id", "n_shingles", "component_id").unionAll(found.where("doc_id is null"))
+
+
+def _components_of(rows: DataFrame, k: int, part: int, most_common: int, given: DataFrame | None = None) -> DataFrame:
+    """``link_documents`` for rows whose ids are null or different texts' own; ``given`` are further links ``a, b``."""
     common = common_shingles(rows, k, most_common)
     sets = settle(document_sets(rows, common, k, part))
     usable = sets.where("n > 0 and doc_id is not null")
@@ -265,7 +299,8 @@ def link_documents(docs: DataFrame, k: int = 4, part: int = 85, most_common: int
     # What the first step verified without success need not be verified again.
     tried = first.select(F.greatest("a", "b").alias("f_a"), F.least("a", "b").alias("f_b"))
     second = settle(keyed_left_join(second, tried, [("a", "f_a"), ("b", "f_b")]).where("f_a is null").select("a", "b"))
-    labels = components(links.unionAll(_linked(rows, classes, second, k, part)))
+    links = links.unionAll(_linked(rows, classes, second, k, part))
+    labels = components(links if given is None else links.unionAll(_of_classes(usable, classes, given)))
 
     owned = keyed_left_join(classes.select("n", "pk", "k1", "k2", "c"), labels, [("c", "node")])
     owned = owned.select(*[F.col(x).alias(f"o_{x}") for x in ("n", "pk", "k1", "k2")], F.coalesce("component", "c").alias("comp"))
@@ -275,6 +310,16 @@ def link_documents(docs: DataFrame, k: int = 4, part: int = 85, most_common: int
     )
 
 
+def _of_classes(usable: DataFrame, classes: DataFrame, given: DataFrame) -> DataFrame:
+    """Links ``a, b`` of documents as links of the classes that hold them."""
+    keys = ["n", "pk", "k1", "k2"]
+    of = classes.select(*[F.col(x).alias(f"o_{x}") for x in keys], "c")
+    of = keyed_left_join(usable.select("doc_id", *keys).distinct(), of, [(x, f"o_{x}") for x in keys]).select(F.col("doc_id").alias("of"), "c")
+    for side in ("a", "b"):
+        given = keyed_left_join(given, of, [(side, "of")]).withColumn(side, F.col("c")).drop("of", "c")
+    return given
+
+
 def _both(members: DataFrame, pairs: DataFrame, column: str) -> DataFrame:
     """Each pair with every set of the group named in ``column``; the keys are hashed so that a large group is split."""
     left = pairs.withColumn("_h", F.xxhash64(column))
@@ -282,11 +327,25 @@ def _both(members: DataFrame, pairs: DataFrame, column: str) -> DataFrame:
     return left.join(right, (F.col("_h") == F.col("_k")) & (F.col(column) == F.col("of"))).drop("_h", "_k", "of")
 
 
-def first_of_each_component(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` whose ``doc_id`` is the smallest of its component; rows without an id stay. All columns stay."""
-    kept = link_documents(docs, **options).where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    joined = keyed_left_join(docs, kept, [("doc_id", "_kept")])
-    return joined.where(F.col("_kept").isNotNull() | F.col("doc_id").isNull()).drop("_kept")
+def first_of_each_component(docs: DataFrame, k: int = 4, part: int = 85, most_common: int = 1 << 20) -> DataFrame:
+    """The rows of ``docs`` that come first in their component: those of the smallest ``doc_id``. Rows without an id stay. All columns stay.
+
+    Links are those of texts alone: a row does not go because another has its id. Of linked rows that share the smallest id one text
+    stays; rows that agree in id and text stay or go together.
+    """
+    rows, name = _rows(docs), unused(docs, "_kept_id")
+    if _ids_are_unique(rows):
+        kept = _components_of(rows, k, part, most_common).where("doc_id = component_id").select(F.col("doc_id").alias(name))
+        joined = keyed_left_join(docs, kept, [("doc_id", name)])
+        return joined.where(F.col(name).isNotNull() | F.col("doc_id").isNull()).select(*docs.columns)
+    numbered = settle(rows.withColumn("own", _number()).where("own is not null"))
+    found = _components_of(numbered.select(F.col("own").alias("doc_id"), "text"), k, part, most_common)
+    found = found.select(F.col("doc_id").alias("o"), F.col("component_id").alias("c")).distinct()
+    each = keyed_left_join(numbered.select("doc_id", "own").distinct(), found, [("own", "o")])
+    kept = each.groupBy("c").agg(F.min(F.struct("doc_id", "own")).alias("first")).select(F.col("first.own").alias(name))
+    own = unused(docs, "_own_number")
+    joined = keyed_left_join(docs.withColumn(own, _number()), kept, [(own, name)])
+    return joined.where(F.col(name).isNotNull() | F.col("doc_id").isNull()).select(*docs.columns)
 
 
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
