@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from trilayer.llm.common import mixed, read, rolling, slices, span_hashes
 from trilayer.operators import keyed_left_join, settle
@@ -40,6 +40,8 @@ _LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
 LONGEST = 5
 #: Tables of slots have 2 to this power, so that a scan takes the same memory with any number of patterns.
 SLOT_BITS = 23
+#: Kind of a row that says that its pattern holds too many values.
+_DEAD = 99
 _EDGE, _LEFT, _BOTH = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
 
@@ -185,6 +187,48 @@ def _table(slots: np.ndarray) -> np.ndarray:
     return table
 
 
+def _caps(ready: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The slots of the patterns in order and the largest ``cap`` of each; never more than there are slots."""
+    slot = F.shiftrightunsigned("pattern", 64 - SLOT_BITS).cast("int")
+    rows = ready.groupBy(slot.alias("s")).agg(F.max("cap").alias("cap")).toArrow()
+    slots, caps = rows.column("s").to_numpy().astype(np.int32), rows.column("cap").to_numpy()
+    order = np.argsort(slots)
+    return slots[order], caps[order]
+
+
+def _cap(belief: Column, confidence: float) -> Column:
+    """How many distinct values a pattern with so much belief may hold and still be trusted; never too few for rounding."""
+    return F.floor(belief / confidence + 1e-6).cast("bigint") - 1
+
+
+class Emitted:
+    """What one task has sent of each pattern. A pattern that held more than its cap is dead and sends nothing more."""
+
+    def __init__(self, slots: np.ndarray, caps: np.ndarray):
+        self.slots, self.caps = slots, caps
+        self.values: dict[int, set[int]] = {}
+        self.dead: set[int] = set()
+
+    def new(self, found: np.ndarray) -> np.ndarray:
+        """Rows (pattern, value, 0) to send, and (pattern, 0, ``_DEAD``) of the patterns that die."""
+        order = np.argsort(found[:, 0], kind="stable")
+        patterns, first = np.unique(found[order, 0], return_index=True)
+        out = []
+        for p, rows in zip(patterns.tolist(), np.split(order, first[1:])):
+            if p in self.dead:
+                continue
+            sent = self.values.setdefault(p, set())
+            fresh = [v for v in found[rows, 1].tolist() if v not in sent]
+            sent.update(fresh)
+            if len(sent) > self.caps[np.searchsorted(self.slots, p >> (64 - SLOT_BITS))]:
+                self.dead.add(p)
+                del self.values[p]
+                out.append((p, 0, _DEAD + 1))
+            else:
+                out += [(p, v, 0) for v in fresh]
+        return np.array(out, np.uint64).reshape(-1, 3) if out else np.zeros((0, 3), np.uint64)
+
+
 def _slots(hashes: DataFrame, column: str) -> np.ndarray:
     """The slots that the hashes fall into; never more than there are slots."""
     rows = hashes.select(F.shiftrightunsigned(column, 64 - SLOT_BITS).cast("int").alias("s")).distinct()
@@ -195,21 +239,24 @@ def _signed(hashes: np.ndarray) -> pa.Array:
     return pa.array(hashes.astype(np.uint64).view(np.int64))
 
 
-def _edges(docs: DataFrame, patterns: np.ndarray | None = None, values: np.ndarray | None = None) -> DataFrame:
+def _edges(docs: DataFrame, patterns: tuple[np.ndarray, np.ndarray] | None = None, values: np.ndarray | None = None) -> DataFrame:
     """``pattern, value, kind`` of the base matches, or with kind -1 of all other values in the patterns that the slots let through.
 
-    With slots of values instead, all patterns of those values. Both are hashes. Most repetitions are dropped.
+    ``patterns`` are slots with caps: a pattern in which a task meets more values than its cap leaves a row of kind ``_DEAD`` and no
+    more values. With slots of values instead, all patterns of those values. Patterns and values are hashes. Most repetitions are dropped.
     """
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        slots = patterns if values is None else values
+        slots = values if values is not None else patterns and patterns[0]
         table = None if slots is None else _table(slots)
+        emitted = Emitted(*patterns) if patterns else None
         held, rows = [], 0
 
         def part() -> pa.RecordBatch:
             found = np.concatenate([np.zeros((0, 3), np.uint64), *held])
             # Sorting one number a row is several times faster than sorting rows.
             found = found[np.unique(mixed(found[:, 0] + mixed(found[:, 1] + mixed(found[:, 2]))), return_index=True)[1]]
+            found = emitted.new(found) if emitted else found
             return pa.RecordBatch.from_arrays([_signed(found[:, 0].copy()), _signed(found[:, 1].copy()), pa.array(found[:, 2].astype(np.int64).astype(np.int32) - 1)], ["pattern", "value", "kind"])
 
         for batch in slices(batches, most_bytes=1 << 20):
@@ -277,7 +324,11 @@ def trusted_patterns(docs: DataFrame, confidence: float = 0.8, support: int = 3)
     A pattern is the word before a value, or the words before and after it. Its belief in a kind is the mean belief of its
     distinct values, damped for few values (``n / (n + 1)``); base matches have belief 1. At least ``support`` distinct known values
     must stand behind a trusted pattern; known are base matches and, from the next round on, the values that trusted patterns
-    hold, with the score of their best pattern as belief. Rounds go on until no new pattern is trusted.
+    hold, with the score of their best pattern as belief. Rounds go on until no new pattern is trusted; each but the last trusts
+    one more at least, so there are as many as the longest chain of patterns that lead to each other, and one.
+
+    A pattern with belief b cannot be trusted once it holds more than ``b / confidence - 1`` values. Tasks stop sending values of such a
+    pattern, and it is tested again only when its belief has grown. This changes no result: it bounds what a frequent word costs.
     """
     seeds = settle(_edges(docs).groupBy("pattern", "value").agg(F.max("kind").alias("kind")))
     contexts = seeds.select("pattern", "value")
@@ -289,17 +340,27 @@ def trusted_patterns(docs: DataFrame, confidence: float = 0.8, support: int = 3)
 
     pair = "pattern bigint, value bigint"
     spark = docs.sparkSession
-    edges, tested = spark.createDataFrame([], pair), spark.createDataFrame([], "pattern bigint")
+    # ``cap`` is null where all values of the pattern are known, else what the pattern was found to exceed.
+    edges, tested = spark.createDataFrame([], pair), spark.createDataFrame([], "pattern bigint, cap bigint")
     trusted = spark.createDataFrame([], "pattern bigint, kind int, score double")
     while True:
-        ready = beliefs(contexts).where(F.col("support") >= support).select("pattern").distinct()
-        ready = settle(ready.join(tested, "pattern", "left_anti"))
+        wanted = beliefs(contexts).where(F.col("support") >= support).groupBy("pattern").agg(F.max("b").alias("b"))
+        wanted = wanted.select("pattern", _cap(F.col("b"), confidence).alias("cap"))
+        before = tested.select(F.col("pattern").alias("t"), F.col("cap").alias("old"))
+        # A dead pattern is looked at again only when more is known of it than when it died.
+        ready = settle(keyed_left_join(wanted, before, [("pattern", "t")]).where("t is null or old < cap").select("pattern", "cap"))
         if not ready.isEmpty():
-            found = _semi(_edges(docs, _slots(ready, "pattern")), ready, "pattern").select("pattern", "value")
-            tested = settle(tested.unionByName(ready))
-            edges = edges.unionByName(found)
+            met = settle(_semi(_edges(docs, _caps(ready)), ready, "pattern").distinct())
+            held = met.groupBy("pattern").agg(F.count("*").alias("n"), F.max("kind").alias("worst"))
+            held = held.withColumnRenamed("pattern", "h")
+            over = (F.col("worst") == _DEAD) | (F.col("n") > F.col("cap"))
+            state = keyed_left_join(ready, held, [("pattern", "h")]).select("pattern", F.when(over, F.col("cap")).alias("cap"))
+            state = settle(state)
+            tested = settle(tested.join(state.select("pattern"), "pattern", "left_anti").unionByName(state))
+            live = state.where("cap is null")
+            edges = edges.unionByName(_semi(met.where(F.col("kind") < 0), live, "pattern").select("pattern", "value"))
         # Values found outside patterns under test stand in ``contexts`` too.
-        edges = settle(edges.unionByName(_semi(contexts, tested, "pattern")).distinct())
+        edges = settle(edges.unionByName(_semi(contexts, tested.where("cap is null"), "pattern")).distinct())
         sizes = edges.groupBy(F.col("pattern").alias("p")).agg(F.count("*").alias("n"))
         scored = keyed_left_join(beliefs(edges), sizes, [("pattern", "p")]).withColumn("score", F.col("b") / (F.col("n") + 1))
         best = F.max_by(F.struct("kind", "score"), F.struct("score", -F.col("kind"))).alias("best")
