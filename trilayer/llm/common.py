@@ -19,6 +19,21 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+#: Rows, and numbers in their arrays, up to which a stored table is broadcast (about 100 MB at most).
+BROADCAST_ROWS, BROADCAST_NUMBERS = 1_000_000, 8_000_000
+
+
+def joined_by_size(rows: DataFrame, found: DataFrame, on: list[tuple[str, str]], numbers: str) -> DataFrame:
+    """``rows`` left-joined to a stored table with an array ``numbers``: broadcast if it is small, else by a keyed join."""
+    n, total = found.agg(F.count("*"), F.sum(F.size(numbers))).first()
+    if n <= BROADCAST_ROWS and (total or 0) <= BROADCAST_NUMBERS:
+        condition = F.lit(True)
+        for a, b in on:
+            condition = condition & (F.col(a) == F.col(b))
+        return rows.join(F.broadcast(found), condition, "left")
+    return keyed_left_join(rows, found, on)
+
+
 def unused(df: DataFrame, name: str) -> str:
     """``name``, made longer until ``df`` has no such column."""
     taken = {c.lower() for c in df.columns}

@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from trilayer.llm.common import read, rolling, slices, span_hashes
+from trilayer.llm.common import joined_by_size, read, rolling, slices, span_hashes
 from trilayer.llm.suffix_dedup import sliding
 from trilayer.operators import keyed_left_join, settle
 from trilayer.operators.settle import scratch_path
@@ -36,8 +36,6 @@ LIMIT = 20_000
 PART = 4 << 20
 #: Anchors a task looks through for repeats of its own.
 HELD = 1_000_000
-#: Rows and numbers in them up to which a table is broadcast (about 100 MB at most); larger ones are shuffled.
-BROADCAST_ROWS, BROADCAST_NUMBERS = 1_000_000, 8_000_000
 
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 _FIRST = -(1 << 63)
@@ -203,17 +201,6 @@ def _spots(rows: DataFrame) -> DataFrame:
     return settle(bits.groupBy("row").agg(F.collect_list(F.struct("w", "b")).alias("spots")))
 
 
-def _joined(rows: DataFrame, found: DataFrame, on: list[tuple[str, str]], numbers: str) -> DataFrame:
-    """``rows`` left-joined to a stored table, which is broadcast if it is small."""
-    n, total = found.agg(F.count("*"), F.sum(F.size(numbers))).first()
-    if n <= BROADCAST_ROWS and (total or 0) <= BROADCAST_NUMBERS:
-        condition = F.lit(True)
-        for a, b in on:
-            condition = condition & (F.col(a) == F.col(b))
-        return rows.join(F.broadcast(found), condition, "left")
-    return keyed_left_join(rows, found, on)
-
-
 # --- their contexts ----------------------------------------------------------------
 
 
@@ -236,7 +223,7 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def contexts(rows: DataFrame) -> DataFrame:
     """The suffixes at anchors whose first words stand in several documents."""
-    chosen = _joined(rows.withColumn("row", _row()), _spots(rows).withColumnRenamed("row", "s_row"), [("row", "s_row")], "spots")
+    chosen = joined_by_size(rows.withColumn("row", _row()), _spots(rows).withColumnRenamed("row", "s_row"), [("row", "s_row")], "spots")
     found = chosen.where("spots is not null").select("doc", "own", "text", "spots").mapInArrow(
         _contexts, "x bigint, doc bigint, own bigint, at bigint, before binary, after binary"
     )
@@ -446,7 +433,7 @@ def substring_report(docs: DataFrame, limit: int = LIMIT, with_text: bool = Fals
     """
     rows = numbered(docs)
     gone = removed_spans(rows, limit).select(F.col("doc").alias("g_doc"), F.col("own").alias("g_own"), "spans")
-    joined = _joined(rows, gone, [("doc", "g_doc"), ("own", "g_own")], "spans")
+    joined = joined_by_size(rows, gone, [("doc", "g_doc"), ("own", "g_own")], "spans")
     return joined.select("doc_id", "text", "spans").mapInArrow(
         _reported(with_text), "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, kept binary"
     )
