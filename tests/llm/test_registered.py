@@ -15,7 +15,8 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", list(SQL))
 def test_query_matches_sql(spark, name):
     db = duckdb.connect()
-    db.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    for t in ("documents", "embeddings"):
+        db.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     got = QUERIES[name](spark, SF)
     want = db.sql(SQL[name])
     columns = sorted(got.columns)

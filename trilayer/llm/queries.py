@@ -34,4 +34,10 @@ QUERIES = {
     "op13_substring_dedup": substring_dedup.op13_substring_dedup,
 }
 
-SQL = {"op8_mixing": mixing.SQL, "op11_merkle_manifest": manifest.SQL, "op12_spelling_variants": spelling.SQL}
+SQL = {
+    "op2_vectors": vectors.SQL,
+    "op8_mixing": mixing.SQL,
+    "op11_merkle_manifest": manifest.SQL,
+    "op12_spelling_variants": spelling.SQL,
+    "op13_substring_dedup": substring_dedup.SQL,
+}

@@ -441,3 +441,17 @@ def substring_report(docs: DataFrame, limit: int = LIMIT, with_text: bool = Fals
 
 def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_report(read(spark, sf_dir, "documents")).drop("kept")
+
+
+SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS ws FROM documents),
+starts AS (SELECT rid, doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM d WHERE len(ws) >= 13),
+windows AS (SELECT rid, doc_id, i, array_to_string(ws[i:i + 12], ' ') AS words FROM starts),
+least AS (SELECT words, min(doc_id) AS least FROM windows GROUP BY words),
+gone AS (SELECT DISTINCT rid, i + j AS pos FROM windows JOIN least USING (words), range(13) r(j) WHERE least < doc_id),
+words AS (SELECT rid, unnest(ws) AS word, generate_subscripts(ws, 1) AS pos FROM d),
+kept AS (SELECT w.rid, count(gone.pos) AS n_removed, string_agg(word, ' ' ORDER BY w.pos) FILTER (gone.pos IS NULL) AS kept
+    FROM words w LEFT JOIN gone ON w.rid = gone.rid AND w.pos = gone.pos GROUP BY w.rid)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (rid)
+"""

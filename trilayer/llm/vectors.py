@@ -152,3 +152,16 @@ def link_vectors(
 
 def op2_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_vectors(read(spark, sf_dir, "embeddings"))
+
+
+SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings WHERE vec_id IS NOT NULL),
+usable AS (SELECT * FROM v WHERE label IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+near AS (SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+    WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+reached AS (SELECT a AS vec_id, b AS other FROM near UNION SELECT r.vec_id, near.b FROM reached r JOIN near ON r.other = near.a),
+least AS (SELECT vec_id, min(other) AS other FROM reached GROUP BY vec_id),
+links AS (SELECT a AS vec_id, count(*) AS n FROM near GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, least(vec_id, coalesce(other, vec_id)) AS component_id, least(vec_id, coalesce(other, vec_id)) = vec_id AS kept
+FROM v LEFT JOIN least USING (vec_id) LEFT JOIN links USING (vec_id)
+"""
