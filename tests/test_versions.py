@@ -193,3 +193,11 @@ def test_a_run_that_fails_halfway_goes_on(spark, tmp_path):
     assert runlog.entries(spark, cfg).where("run_id = 'r1'").count() == len(again) + 1
     assert [n for n, _ in versions.versions(spark, cfg.path(GOLD, "sales_fact"))] == [1]
     assert files.names(spark, settling.checkpoint_root(spark)) == scratch
+
+
+def test_a_folder_with_a_quote(spark, tmp_path):
+    (tmp_path / "it's").mkdir()
+    cfg = lakehouse(spark, tmp_path / "it's", "quote_db")
+    for n in (2, 5):
+        storage.write_layer(spark.range(n), cfg, SILVER, "t", audit=False)
+        assert storage.read_table(spark, cfg, SILVER, "t").count() == storage.read_layer(spark, cfg, SILVER, "t").count() == n

@@ -118,7 +118,8 @@ def _point_name(spark: SparkSession, cfg: LayerConfig, layer: str, table: str, f
         old = _columns(spark.table(name).schema)
         new = _columns(spark.read.format(cfg.table_format).load(folder).schema)
         if new[: len(old)] == old:
-            spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
+            quoted = folder.replace("\\", "\\\\").replace("'", "\\'")
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{quoted}'")
             if new[len(old) :]:
                 added = ", ".join(f"`{c}` {t}" for c, t in new[len(old) :])
                 spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({added})")
