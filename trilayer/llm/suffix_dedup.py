@@ -20,9 +20,10 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from trilayer.llm.common import mixed, read, rolling, slices, span_hashes
+from trilayer.llm.common import joined_by_size, mixed, read, rolling, slices, span_hashes
 from trilayer.llm.ngram_join import _repeated_tokens
 from trilayer.operators import keyed_left_join, settle
 
@@ -147,34 +148,54 @@ def merge_runs(runs: list[bytes]) -> Iterator[tuple[int, bytes, bytes, bytes, in
             node //= 2
 
 
-def repeated_windows(contexts: list[tuple[bytes, bytes, bytes, int]], groups: list[int], window: int) -> Iterator[tuple[bytes, int, int]]:
-    """``(hash, lo, hi)``: the windows that begin lo to hi bytes before the suffix stand in another place too.
-
-    Only windows of one group that begin equally far before their suffix are compared. One window can be near several
-    anchors, or hold the bytes of an anchor twice; so it never meets itself.
-    """
+def _window_keys(contexts: list[tuple[bytes, bytes, bytes, int]], groups: list[int], window: int, low: int, high: int) -> tuple[np.ndarray, ...]:
+    """Context, bytes before the suffix and key of the windows that begin ``low`` to ``high - 1`` bytes before their suffix."""
     data = np.frombuffer(b"".join(chain.from_iterable((before, suffix) for suffix, before, _, _ in contexts)), np.uint8)
     before = np.array([len(c[1]) for c in contexts])
     suffix = np.array([len(c[0]) for c in contexts])
     at = np.concatenate([[0], np.cumsum(before + suffix)[:-1]]) + before
     sums, down = rolling(data)
-    ahead = np.arange(window - GRAM + 1)
-    valid = (ahead <= before[:, None]) & (window - ahead <= suffix[:, None])
-    rows, d = np.nonzero(valid)
+    ahead = np.arange(low, high)
+    rows, d = np.nonzero((ahead <= before[:, None]) & (window - ahead <= suffix[:, None]))
+    d = d + low
     starts = at[rows] - d
     own = np.array(groups, np.uint64)[rows] * np.uint64(window) + d.astype(np.uint64)
-    keys = mixed(span_hashes(sums, down, starts, starts + window) + mixed(own))
-    _, which, n = np.unique(keys, return_inverse=True, return_counts=True)
-    hit = (n[which] > 1) | (np.array([c[3] for c in contexts])[rows] > 1)
-    rows, d = rows[hit], d[hit]
+    return rows, d, mixed(span_hashes(sums, down, starts, starts + window) + mixed(own))
+
+
+def repeated_windows(
+    contexts: list[tuple[bytes, bytes, bytes, int]], groups: list[int], window: int, most: int = 500_000, block: int = 2_000
+) -> Iterator[tuple[bytes, int, int]]:
+    """``(hash, lo, hi)``: the windows that begin lo to hi bytes before the suffix stand in another place too.
+
+    Only windows of one group that begin equally far before their suffix are compared. One window can be near several
+    anchors, or hold the bytes of an anchor twice; so it never meets itself. About ``most`` windows are held at a time: those of
+    some distances before the suffix, found from ``block`` contexts after the other.
+    """
+    times = np.array([c[3] for c in contexts])
+    hits = []
+    step = max(1, most // len(contexts))
+    for low in range(0, window - GRAM + 1, step):
+        high = min(low + step, window - GRAM + 1)
+        found = []
+        for i in range(0, len(contexts), block):
+            rows, d, keys = _window_keys(contexts[i : i + block], groups[i : i + block], window, low, high)
+            found.append((rows + i, d, keys))
+        rows, d, keys = (np.concatenate(c) for c in zip(*found))
+        _, which, n = np.unique(keys, return_inverse=True, return_counts=True)
+        hit = (n[which] > 1) | (times[rows] > 1)
+        hits.append((rows[hit].astype(np.int32), d[hit].astype(np.int16)))
+    rows, d = (np.concatenate(c) for c in zip(*hits))
     if len(rows):
+        order = np.lexsort((d, rows))
+        rows, d = rows[order], d[order]
         cut = np.flatnonzero((np.diff(rows) != 0) | (np.diff(d) != 1)) + 1
         for a, b in zip(np.concatenate([[0], cut]), np.concatenate([cut, [len(rows)]]) - 1):
             yield contexts[rows[a]][2], int(d[a]), int(d[b])
 
 
-def _bucket_repeats(runs: list[bytes], window: int, chunk: int = 20_000) -> Iterator[tuple[bytes, int, int]]:
-    """Repeated windows from all runs of a bucket, a bounded number of groups at a time."""
+def _bucket_repeats(runs: list[bytes], window: int, chunk: int = 2_000) -> Iterator[tuple[bytes, int, int]]:
+    """Repeated windows from all runs of a bucket, the groups of about ``chunk`` contexts at a time."""
     done: list[tuple[bytes, bytes, bytes, int]] = []
     of: list[int] = []
     group: list[tuple[bytes, bytes, bytes, int]] = []
@@ -239,7 +260,9 @@ def _contexts(window: int, buckets: int):
             for key, (suffix, before, n) in kept.items():
                 by_bucket.setdefault(xxhash.xxh3_64_intdigest(suffix[:GRAM]) % buckets, []).append((suffix, before, key, n))
             kept.clear()
-            packed = [pack_run(sorted(entries, key=lambda e: e[:2])) for entries in by_bucket.values()]
+            # Front coding leaves the text itself, which shrinks to a third.
+            small = zstandard.ZstdCompressor(level=3)
+            packed = [small.compress(pack_run(sorted(entries, key=lambda e: e[:2]))) for entries in by_bucket.values()]
             n = len(packed)
             return pa.RecordBatch.from_arrays(
                 [pa.nulls(n, schema), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()), pa.array(list(by_bucket), pa.int32()), pa.array(packed, pa.binary())],
@@ -280,7 +303,7 @@ def _contexts(window: int, buckets: int):
 def _merged_buckets(window: int):
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows(bucket_runs: list[bytes]) -> pa.RecordBatch:
-            found = list(_bucket_repeats(bucket_runs, window))
+            found = list(_bucket_repeats([zstandard.ZstdDecompressor().decompress(r) for r in bucket_runs], window))
             return pa.RecordBatch.from_arrays(
                 [pa.array([f[0] for f in found], pa.binary()), *(pa.array([f[i] for f in found], pa.int32()) for i in (1, 2))], ["key", "lo", "hi"]
             )
@@ -319,7 +342,7 @@ def _window_rows(window: int):
 
 
 def removable(docs: DataFrame, window: int = 200, hot: int = 100_000, buckets: int | None = None) -> DataFrame:
-    """``own`` and the byte ranges ``spans`` (start, end; they may overlap) that stand elsewhere too.
+    """``own`` and the byte ranges ``spans`` (start, end, start, end ...) that stand elsewhere too.
 
     Anchors met more than ``hot`` times leave the merge: their windows are counted one by one in an aggregation with
     partial sums, which no single task has to hold.
@@ -333,8 +356,11 @@ def removable(docs: DataFrame, window: int = 200, hot: int = 100_000, buckets: i
         F.collect_set(F.when(~F.col("hot"), F.col("at"))).alias("at"), F.collect_set(F.when(F.col("hot"), F.col("at"))).alias("hot_at")
     ).withColumnRenamed("own", "o")
     if buckets is None:
-        buckets = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    joined = keyed_left_join(keyed, places, [("own", "o")]).where("o is not null").drop("o")
+        # So many that the contexts of a bucket, were none equal, take about 16 MB.
+        buckets = max(4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), found.count() * (2 * window) >> 24)
+    # Texts stay where they are while what is known of them is small.
+    places = settle(places.withColumn("size", F.concat("at", "hot_at")))
+    joined = joined_by_size(keyed, places, [("own", "o")], "size").where("o is not null").drop("o", "size")
     parts = settle(joined.select("own", "text", "at").mapInArrow(_contexts(window, buckets), f"{_PLACED}, at int, key binary, bucket int, run binary"))
     runs = parts.where("bucket is not null").select("bucket", "run").repartition("bucket").sortWithinPartitions("bucket")
     repeats = settle(runs.mapInArrow(_merged_buckets(window), "key binary, lo int, hi int"))
@@ -350,17 +376,35 @@ def removable(docs: DataFrame, window: int = 200, hot: int = 100_000, buckets: i
         again = rows.groupBy("w1", "w2").count().where("count > 1").select(F.col("w1").alias("r1"), F.col("w2").alias("r2"))
         again = keyed_left_join(rows, again, [("w1", "r1"), ("w2", "r2")]).where("r1 is not null")
         spans = spans.unionAll(again.select("own", F.col("at").alias("start"), (F.col("at") + window).alias("end")))
-    return spans.groupBy("own").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-
-
-def joined_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    out: list[tuple[int, int]] = []
-    for start, end in sorted(spans):
-        if out and start <= out[-1][1]:
-            out[-1] = out[-1][0], max(end, out[-1][1])
-        else:
-            out.append((start, end))
-    return out
+    sorted_ = spans.repartition("own").sortWithinPartitions("own", "start")
+    return settle(sorted_.mapInArrow(_joined_spans, "own struct<id:bigint,h:bigint>, spans array<int>"))
+
+
+def _joined_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``own`` and its ``spans`` (start, end, start, end ...), which no longer overlap or touch, from rows sorted by both."""
+    key, now, out = None, [], []
+
+    def part() -> pa.RecordBatch:
+        owns = pa.array([k for k, _ in out], pa.struct([("id", pa.int64()), ("h", pa.int64())]))
+        spans = pa.array([s for _, s in out], pa.list_(pa.int32()))
+        out.clear()
+        return pa.RecordBatch.from_arrays([owns, spans], ["own", "spans"])
+
+    for batch in batches:
+        for own, start, end in zip(*[batch.column(c).to_pylist() for c in ("own", "start", "end")]):
+            if own != key:
+                if now:
+                    out.append((key, now))
+                    if len(out) > 20_000:
+                        yield part()
+                key, now = own, []
+            if now and start <= now[-1]:
+                now[-1] = max(end, now[-1])
+            else:
+                now += [start, end]
+    if now:
+        out.append((key, now))
+    yield part()
 
 
 def without_repeats(docs: DataFrame, window: int = 200, **options) -> DataFrame:
@@ -376,7 +420,7 @@ def without_repeats(docs: DataFrame, window: int = 200, **options) -> DataFrame:
         for batch in slices(batches):
             rows = []
             for text, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                spans = joined_spans([(s["start"], s["end"]) for s in spans or ()])
+                spans = list(zip(spans[::2], spans[1::2])) if spans else []
                 kept, at = [], 0
                 for start, end in spans:
                     kept.append(text[at:start])
@@ -388,7 +432,7 @@ def without_repeats(docs: DataFrame, window: int = 200, **options) -> DataFrame:
                 ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"],
             )
 
-    joined = keyed_left_join(_keyed(docs), found, [("own", "o")]).select("own.id", "text", "spans")
+    joined = joined_by_size(_keyed(docs), found, [("own", "o")], "spans").select("own.id", "text", "spans")
     return joined.mapInArrow(cut, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
 
 
