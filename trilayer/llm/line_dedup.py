@@ -19,7 +19,7 @@ from trilayer.operators import keyed_left_join, settle
 #: Jaccard similarity from which lines match: 9/10.
 PART, WHOLE = 9, 10
 #: Groups of words whose counts order them. Words of one group share its count.
-GROUPS = 8192
+GROUPS = 1 << 18
 #: Keys up to this number are broadcast (about 50 MB at most); more are shuffled.
 BROADCAST_ROWS = 1_000_000
 #: What separates words besides the blank; a newline ends the line.
@@ -54,13 +54,15 @@ def _words(line: str = "line") -> Column:
 
 
 def word_ranks(docs: DataFrame) -> list[int]:
-    """For each group of words a number that grows with its count in all documents; ``GROUPS`` numbers reach the driver."""
+    """For each group of words a number that grows with its count in all documents; ``GROUPS`` numbers reach the driver, as one text."""
     group = F.pmod(F.xxhash64("word"), F.lit(GROUPS)).cast("int")
-    counts = lines(docs).select(F.explode(_words()).alias("word")).groupBy(group.alias("g")).count().collect()
+    counts = lines(docs).select(F.explode(_words()).alias("word")).groupBy(group.alias("g")).count()
+    found = counts.agg(F.array_join(F.collect_list(F.concat_ws(":", "g", "count")), ",")).first()[0]
     ranks = [0] * GROUPS
-    for r in counts:
+    for pair in found.split(",") if found else ():
+        g, n = map(int, pair.split(":"))
         # 64 steps for each doubling, so that few groups tie.
-        ranks[r["g"]] = min(2047, int(64 * (r["count"].bit_length() - 1 + r["count"] / (1 << r["count"].bit_length()))))
+        ranks[g] = min(2047, int(64 * (n.bit_length() - 1 + n / (1 << n.bit_length()))))
     return ranks
 
 
@@ -108,15 +110,16 @@ def _may_match() -> Column:
     )
 
 
-def _verified(docs: DataFrame, ranks: list[int], pairs: DataFrame) -> DataFrame:
-    """The ``first`` of each later line whose pair holds on the whole sets."""
+def _verified(docs: DataFrame, ranks: list[int], pairs: DataFrame, repeated: bool) -> DataFrame:
+    """The ``first`` of each later line whose pair holds on the whole sets; ``repeated`` if rows may agree in id and text."""
     wanted = settle(pairs.select("first").unionAll(pairs.select("e_first")).distinct())
     wanted = wanted.select("first.*")
     if wanted.count() <= BROADCAST_ROWS:
+        # Texts without such a line are left out before they are cut.
+        docs = docs.join(F.broadcast(wanted.select(F.col("doc").alias("w")).distinct()), _doc() == F.col("w"), "left_semi")
         wanted = F.broadcast(wanted)
-    sets = settle(
-        lines(docs).join(wanted, ["doc", "own", "line_no"], "left_semi").select("doc", "own", "line_no", tokens(ranks).alias("tokens")).distinct()
-    )
+    sets = lines(docs).join(wanted, ["doc", "own", "line_no"], "left_semi").select("doc", "own", "line_no", tokens(ranks).alias("tokens"))
+    sets = settle(sets.distinct() if repeated else sets)
     at = F.struct("doc", "own", "line_no")
     later = keyed_left_join(pairs, sets.select(at.alias("p"), F.col("tokens").alias("t")), [("first", "p")]).drop("p")
     both = keyed_left_join(later, sets.select(at.alias("p"), F.col("tokens").alias("e_t")), [("e_first", "p")])
@@ -127,6 +130,7 @@ def _verified(docs: DataFrame, ranks: list[int], pairs: DataFrame) -> DataFrame:
 def matched_classes(docs: DataFrame, min_words: int) -> tuple[DataFrame, DataFrame]:
     """The place ``at`` of every line with the ``first`` of its class, and the ``first`` of each class that matches an earlier one."""
     ranks = word_ranks(docs)
+    repeated = not docs.groupBy(_doc()).count().where("count > 1").isEmpty()
     rows = settle(line_sets(docs, ranks, min_words)).where(F.col("n") >= max(1, min_words))
     firsts = rows.groupBy("a", "b").agg(F.min("at").alias("first"))
     firsts = firsts.withColumnsRenamed({"a": "f_a", "b": "f_b"})
@@ -139,13 +143,13 @@ def matched_classes(docs: DataFrame, min_words: int) -> tuple[DataFrame, DataFra
     heads = heads.select(F.col("token").alias("e_token"), "m", "e.*").select("e_token", "m", *earlier)
     # Most words of a prefix stand in one line only; what follows sees the other lists.
     lists = settle(keyed_left_join(posted, heads, [("token", "e_token")]).where("e_token is not null").drop("e_token"))
-    gone = settle(_verified(docs, ranks, settle(lists.where(_may_match()).select("first", "e_first").distinct())))
+    gone = settle(_verified(docs, ranks, settle(lists.where(_may_match()).select("first", "e_first").distinct()), repeated))
     # The earliest member has met all others, so only lists with two more have pairs left.
     lists = lists.where((F.col("m") > 2) & (F.col("first") != F.col("e_first"))).drop("m", "e_first", "e_n", "e_bits", "e_place")
     left = keyed_left_join(lists, gone.select(F.col("first").alias("g")), [("first", "g")]).where("g is null").drop("g")
     others = lists.select(F.col("token").alias("e_token"), *earlier)
     pairs = settle(left.join(others, (F.col("token") == F.col("e_token")) & _may_match()).select("first", "e_first").distinct())
-    return rows.select("at", "first"), settle(gone.unionAll(_verified(docs, ranks, pairs)))
+    return rows.select("at", "first"), settle(gone.unionAll(_verified(docs, ranks, pairs, repeated)))
 
 
 def removed_lines(docs: DataFrame, min_words: int = 1) -> DataFrame:
