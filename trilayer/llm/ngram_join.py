@@ -18,12 +18,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from trilayer.llm.common import WORD, components, mixed, read, rolling, slices, span_hashes, unused
+from trilayer.llm.common import WORD, components, joined_by_size, mixed, read, rolling, slices, span_hashes, unused
 from trilayer.operators import keyed_left_join, settle
 
 BITS = [f"b{i}" for i in range(8)]
-#: Keys up to this number are broadcast (16 MB of ids at most); more are shuffled.
-BROADCAST_ROWS = 1_000_000
+#: Documents compared with one set in one task.
+MEMBERS = 512
 
 
 def shingle_sets(texts: list[bytes | None], k: int) -> list[np.ndarray]:
@@ -188,27 +188,44 @@ def _linked(docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int, part:
     near = settle(both.where(100 * F.least("a_n", "b_n") >= part * F.greatest("a_n", "b_n")).where(
         (100 + part) * (size - apart) >= 2 * part * size
     ).select("a", "b"))
-    wanted = settle(near.select(F.col("a").alias("doc_id")).unionAll(near.select("b")).distinct())
-    if wanted.count() <= BROADCAST_ROWS:
-        wanted = F.broadcast(wanted)
+    # The members of a hot ``b`` are dealt out in parts, and its set goes to each of them.
+    parts = near.groupBy(F.col("b").alias("p")).agg(F.ceil(F.count("*") / MEMBERS).alias("parts"))
+    dealt = keyed_left_join(near, parts, [("b", "p")]).select("a", "b", F.pmod(F.xxhash64("a"), F.col("parts")).cast("int").alias("s"))
+    dealt = settle(dealt)
+    member = dealt.select(F.col("a").alias("doc"), F.struct("b", "s", F.lit(1).alias("member")).alias("role"))
+    head = dealt.select("b", "s").distinct().select(F.col("b").alias("doc"), F.struct("b", "s", F.lit(0).alias("member")).alias("role"))
+    roles = settle(member.unionAll(head).groupBy("doc").agg(F.collect_list("role").alias("roles")))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, found in _sets(batches, k):
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.tobytes() for s in found], pa.binary())], ["d", "shingles"])
+            ids, roles = batch.column(0).to_pylist(), batch.column(2).to_pylist()
+            for own, shingles, mine in zip(ids, found, roles):
+                for at in range(0, len(mine), 256):
+                    some = mine[at : at + 256]
+                    columns = [pa.array([r[c] for r in some], t) for c, t in (("b", pa.int64()), ("s", pa.int32()), ("member", pa.int32()))]
+                    yield pa.RecordBatch.from_arrays(
+                        [*columns, pa.array([own] * len(some), pa.int64()), pa.array([shingles.tobytes()] * len(some), pa.binary())], ["b", "s", "member", "a", "shingles"]
+                    )
 
     def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # The set of ``b`` comes first in each part; one is held at a time.
+        key, of = None, None
         for batch in slices(batches):
-            keep = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                shared = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * shared >= part * (len(x) + len(y) - shared))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    content = settle(docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi").mapInArrow(sets, "d bigint, shingles binary"))
-    rows = keyed_left_join(near, content.select(F.col("d").alias("p"), F.col("shingles").alias("x")), [("a", "p")]).drop("p")
-    rows = keyed_left_join(rows, content.select(F.col("d").alias("p"), F.col("shingles").alias("y")), [("b", "p")]).drop("p")
-    return settle(rows.select("a", "b", "x", "y").mapInArrow(verified, "a bigint, b bigint"))
+            pairs = []
+            for b, s, is_member, a, shingles in zip(*[c.to_pylist() for c in batch.columns]):
+                x = np.frombuffer(shingles, np.uint64)
+                if not is_member:
+                    key, of = (b, s), x
+                elif key == (b, s):
+                    shared = len(np.intersect1d(x, of, assume_unique=True))
+                    if 100 * shared >= part * (len(x) + len(of) - shared):
+                        pairs.append((a, b))
+            yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], ["a", "b"])
+
+    chosen = joined_by_size(docs.select("doc_id", "text"), roles, [("doc_id", "doc")], "roles").where("roles is not null")
+    rows = chosen.select("doc_id", "text", "roles").mapInArrow(sets, "b bigint, s int, member int, a bigint, shingles binary")
+    rows = rows.repartition("b", "s").sortWithinPartitions("b", "s", "member")
+    return settle(rows.mapInArrow(verified, "a bigint, b bigint"))
 
 
 def _rows(docs: DataFrame) -> DataFrame:
@@ -258,9 +275,9 @@ def _components_of(rows: DataFrame, k: int, part: int, most_common: int, given:
     groups = usable.groupBy("n", "pk").agg(F.min("doc_id").alias("g"))
     groups = groups.withColumnsRenamed({"n": "g_n", "pk": "g_pk"})
     classes = settle(keyed_left_join(classes, groups, [("n", "g_n"), ("pk", "g_pk")]).drop("g_n", "g_pk"))
-    heads_of = classes.where("c = g").select("g").withColumnRenamed("g", "h")
-    prefixed = keyed_left_join(usable.select("doc_id", "n", "prefix"), heads_of, [("doc_id", "h")]).where("h is not null")
-    lists = settle(_in_lists(prefixed.groupBy(F.col("h").alias("g"), "n").agg(F.first("prefix").alias("prefix"))))
+    # A group has one prefix, which leaves the texts' rows in the one shuffle that makes the groups.
+    firsts = usable.groupBy("n", "pk").agg(F.min("doc_id").alias("g"), F.first("prefix").alias("prefix"))
+    lists = settle(_in_lists(firsts))
 
     # First, every group with the head of each of its lists, and every set with the first of its group.
     heads = lists.groupBy("token").agg(F.min(F.struct("g", "n", "place")).alias("e"))
