@@ -27,7 +27,7 @@ _MARKED = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 class Pieces:
     """The pieces of a model and the trie walk."""
 
-    def __init__(self, model_file: str, kept_words: int = 500_000):
+    def __init__(self, model_file: str, kept_words: int = 200_000):
         import sentencepiece
 
         self.model = m = sentencepiece.SentencePieceProcessor(model_file=model_file)
@@ -76,7 +76,7 @@ class Pieces:
 
     def stay_apart(self, a: str, b: str) -> bool:
         """Whether joining leaves ``b`` whole after ``a``, which is empty at the start of a word."""
-        if self.tested > 1_000_000:
+        if self.tested > 400_000:
             self.apart.clear()
             self.tested = 0
         self.tested += 1
