@@ -19,7 +19,7 @@ from trilayer.operators import keyed_left_join, settle
 #: Jaccard similarity from which lines match: 9/10.
 PART, WHOLE = 9, 10
 #: Groups of words whose counts order them. Words of one group share its count.
-GROUPS = 1 << 18
+GROUPS = 1 << 16
 #: Keys up to this number are broadcast (about 50 MB at most); more are shuffled.
 BROADCAST_ROWS = 1_000_000
 #: What separates words besides the blank; a newline ends the line.
