@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from trilayer.channels import STORE
-from trilayer.operators import dedupe, keyed_left_join
+from trilayer.operators import dedupe, keyed_left_join, spread_by_key
 from trilayer.plans import gold
 
 
@@ -69,3 +69,20 @@ def test_dedupe_order_and_column_order(spark):
     assert rows(dedupe(df, ["k"])) == [(None, 1, "a")]
     assert rows(dedupe(df.where("n is not null"), ["k"], ["v"])) == [(2, 1, "b")]
     assert rows(dedupe(df.select("k"), ["k"])) == [(1,)]
+
+
+def test_the_hash_of_a_key_is_not_shuffled(spark, settings):
+    settings(**{"spark__sql__autoBroadcastJoinThreshold": "-1", "spark__sql__adaptive__enabled": "false"})
+    left = spark.createDataFrame([(1, "a")], "k int, v string")
+    plan = keyed_left_join(left, left.toDF("r", "w"), [("k", "r")])._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(xxhash64(" in plan and not [l for l in plan.splitlines() if "Project" in l and "xxhash64" in l]
+
+
+def test_tables_spread_by_key_are_not_shuffled_again(spark, settings):
+    settings(**{"spark__sql__autoBroadcastJoinThreshold": "-1", "spark__sql__adaptive__enabled": "false"})
+    left = hot_sales(spark, 3_000)
+    right = dedupe(left.select(F.col("ss_ticket_number").alias("t"), F.col("ss_item_sk").alias("i"), F.col("line").alias("w")), ["t", "i"])
+    on = [("ss_ticket_number", "t"), ("ss_item_sk", "i")]
+    got = keyed_left_join(spread_by_key(left, ["ss_ticket_number", "ss_item_sk"]), right, on, split=False)
+    assert got._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
+    assert rows(got) == rows(keyed_left_join(left, right, on))

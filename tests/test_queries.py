@@ -80,3 +80,36 @@ def test_unused_columns_are_not_read(spark):
     text = plan(fact(spark, SF).groupBy("channel").sum("gross_sales_amt"))
     schemas = [line for line in text.splitlines() if "ReadSchema" in line and "lineitem" in line]
     assert schemas and all("l_linestatus" not in s and "l_linenumber" not in s for s in schemas)
+
+
+@pytest.fixture
+def without_broadcast(settings):
+    settings(**{
+        "spark__sql__autoBroadcastJoinThreshold": "-1", "spark__sql__adaptive__autoBroadcastJoinThreshold": "-1",
+        "spark__sql__adaptive__enabled": "false",
+    })
+
+
+def shuffles(df, by=""):
+    return [line for line in plan(df).splitlines() if f"Exchange hashpartitioning({by}" in line and "Reused" not in line]
+
+
+def test_channels_share_the_shuffles_of_their_lines(spark, without_broadcast):
+    """Lines and orders, the lines again for their returns, the returns of each channel, the sums by channel."""
+    assert len(shuffles(queries()["channel_report"](spark, SF))) <= 7
+
+
+def test_the_fact_is_shuffled_for_items_without_calendar(spark, without_broadcast):
+    lines = plan(fact(spark, SF)).splitlines()
+    at = next(i for i, line in enumerate(lines) if "Exchange hashpartitioning(xxhash64(item_sk" in line)
+    below = next(line for line in lines[at + 1:] if "Project" in line or "Union" in line)
+    assert "d_day_name" not in below and "net_sales_amt" not in below
+
+
+def test_leading_channels_store_no_fact_and_read_no_returns(spark, without_broadcast):
+    for name in ("preferred_channels", "top_channels"):
+        assert "l_returnflag" not in plan(queries()[name](spark, SF)), name
+
+
+def test_union_of_channels_shuffles_orders_once(spark, without_broadcast):
+    assert len(shuffles(queries()["union_of_channels"](spark, SF), by="o_orderkey")) == 1

@@ -1,5 +1,5 @@
 from trilayer.operators.dedupe import dedupe
-from trilayer.operators.joins import keyed_left_join
+from trilayer.operators.joins import keyed_left_join, spread_by_key
 from trilayer.operators.ranking import (
     global_dense_rank,
     global_ntile,
@@ -11,5 +11,5 @@ from trilayer.operators.settle import expire_scratch, run_scope, settle
 
 __all__ = [
     "dedupe", "expire_scratch", "global_dense_rank", "global_ntile", "global_ntiles", "global_row_index",
-    "keyed_left_join", "run_scope", "settle", "share_of_total",
+    "keyed_left_join", "run_scope", "settle", "share_of_total", "spread_by_key",
 ]
