@@ -153,3 +153,21 @@ def test_a_table_can_be_replaced_by_what_is_read_from_it(spark, tmp_path):
     storage.write_layer(spark.range(5), cfg, SILVER, "t", audit=False)
     assert storage.write_layer(storage.read_layer(spark, cfg, SILVER, "t").where("id > 1"), cfg, SILVER, "t", audit=False) == 3
     assert storage.read_table(spark, cfg, SILVER, "t").count() == 3
+
+
+def test_tables_are_packed_as_the_settings_say(spark, tmp_path):
+    for compression in ("zstd", "gzip"):
+        cfg = LayerConfig(root=str(tmp_path / compression), database=f"packed_{compression}", compression=compression)
+        storage.create_database(spark, cfg)
+        storage.write_layer(spark.range(10), cfg, "gold", "numbers")
+        short = {"zstd": ".zstd.parquet", "gzip": ".gz.parquet"}[compression]
+        assert all(f.endswith(short) for f in storage.read_layer(spark, cfg, "gold", "numbers").inputFiles())
+
+
+def test_a_lakehouse_of_a_query_keeps_only_what_its_report_reads(spark, tmp_path, settings):
+    from workload.operators import QUERIES
+
+    settings(**{"spark__checkpoint__dir": str(tmp_path)})
+    assert QUERIES["lakehouse_channel_report"](spark, "/root/testdata/sf0.001").count() == 3
+    left = {f.relative_to(tmp_path).parts[1] for f in tmp_path.glob("lakehouse-*/**/*.parquet")}
+    assert left == {"gold"}
