@@ -164,10 +164,14 @@ def test_tables_are_packed_as_the_settings_say(spark, tmp_path):
         assert all(f.endswith(short) for f in storage.read_layer(spark, cfg, "gold", "numbers").inputFiles())
 
 
-def test_a_lakehouse_of_a_query_keeps_only_what_its_report_reads(spark, tmp_path, settings):
+def test_a_lakehouse_of_a_query_keeps_only_what_its_report_reads(spark):
+    from pathlib import Path
+
+    from trilayer.operators import run_scope
     from workload.operators import QUERIES
 
-    settings(**{"spark__checkpoint__dir": str(tmp_path)})
-    assert QUERIES["lakehouse_channel_report"](spark, "/root/testdata/sf0.001").count() == 3
-    left = {f.relative_to(tmp_path).parts[1] for f in tmp_path.glob("lakehouse-*/**/*.parquet")}
+    with run_scope(spark) as folder:
+        assert QUERIES["lakehouse_channel_report"](spark, "/root/testdata/sf0.001").count() == 3
+        root = Path(folder.removeprefix("file:"))
+        left = {f.relative_to(root).parts[1] for f in root.glob("lakehouse-*/**/*.parquet")}
     assert left == {"gold"}
