@@ -7,9 +7,9 @@ from trilayer.operators.ranking import (
     global_row_index,
     share_of_total,
 )
-from trilayer.operators.settle import expire_scratch, run_scope, settle
+from trilayer.operators.settle import discard, expire_scratch, run_scope, settle
 
 __all__ = [
-    "dedupe", "expire_scratch", "global_dense_rank", "global_ntile", "global_ntiles", "global_row_index",
+    "dedupe", "discard", "expire_scratch", "global_dense_rank", "global_ntile", "global_ntiles", "global_row_index",
     "keyed_left_join", "run_scope", "settle", "share_of_total", "spread_by_key",
 ]
