@@ -27,7 +27,7 @@ _MARKED = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 class Pieces:
     """The pieces of a model and the trie walk."""
 
-    def __init__(self, model_file: str, kept_words: int = 200_000):
+    def __init__(self, model_file: str, kept_words: int = 50_000):
         import sentencepiece
 
         self.model = m = sentencepiece.SentencePieceProcessor(model_file=model_file)
@@ -171,7 +171,7 @@ def encode_documents(docs: DataFrame, model_file: str) -> DataFrame:
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = pieces(model_file)
-        for batch in slices(batches, rows=1000, most_bytes=4 << 20):
+        for batch in slices(batches, rows=200, most_bytes=1 << 19):
             ids = coder.encode_batch([t or "" for t in batch.column(1).to_pylist()])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(ids, pa.binary()), pa.array([coder.decode(i) for i in ids], pa.string())], ["doc_id", "ids", "decoded"]
