@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from trilayer.operators import keyed_left_join, settle
+from trilayer.operators import discard, keyed_left_join, settle
 
 #: The characters between words, as a Java or Python class.
 SPACES = r"\x20\x09-\x0D"
@@ -77,7 +77,8 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         least = large.groupBy(F.col("u").alias("w")).agg(F.min("v").alias("m"))
         small = keyed_left_join(large, least, [("u", "w")])
         pairs = F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v")))
-        stars = settle(small.select(F.inline(pairs)).where("u <> v").distinct())
+        older, stars = stars, settle(small.select(F.inline(pairs)).where("u <> v").distinct())
+        discard(older, large)
     else:
         raise RuntimeError(f"components did not settle in {rounds} rounds")
     return stars.select(F.col("u").alias("node"), F.col("v").alias("component")).unionAll(

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from trilayer.llm.common import WORD, components, joined_by_size, mixed, read, rolling, slices, span_hashes, unused
-from trilayer.operators import keyed_left_join, settle
+from trilayer.operators import discard, keyed_left_join, settle
 
 BITS = [f"b{i}" for i in range(8)]
 #: Documents compared with one set in one task.
@@ -91,6 +91,7 @@ def common_shingles(docs: DataFrame, k: int, most: int) -> np.ndarray:
         return np.empty(0, np.uint64)
     # As Arrow, 16 bytes a row reach the driver; as rows of Python objects it would be hundreds.
     rows = counts.where(step >= least).select("n", "x").toArrow()
+    discard(counts)
     n, x = (rows.column(c).to_numpy() for c in ("n", "x"))
     return x[np.lexsort((x, n))].view(np.uint64)
 
@@ -192,28 +193,17 @@ def _linked(docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int, part:
     parts = near.groupBy(F.col("b").alias("p")).agg(F.ceil(F.count("*") / MEMBERS).alias("parts"))
     dealt = keyed_left_join(near, parts, [("b", "p")]).select("a", "b", F.pmod(F.xxhash64("a"), F.col("parts")).cast("int").alias("s"))
     dealt = settle(dealt)
+    discard(near)
     member = dealt.select(F.col("a").alias("doc"), F.struct("b", "s", F.lit(1).alias("member")).alias("role"))
     head = dealt.select("b", "s").distinct().select(F.col("b").alias("doc"), F.struct("b", "s", F.lit(0).alias("member")).alias("role"))
     roles = settle(member.unionAll(head).groupBy("doc").agg(F.collect_list("role").alias("roles")))
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, found in _sets(batches, k):
-            ids, roles = batch.column(0).to_pylist(), batch.column(2).to_pylist()
-            for own, shingles, mine in zip(ids, found, roles):
-                for at in range(0, len(mine), 256):
-                    some = mine[at : at + 256]
-                    columns = [pa.array([r[c] for r in some], t) for c, t in (("b", pa.int64()), ("s", pa.int32()), ("member", pa.int32()))]
-                    yield pa.RecordBatch.from_arrays(
-                        [*columns, pa.array([own] * len(some), pa.int64()), pa.array([shingles.tobytes()] * len(some), pa.binary())], ["b", "s", "member", "a", "shingles"]
-                    )
-
     def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # The set of ``b`` comes first in each part; one is held at a time.
+        # The text of ``b`` comes first in each part; one set is held at a time.
         key, of = None, None
-        for batch in slices(batches):
+        for batch, found in _sets(batches, k):
             pairs = []
-            for b, s, is_member, a, shingles in zip(*[c.to_pylist() for c in batch.columns]):
-                x = np.frombuffer(shingles, np.uint64)
+            for a, b, s, is_member, x in zip(*[batch.column(c).to_pylist() for c in ("a", "b", "s", "member")], found):
                 if not is_member:
                     key, of = (b, s), x
                 elif key == (b, s):
@@ -222,10 +212,13 @@ def _linked(docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int, part:
                         pairs.append((a, b))
             yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], ["a", "b"])
 
+    # Texts are sent, not their sets: a shingle takes eight bytes that cannot be packed, the word it adds takes fewer that can.
     chosen = joined_by_size(docs.select("doc_id", "text"), roles, [("doc_id", "doc")], "roles").where("roles is not null")
-    rows = chosen.select("doc_id", "text", "roles").mapInArrow(sets, "b bigint, s int, member int, a bigint, shingles binary")
+    rows = chosen.select(F.col("doc_id").alias("a"), "text", F.inline("roles"))
     rows = rows.repartition("b", "s").sortWithinPartitions("b", "s", "member")
-    return settle(rows.mapInArrow(verified, "a bigint, b bigint"))
+    found = settle(rows.mapInArrow(verified, "a bigint, b bigint"))
+    discard(dealt, roles)
+    return found
 
 
 def _rows(docs: DataFrame) -> DataFrame:
@@ -278,6 +271,10 @@ def _components_of(rows: DataFrame, k: int, part: int, most_common: int, given:
     # A group has one prefix, which leaves the texts' rows in the one shuffle that makes the groups.
     firsts = usable.groupBy("n", "pk").agg(F.min("doc_id").alias("g"), F.first("prefix").alias("prefix"))
     lists = settle(_in_lists(firsts))
+    # What follows needs the keys alone.
+    whole_sets, sets = sets, settle(sets.select("doc_id", "n", "pk", "k1", "k2"))
+    usable = sets.where("n > 0 and doc_id is not null")
+    discard(whole_sets)
 
     # First, every group with the head of each of its lists, and every set with the first of its group.
     heads = lists.groupBy("token").agg(F.min(F.struct("g", "n", "place")).alias("e"))
@@ -301,6 +298,7 @@ def _components_of(rows: DataFrame, k: int, part: int, most_common: int, given:
     whole = whole.select(F.col("g").alias("w"), F.when(F.col("low") == F.col("high"), F.col("low")).alias("comp"))
     bits = keyed_left_join(whole, folded.select(F.col("g").alias("f"), *alone), [("w", "f")]).drop("f")
     placed = settle(keyed_left_join(lists, bits, [("g", "w")]).drop("w"))
+    discard(lists)
     others = placed.select(F.col("token").alias("t"), *[F.col(c).alias(f"e_{c}") for c in ("g", "n", "place", "comp", "p0", "p1", "p2", "p3")])
     apart = F.col("comp").isNull() | F.col("e_comp").isNull() | (F.col("comp") != F.col("e_comp"))
     differ = sum((F.bit_count(F.col(f"p{i}").bitwiseXOR(F.col(f"e_p{i}"))) for i in range(4)), F.lit(0))
@@ -310,12 +308,14 @@ def _components_of(rows: DataFrame, k: int, part: int, most_common: int, given:
     met = placed.join(others, here & apart & _may_link(part) & alike).select("g", "e_g").distinct()
     mixed_groups = whole.where("comp is null").select(F.col("w").alias("g"), F.col("w").alias("e_g"))
     met = settle(met.unionAll(mixed_groups))
+    discard(placed)
     members = owned.select(F.col("g").alias("of"), "c", "comp")
     second = _both(members, met, "g").select("e_g", F.col("c").alias("a"), F.col("comp").alias("a_comp"))
     second = _both(members, second, "e_g").where("comp <> a_comp").select(F.greatest("a", "c").alias("a"), F.least("a", "c").alias("b")).distinct()
     # What the first step verified without success need not be verified again.
     tried = first.select(F.greatest("a", "b").alias("f_a"), F.least("a", "b").alias("f_b"))
     second = settle(keyed_left_join(second, tried, [("a", "f_a"), ("b", "f_b")]).where("f_a is null").select("a", "b"))
+    discard(first, met)
     links = links.unionAll(_linked(rows, classes, second, k, part))
     labels = components(links if given is None else links.unionAll(_of_classes(usable, classes, given)))
 
