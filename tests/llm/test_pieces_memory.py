@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from itertools import product
 
+import numpy as np
 import public_tokenizers
 
 from trilayer.llm.pieces import Pieces
@@ -23,3 +24,26 @@ def test_few_words_are_kept():
     mixed = " ".join(words[::977])
     assert coder.encode_batch([mixed]) == Pieces(model).encode_batch([mixed])
     assert len(words) > 200_000
+
+
+def test_a_character_is_looked_up_once():
+    coder = Pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    texts = ["unhappiness unhappily, happily ever after", "naïve 日本語 ſtraße \U0001f600 ▁▁ ▁a", "q" * 200]
+    # The pieces that end at a prefix come from the end before and one character, the longest first.
+    for word in coder.model.normalize(texts[0]).split("▁"):
+        end = coder.end("")
+        for i, c in enumerate(word):
+            end = coder.move(end, c)
+            longer = [word[j : i + 1] for j in range(i) if word[j : i + 1] in coder.ids]
+            assert [p for p, _, _ in end.pieces] == [*longer, c]
+            assert len(end.text) <= max(map(len, coder.ids))
+    found = coder.encode_batch(texts)
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in found] == [coder.model.encode(t) for t in texts]
+    # A known move is not made again, and forgetting all of them changes nothing.
+    coder.known.clear()
+    coder.older.clear()
+    made = coder.moves
+    assert coder.encode_batch(texts[:1]) == found[:1] and coder.moves == made
+    coder.known.clear()
+    coder.moves = coder.tested = 1 << 30
+    assert coder.encode_batch(texts) == found

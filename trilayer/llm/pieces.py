@@ -24,6 +24,17 @@ MARK = "▁"
 _MARKED = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
 
+class End:
+    """The end of a text as the walk sees it: ``text``, the longest part at the end that begins a piece, the ``pieces`` that end there, each
+    with its length and what is known of its staying apart, and the ends ``after`` a further character.
+    """
+
+    __slots__ = ("text", "pieces", "after")
+
+    def __init__(self, text: str, pieces: list[tuple[str, int, dict[str, bool]]]):
+        self.text, self.pieces, self.after = text, pieces, {}
+
+
 class Pieces:
     """The pieces of a model and the trie walk."""
 
@@ -38,13 +49,8 @@ class Pieces:
         self.rank = {self.names[i]: m.get_score(i) for i in plain}
         self.bytes = {int(self.names[i][3:5], 16): i for i in range(n) if m.is_byte(i)}
         self.unknown = m.unk_id()
-        # The pieces read from their last character to their first; the empty key marks a piece.
-        self.backwards: dict = {}
-        for piece in self.ids:
-            node = self.backwards
-            for c in reversed(piece):
-                node = node.setdefault(c, {})
-            node[""] = {}
+        # The beginnings of pieces. What ends a text is known by the longest of them that ends it.
+        self.beginnings = {p[:i] for p in self.ids for i in range(len(p) + 1)}
         # Words can be cut before a mark only if no piece holds a mark after another character.
         if any(MARK in p.lstrip(MARK) for p in self.ids):
             raise ValueError("pieces of this model cross word marks")
@@ -52,8 +58,9 @@ class Pieces:
         for b, i in self.bytes.items():
             shown[i] = bytes([b])
         self.shown = shown
-        self.apart: dict[tuple[str, str], bool] = {}
-        self.tested = 0
+        self.ends: dict[str, End] = {}
+        self.apart: dict[str, dict[str, bool]] = {}
+        self.tested = self.moves = 0
         self.packed: dict[str, bytes] = {}
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
@@ -77,48 +84,70 @@ class Pieces:
     def stay_apart(self, a: str, b: str) -> bool:
         """Whether joining leaves ``b`` whole after ``a``, which is empty at the start of a word."""
         if self.tested > 400_000:
-            self.apart.clear()
+            for known in self.apart.values():
+                known.clear()
             self.tested = 0
         self.tested += 1
         return self.merged(a + b) == ([a, b] if a else [b])
 
+    def end(self, text: str) -> End:
+        """The end of ``text``: that of its longest part at the end that begins a piece. Ends of one such part are one object."""
+        while text not in self.beginnings:
+            text = text[1:]
+        if text not in self.ends:
+            pieces = [text[i:] for i in range(len(text) - 1) if text[i:] in self.ids]
+            # One character is always a piece.
+            pieces += [text[-1]] if text else []
+            self.ends[text] = End(text, [(p, len(p), self.apart.setdefault(p, {})) for p in pieces])
+        return self.ends[text]
+
+    def move(self, end: End, c: str) -> End:
+        """The end that follows ``end`` after ``c``; kept with it."""
+        if self.moves > 400_000:
+            for e in self.ends.values():
+                e.after.clear()
+            self.moves = 0
+        self.moves += 1
+        following = self.end(end.text + c)
+        if not following.pieces:
+            # No piece begins with this character, so it is kept nowhere.
+            return End("", [(c, 1, {})])
+        end.after[c] = following
+        return following
+
     def walk(self, words: list[str]) -> Iterator[tuple[str, list[str]]]:
-        """Each of the sorted ``words`` with its pieces. ``last[i]`` is the last piece of the prefix of length i.
+        """Each of the sorted ``words`` with its pieces. ``last[i]`` is the last piece of the prefix of length i, ``ends[i]`` its end.
 
-        From each end the pieces are followed backwards in their trie, so only pieces that end there are tried, the longest
-        first; one character is always a piece.
+        The end of a prefix has the pieces that end there, the longest first, so only these are tried.
         """
-        last, previous, trie, apart = [""], "", self.backwards, self.apart
+        last, ends, previous = [""], [self.end("")], ""
         for word in words:
             shared = 0
             for a, b in zip(previous, word):
                 if a != b:
                     break
                 shared += 1
-            del last[shared + 1 :]
-            for end in range(shared + 1, len(word) + 1):
-                at = end - 1
-                starts, node = [at], trie.get(word[at])
-                while at and node is not None:
-                    at -= 1
-                    node = node.get(word[at])
-                    if node is not None and "" in node:
-                        starts.append(at)
-                while starts:
-                    start = starts.pop()
-                    before, piece = last[start], word[start:end]
-                    found = apart.get((before, piece))
+            del last[shared + 1 :], ends[shared + 1 :]
+            at = ends[shared]
+            for to, c in enumerate(word[shared:], shared + 1):
+                following = at.after.get(c)
+                at = self.move(at, c) if following is None else following
+                ends.append(at)
+                for piece, n, known in at.pieces:
+                    before = last[to - n]
+                    found = known.get(before)
                     if found is None:
-                        found = apart[before, piece] = self.stay_apart(before, piece)
+                        found = self.stay_apart(before, piece)
+                        known[before] = found
                     if found:
                         last.append(piece)
                         break
                 else:
-                    raise ValueError(f"no piece ends at {end} of {word!r}")
-            found, end = [], len(word)
-            while end:
-                found.append(last[end])
-                end -= len(last[end])
+                    raise ValueError(f"no piece ends at {to} of {word!r}")
+            found, to = [], len(word)
+            while to:
+                found.append(last[to])
+                to -= len(last[to])
             yield word, found[::-1]
             previous = word
 
