@@ -7,7 +7,8 @@ expanded to the different sets in them, pass a parity filter (512 bits whose dif
 set only) and are verified on whole sets.
 
 Groups that share a shingle first meet the head of its list. What that links needs no further pair, so a large
-group of near copies costs about one pair a member; pairs that may still join two components follow.
+group of near copies costs about one pair a member; pairs that may still join two components follow. Such a pair is left out
+of a list where both groups hold one of the same few shingles before, since it was made there.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from trilayer.llm.common import WORD, components, joined_by_size, mixed, read, rolling, slices, span_hashes, unused
 from trilayer.operators import discard, keyed_left_join, settle
@@ -24,6 +25,8 @@ from trilayer.operators import discard, keyed_left_join, settle
 BITS = [f"b{i}" for i in range(8)]
 #: Documents compared with one set in one task.
 MEMBERS = 512
+#: Earlier shared shingles that a row of a list carries.
+BEFORE = 4
 
 
 def shingle_sets(texts: list[bytes | None], k: int) -> list[np.ndarray]:
@@ -174,6 +177,28 @@ def _in_lists(groups: DataFrame) -> DataFrame:
     return rows.mapInArrow(_repeated_tokens, "token bigint, g bigint, n int, place int")
 
 
+def _with_earlier(lists: DataFrame) -> DataFrame:
+    """``lists`` with ``before``, the last few listed members ahead of each one in its group's prefix."""
+    ahead = Window.partitionBy("g").orderBy("place").rowsBetween(-BEFORE, -1)
+    return lists.withColumn("before", F.collect_list("token").over(ahead))
+
+
+def _meetings(placed: DataFrame, part: int) -> DataFrame:
+    """Pairs ``g, e_g`` of groups in one list that may join components, some of them more than once.
+
+    A pair that links passes the filters wherever it shares a member, so at the first one that it shares it is always made. Where both
+    groups hold a common member ``before``, that first one lies further ahead.
+    """
+    own = ("g", "n", "place", "comp", "p0", "p1", "p2", "p3", "before")
+    others = placed.select(F.col("token").alias("t"), *[F.col(c).alias(f"e_{c}") for c in own])
+    apart = F.col("comp").isNull() | F.col("e_comp").isNull() | (F.col("comp") != F.col("e_comp"))
+    differ = sum((F.bit_count(F.col(f"p{i}").bitwiseXOR(F.col(f"e_p{i}"))) for i in range(4)), F.lit(0))
+    size = F.col("n") + F.col("e_n")
+    alike = F.coalesce((100 + part) * (size - differ) >= 2 * part * size, F.lit(True))
+    here = (F.col("token") == F.col("t")) & (F.col("e_g") < F.col("g"))
+    return placed.join(others, here & apart & _may_link(part) & alike & ~F.arrays_overlap("before", "e_before")).select("g", "e_g")
+
+
 def _may_link(part: int) -> Column:
     """Length and positional filters on two groups in one list."""
     shared = F.least("place", "e_place") + F.least(F.col("n") - F.col("place"), F.col("e_n") - F.col("e_place"))
@@ -297,15 +322,10 @@ def _components_of(rows: DataFrame, k: int, part: int, most_common: int, given:
     whole = owned.groupBy("g").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
     whole = whole.select(F.col("g").alias("w"), F.when(F.col("low") == F.col("high"), F.col("low")).alias("comp"))
     bits = keyed_left_join(whole, folded.select(F.col("g").alias("f"), *alone), [("w", "f")]).drop("f")
-    placed = settle(keyed_left_join(lists, bits, [("g", "w")]).drop("w"))
+    # Few rows share a group: no more than its prefix has members.
+    placed = settle(keyed_left_join(_with_earlier(lists), bits, [("g", "w")], split=False).drop("w"))
     discard(lists)
-    others = placed.select(F.col("token").alias("t"), *[F.col(c).alias(f"e_{c}") for c in ("g", "n", "place", "comp", "p0", "p1", "p2", "p3")])
-    apart = F.col("comp").isNull() | F.col("e_comp").isNull() | (F.col("comp") != F.col("e_comp"))
-    differ = sum((F.bit_count(F.col(f"p{i}").bitwiseXOR(F.col(f"e_p{i}"))) for i in range(4)), F.lit(0))
-    size = F.col("n") + F.col("e_n")
-    alike = F.coalesce((100 + part) * (size - differ) >= 2 * part * size, F.lit(True))
-    here = (F.col("token") == F.col("t")) & (F.col("e_g") < F.col("g"))
-    met = placed.join(others, here & apart & _may_link(part) & alike).select("g", "e_g").distinct()
+    met = _meetings(placed, part).distinct()
     mixed_groups = whole.where("comp is null").select(F.col("w").alias("g"), F.col("w").alias("e_g"))
     met = settle(met.unionAll(mixed_groups))
     discard(placed)
