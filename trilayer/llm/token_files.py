@@ -12,6 +12,7 @@ A block, little-endian:
 
 from __future__ import annotations
 
+import codecs
 import hashlib
 import re
 import struct
@@ -36,6 +37,8 @@ _WS = "\t-\r \x85\xa0  -     　"
 _CHUNK = re.compile(f" ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]")
 _OTHER_SPACE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _RUNS = ("  ", "\n\n", " \n", "\n ", "\t", "\r", "\x0b", "\x0c")
+#: Marks that are one unit when they stand in a row; an apostrophe may begin one with letters.
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def _plainly_spaced(text: str) -> bool:
@@ -91,21 +94,30 @@ class Encoder:
         self.kind = "<u2" if self.width == 2 else "<u4"
         self.spaced, self.bare = _Pieces(self._spaced), _Pieces(self._bare)
         self.model, self.split = self.tokenizer.model, self.tokenizer.pre_tokenizer.pre_tokenize_str
-        self.letters, self.code = byte_letters(), "H" if self.width == 2 else "I"
+        self.code = "H" if self.width == 2 else "I"
+        letters = byte_letters()
+        self.letters, self.space = "".join([letters[b] for b in range(256)]), letters[32]
 
     def _word(self, spelled: str) -> bytes:
         return array(self.code, [t.id for t in self.model.tokenize(spelled)]).tobytes()
 
+    def _spelled(self, letters: str) -> str:
+        return letters if letters.isascii() else codecs.charmap_decode(letters.encode(), "strict", self.letters)[0]
+
     def _bare(self, piece: str) -> bytes:
+        """Ids of ``piece``. Letters are one unit, as are marks after them."""
+        stem = piece.rstrip(_MARKS)
+        if stem.isalpha():
+            return self._word(self._spelled(piece)) if len(stem) == len(piece) else self.bare[stem] + self.bare[piece[len(stem) :]]
         return b"".join([self._word(w) for w, _ in self.split(piece)])
 
     def _spaced(self, piece: str) -> bytes:
-        """Ids of a space and ``piece``. A space and letters are one unit, as is one mark after them."""
-        if piece.isalpha():
-            spelled = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
-            return self._word(self.letters[32] + spelled)
-        if piece[-1:] in {".", ","} and piece[:-1].isalpha():
-            return self.spaced[piece[:-1]] + self.bare[piece[-1]]
+        """Ids of a space and ``piece``. A space and letters are one unit, as are marks after them."""
+        stem = piece.rstrip(_MARKS)
+        if stem.isalpha():
+            if len(stem) == len(piece):
+                return self._word(self.space + self._spelled(piece))
+            return self.spaced[stem] + self.bare[piece[len(stem) :]]
         return self._bare(" " + piece)
 
     def whole(self, text: str) -> bytes:
@@ -116,14 +128,14 @@ class Encoder:
             return b""
         if any(s in text for s in self.special):
             return self.whole(text)
-        bare, spaced = self.bare, self.spaced
+        bare, spaced = self.bare, self.spaced.__getitem__
         if not _plainly_spaced(text):
             return b"".join([bare[c] for c in _CHUNK.findall(text)])
         out, end = [], bare["\n"]
         for line in text.split("\n"):
             first, *rest = line.split(" ")
             out.append(bare[first])
-            out += [spaced[p] for p in rest]
+            out += map(spaced, rest)
             out.append(end)
         return b"".join(out[:-1])
 
