@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from trilayer.channels import STORE
-from trilayer.operators import dedupe, keyed_left_join, spread_by_key
+from trilayer.operators import KEEP_SPREADS, Spread, dedupe, joins, keyed_left_join, session_settings, spread_by_key
 from trilayer.plans import gold
 
 
@@ -86,3 +86,29 @@ def test_tables_spread_by_key_are_not_shuffled_again(spark, settings):
     got = keyed_left_join(spread_by_key(left, ["ss_ticket_number", "ss_item_sk"]), right, on, split=False)
     assert got._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
     assert rows(got) == rows(keyed_left_join(left, right, on))
+
+
+def test_a_spread_serves_two_joins_and_deals_a_hot_key_into_portions(spark, settings, monkeypatch):
+    settings(**{"spark__sql__autoBroadcastJoinThreshold": "-1", "spark__sql__adaptive__enabled": "false", "spark__sql__shuffle__partitions": "16"})
+    monkeypatch.setattr(joins, "HOT_ROWS", 1_000)
+    sales = spark.range(0, 6_000, 1, 8).select(
+        F.col("id").alias("ticket"), F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 100).cast("int").alias("item"),
+    )
+    sales.createOrReplaceTempView("sold")
+    found = Spread.of(sales.select("item"))
+    assert found.hot == (7,) and Spread.of(sales.select("item").limit(0)).hot == ()
+    back = spark.sql("SELECT ticket AS t, item AS i, min(ticket % 5) AS q FROM sold WHERE ticket % 2 = 0 GROUP BY ALL")
+    named = spark.sql("SELECT CAST(item AS BIGINT) AS k, max('n' || item) AS name FROM sold GROUP BY ALL UNION ALL SELECT NULL, 'none'")
+    for spread in (found, Spread()):
+        laid = spread.lay(sales, "item", "ticket")
+        got = spread.left_join(laid, back, [("item", "i"), ("ticket", "t")], within=("ticket", "t"))
+        got = spread.left_join(got, named, [("item", "k")], within=("ticket", None))
+        want = sales.join(back, (F.col("item") == F.col("i")) & (F.col("ticket") == F.col("t")), "left").join(named, F.col("item") == F.col("k"), "left")
+        assert got.columns == want.columns and rows(got) == rows(want)
+        with session_settings(spark, KEEP_SPREADS):
+            kept = got.select("*")
+            plan = kept._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("Exchange hashpartitioning(xxhash64(cast(item#") == 1
+            assert rows(kept) == rows(want)
+        places = laid.where("item = 7").select(F.spark_partition_id()).distinct().count()
+        assert places > 8 if spread.hot else places == 1

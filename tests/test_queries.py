@@ -4,9 +4,11 @@ import re
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import check_oracles
 from __spark_entry__ import entry, oracle_sql
+from trilayer.plans import gold
 from workload.queries import fact, queries, silver_tables
 
 SF = "/root/testdata/sf0.001"
@@ -113,3 +115,12 @@ def test_leading_channels_store_no_fact_and_read_no_returns(spark, without_broad
 
 def test_union_of_channels_shuffles_orders_once(spark, without_broadcast):
     assert len(shuffles(queries()["union_of_channels"](spark, SF), by="o_orderkey")) == 1
+
+
+def test_all_channels_of_the_fact_share_one_shuffle_by_item(spark, without_broadcast):
+    """Lines meet their orders once and lie by item once; neither returns nor items shuffle the lines of a channel again."""
+    df = queries()["gold_sales_fact"](spark, SF)
+    assert len(shuffles(df, by="l_orderkey")) == 1
+    by_item = [line for line in shuffles(df) if re.search(r"hashpartitioning\(xxhash64\((ss_|cs_|ws_)?item_sk", line)]
+    assert len(by_item) == 1
+    assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
