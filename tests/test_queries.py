@@ -124,3 +124,14 @@ def test_all_channels_of_the_fact_share_one_shuffle_by_item(spark, without_broad
     by_item = [line for line in shuffles(df) if re.search(r"hashpartitioning\(xxhash64\((ss_|cs_|ws_)?item_sk", line)]
     assert len(by_item) == 1
     assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
+
+
+def test_product_sums_read_the_lines_of_an_item_in_one_place(spark, settings, monkeypatch):
+    settings(**{"spark__sql__adaptive__enabled": "false"})
+    stored = []
+    settle_fact = gold.settle_fact
+    monkeypatch.setattr(gold, "settle_fact", lambda *a, **b: stored.append(settle_fact(*a, **b)) or stored[-1])
+    queries()["gold_product_performance"](spark, SF)
+    files = stored[0].select("item_sk", F.input_file_name().alias("file")).distinct().groupBy("item_sk").count()
+    # At most one file of each channel.
+    assert files.agg(F.max("count")).first()[0] <= 3
