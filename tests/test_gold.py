@@ -85,6 +85,16 @@ def test_customer_value(spark):
     assert (two.unique_purchase_days, two.days_since_last_purchase) == (0, None)
 
 
+def test_customers_of_a_fact_by_item_are_shuffled_before_they_are_summed(spark):
+    fact = spark.createDataFrame([
+        line("STORE", k % 5 or None, k, f"{k}.50", date(2000, 1, 1 + k % 3) if k % 7 else None) for k in range(1, 40)
+    ], FACT)
+    day = date(2000, 1, 11)
+    got = gold.customer_value(fact, day, by_item=True)
+    assert rows(got) == rows(gold.customer_value(fact, day)) and got.count() == 4
+    assert "REPARTITION_BY_COL" in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_rfm_direction_and_option(spark):
     value = spark.createDataFrame(
         [(k, k, 10 * k, D(k)) for k in range(1, 11)],

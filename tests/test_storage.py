@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -175,3 +177,35 @@ def test_a_lakehouse_of_a_query_keeps_only_what_its_report_reads(spark):
         root = Path(folder.removeprefix("file:"))
         left = {f.relative_to(root).parts[1] for f in root.glob("lakehouse-*/**/*.parquet")}
     assert left == {"gold"}
+
+
+def test_a_table_written_in_parts_is_one_table(spark, tmp_path):
+    cfg = lakehouse(tmp_path, "parts_db")
+    storage.create_database(spark, cfg)
+    df = spark.range(10).withColumn("channel", F.when(F.col("id") < 3, "A").otherwise("B"))
+    assert storage.write_layer(df, cfg, GOLD, "t", parts=[F.col("channel") == c for c in ("A", "B", "C")]) == 10
+    got = storage.read_layer(spark, cfg, GOLD, "t")
+    assert sorted(r.id for r in got.collect()) == list(range(10))
+    assert got.select("_gold_processed_at").distinct().count() == 1 and storage.read_table(spark, cfg, GOLD, "t").count() == 10
+
+
+def test_a_lakehouse_of_a_query_leaves_no_shuffle_files_of_its_layers(spark, settings):
+    """What a layer's write shuffled is gone when the next begins, and sales are gone when the customers are described."""
+    from trilayer.operators import run_scope
+    from workload.operators import QUERIES
+
+    settings(**{"spark__sql__autoBroadcastJoinThreshold": "-1"})
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffled = lambda: {b for b in disk.getAllBlocks().mkString(" ").split() if b.startswith("shuffle_")}
+    before, seen, write_layer = shuffled(), {}, refresh.write_layer
+
+    def watched(df, cfg, layer, table, *a, **b):
+        silver = {f.name for f in Path(cfg.root.removeprefix("file:")).glob("silver/*")}
+        seen[layer, table] = (shuffled() - before, silver)
+        return write_layer(df, cfg, layer, table, *a, **b)
+
+    with run_scope(spark), pytest.MonkeyPatch.context() as patch:
+        patch.setattr(refresh, "write_layer", watched)
+        QUERIES["lakehouse_channel_report"](spark, "/root/testdata/sf0.001")
+    assert not seen[GOLD, "sales_fact"][0] and not seen[GOLD, "customer_360"][0]
+    assert "silver_store_sales" in seen[GOLD, "sales_fact"][1] and "silver_store_sales" not in seen[GOLD, "customer_360"][1]
